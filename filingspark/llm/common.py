@@ -4,11 +4,13 @@ shared folder, bounded broadcasts with a way beyond the bound, Arrow buffers."""
 from __future__ import annotations
 
 import atexit
+import pickle
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,21 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, how: str = "inne
     return rows.join(hot, key, "inner").unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key, how))
 
 
+def without(docs: DataFrame, key: dict[str, Column], dropped: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows of docs, all columns kept, whose key isn't in dropped; of each key in repeated, one row.
+
+    key: columns that tell rows apart, by the names that they have in dropped and repeated. Nulls are equal.
+    """
+    same = lambda other: F.expr(" and ".join(f"k.{c} <=> {other}.{c}" for c in key))
+    small = lambda d: F.broadcast(d) if d.count() <= BROADCAST_ROWS else d
+    rows = docs.select(F.struct("*").alias("row"), F.struct(*[c.alias(n) for n, c in key.items()]).alias("k"))
+    rows = rows.join(small(dropped).alias("d"), same("d"), "left_anti")
+    if repeated.limit(1).count():
+        some = small(repeated).alias("r")
+        rows = rows.join(some, same("r"), "left_anti").unionByName(rows.join(some, same("r"), "left_semi").dropDuplicates(["k"]))
+    return rows.select("row.*")
+
+
 def own_columns(df: DataFrame, **columns: Column) -> DataFrame:
     """Only the named columns, so that extra columns of the input can't clash with ours."""
     return df.select(*[c.alias(name) for name, c in columns.items()])
@@ -101,3 +118,12 @@ def texts(arr: pa.Array) -> list[bytes]:
 def hash_mod(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def ship(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast an object of our own classes by value; the executors need no copy of this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shipped(value: Broadcast) -> object:
+    return pickle.loads(value.value)

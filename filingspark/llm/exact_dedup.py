@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, cut, own_columns, utf8
+from .common import attach_groups, cut, own_columns, utf8, without
 
 #: Bytes of a chunk hashed by one dot product: 4096 * 255 * 2**31 fits a signed 64-bit integer.
 CHUNK = 4096
@@ -139,6 +139,15 @@ def exact_dedup(docs: DataFrame, primes=PRIMES, huge: int = HUGE, block: int = B
     )
 
 
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """The rows of docs that stay, with all their columns."""
+    found = cut(exact_dedup(docs), "copies")
+    keys = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = cut(keys.where("not kept or n > 1"), "copied")
+    key = {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(normalised(F.col("text")).cast("binary"), 256)}
+    return without(docs, key, keys.where("not kept"), keys.where("kept and n > 1"))
+
+
 def _collisions(rows: DataFrame, many: DataFrame, primes) -> DataFrame:
     """Fingerprints that two different texts share: each text of a group against the one that stays.
 

@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import licenses, mixing
+from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
+from .hmm import lm_scores
+from .language_id import language_id
+from .pii import pii_digest
 from .simhash import simhash_components
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +58,30 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights(spark), fraction=FRACTION, max_epochs=MAX_EPOCHS, seed=SEED)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -76,7 +101,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op5_exact_dedup, op8_licenses, op9_token_counts, op10_simhash)}
+    return {f.__name__: f for f in (op1_mixing, op2_decontamination, op3_language_id, op4_toxicity, op5_exact_dedup, op6_lm_scores, op7_pii, op8_licenses, op9_token_counts, op10_simhash)}
 
 
 EXACT_DEDUP = r"""
