@@ -113,10 +113,16 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     rows = own_columns(docs, doc_id=F.col("doc_id"), text=F.coalesce(F.col("text"), F.lit("")))
     digest = F.unhex(F.sha2(content(F.col("text"), piecewise).cast("binary"), 256))
     slim = cut(rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), digest.alias("digest")), "digests")
-    groups = cut(slim.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n_rows")), "contents")
+    each = slim.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n"))
+    groups = cut(each.groupBy("digest").agg(first.alias("f"), F.sum("n").alias("n_rows")).select("digest", F.col("f.doc_id").alias("low"), F.col("f.n").alias("n_low"), "n_rows"), "contents")
     stored, path = read_cache(spark, cache, version), cache or work_path(spark, "counts")
     misses = groups if stored is None else cut(groups.join(stored, "digest", "left_anti"), "misses")
-    todo = _distinct_misses(rows.withColumn("digest", digest), groups, misses, stored)
+    todo = _distinct_misses(rows.withColumn("digest", digest), groups, misses, stored).select("digest", "text")
+    repeated = misses.where("n_low > 1").select("digest")  # equal rows with equal ids
+    if (n := repeated.count()) > 0:
+        repeated = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
+        todo = todo.join(repeated, "digest", "left_anti").unionByName(todo.join(repeated, "digest", "left_semi").dropDuplicates(["digest"]))
     fresh = todo.select(F.lit(version).alias("version"), "digest", count_udf(source, piecewise)("text").alias("n_tokens"))
     fresh.write.mode("append").parquet(path)
     counts = read_cache(spark, path, version)
