@@ -47,7 +47,7 @@ def claim_traces(claims: DataFrame, sources: DataFrame, group: str) -> DataFrame
 def locate(text: Column, evidence: Column) -> Column:
     """(match, line, page): where evidence stands in a text; otherwise whether a beginning of it does, blanks apart."""
     folded, wanted = F.lower(text), F.lower(F.regexp_replace(evidence, r"(?U)^\s+|\s+$", ""))
-    at = F.instr(folded, wanted)
+    at = F.when(wanted != "", F.instr(folded, wanted)).otherwise(0)
     before = F.left(text, at - 1)
     squeezed = lambda c: F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " "))
     start = F.left(squeezed(evidence), F.lit(80))
