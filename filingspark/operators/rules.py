@@ -89,6 +89,11 @@ def plain(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " ")))
 
 
+def let(value: Column, then) -> Column:
+    """then(value), with the value computed once however often it is used: plans stay as small as they read."""
+    return F.transform(F.array(value), then)[0]
+
+
 def any_phrase(text: Column, phrases) -> Column:
     found = F.lit(False)
     for p in phrases:
@@ -111,12 +116,12 @@ def all_matches(text: Column, rules) -> Column:
 
 
 def title_category(title: Column) -> Column:
-    return first_match(plain(title), TITLE_RULES, FALLBACK)
+    return let(plain(title), lambda t: first_match(t, TITLE_RULES, FALLBACK))
 
 
 def document_class(title: Column) -> Column:
     """public_expose, financial_report or general."""
-    return first_match(plain(title), (("public_expose", TITLE_RULES[0][1]), ("financial_report", TITLE_RULES[3][1])), "general")
+    return let(plain(title), lambda t: first_match(t, (("public_expose", TITLE_RULES[0][1]), ("financial_report", TITLE_RULES[3][1])), "general"))
 
 
 def owner_materiality(category: Column, in_portfolio: Column, in_watchlist: Column) -> Column:
@@ -131,33 +136,41 @@ def _some(facts: Column | None) -> Column:
 
 def taxonomy_tags(blob: Column, expansion: Column | None = None, management: Column | None = None, regulatory: Column | None = None) -> Column:
     """All tags of a text; facts of a kind that no tag names add that kind's usual one; OTHER if there is none."""
-    tags = all_matches(plain(blob), TAXONOMY)
+    tags = let(plain(blob), lambda t: all_matches(t, TAXONOMY))
     usual = (
         (expansion, ("EXPANSION", "CAPEX", "NEW_PROJECT", "NEW_CAPACITY", "NEW_SUBSIDIARY", "NEW_BUSINESS"), "EXPANSION"),
         (management, ("CONTROLLER_CHANGE", "MANAGEMENT_CHANGE", "BOARD_CHANGE"), "MANAGEMENT_CHANGE"),
         (regulatory, ("SUSPENSION", "UNSUSPENSION", "LISTING", "DELISTING", "REGULATORY", "LEGAL"), "REGULATORY"),
     )
-    for facts, named, tag in usual:
-        if facts is not None:
-            tags = F.when(_some(facts) & ~F.arrays_overlap(tags, F.array(*map(F.lit, named))), F.array_append(tags, F.lit(tag))).otherwise(tags)
-    return F.array_distinct(F.when(F.size(tags) == 0, F.array(F.lit("OTHER"))).otherwise(tags))
+    # The kinds share no tags, so each may look at the tags that the text names.
+    none = F.array().cast("array<string>")
+    added = [(_some(facts), F.array(*map(F.lit, named)), F.array(F.lit(tag))) for facts, named, tag in usual if facts is not None]
+
+    def whole(found: Column) -> Column:
+        parts = [F.when(some & ~F.arrays_overlap(found, named), tag).otherwise(none) for some, named, tag in added]
+        return let(F.array_distinct(F.concat(found, *parts)) if parts else found, lambda t: F.when(F.size(t) == 0, F.array(F.lit("OTHER"))).otherwise(t))
+
+    return let(tags, whole)
 
 
 def headline(title: Column) -> Column:
     """The first taxonomy category that the headline names, or null."""
-    return first_match(plain(title), TAXONOMY, None)
+    return let(plain(title), lambda t: first_match(t, TAXONOMY, None))
 
 
 def primary_first(title: Column, tags: Column) -> Column:
     """Tags with the headline's category, or else their first, in front."""
-    primary = F.coalesce(headline(title), tags[0])
-    return F.concat(F.array(primary), F.array_remove(tags, primary))
+    head = headline(title)
+    return let(tags, lambda t: let(F.coalesce(head, t[0]), lambda p: F.concat(F.array(p), F.array_remove(t, p))))
 
 
 def tag_materiality(tags: Column, mode: Column) -> Column:
-    some = lambda names: F.arrays_overlap(tags, F.array(*map(F.lit, names)))
-    routine = F.coalesce(mode == "routine_direct", F.lit(False)) | (tags == F.array(F.lit("ROUTINE_REPORT")))
-    return F.when(some(HIGH), "HIGH").when(some(MEDIUM), "MEDIUM").when(routine, "ROUTINE").otherwise("LOW")
+    def of(t: Column) -> Column:
+        some = lambda names: F.arrays_overlap(t, F.array(*map(F.lit, names)))
+        routine = F.coalesce(mode == "routine_direct", F.lit(False)) | (t == F.array(F.lit("ROUTINE_REPORT")))
+        return F.when(some(HIGH), "HIGH").when(some(MEDIUM), "MEDIUM").when(routine, "ROUTINE").otherwise("LOW")
+
+    return let(tags, of)
 
 
 def confidence(primary: Column, anchored: Column, materiality: Column) -> Column:
