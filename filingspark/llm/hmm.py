@@ -25,8 +25,8 @@ STATES = 6
 OWN, HASHED = 4000, 1000
 #: Words whose counts every Python worker holds at most; the counts of all others come by a shuffle join.
 HELD = 150_000
-#: Rounds of Baum-Welch over all training documents, and over the documents that the first values come from.
-ROUNDS, FIRST_ROUNDS, FIRST_DOCUMENTS = 3, 12, 400
+#: Rounds of Baum-Welch over all training documents, and over the parts of documents that the first values come from.
+ROUNDS, FIRST_ROUNDS, FIRST_PARTS = 3, 12, 800
 #: Distinct words that a task counts before it passes them on.
 FLUSH = 200_000
 #: In training, longer texts are cut into parts of so many tokens; scores never cut.
@@ -167,16 +167,14 @@ def parts(sequences: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [s for s, _ in cut_], np.array([f for _, f in cut_], bool)
 
 
-def first_model(sequences: list[np.ndarray], share: np.ndarray, states: int, seed: int) -> Hmm:
-    """Values to begin with: seeded random emissions, then some rounds over a few documents."""
+def first_model(cut_: list[np.ndarray], share: np.ndarray, states: int, seed: int) -> Hmm:
+    """Values to begin with: seeded random emissions, then some rounds over a few parts of documents."""
     rng = np.random.default_rng(seed)
     emit = share[:, None] * rng.gamma(1.0, 1.0, (len(share), states)) + 1e-9 * share[:, None]
     move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * (0.9 - 0.1 / max(1, states - 1))
     model = Hmm(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
-    if sequences:
-        cut_, first = parts(sequences)
-        for _ in range(FIRST_ROUNDS):
-            model = maximised(*model.expected(cut_, first)[:3], share)
+    for _ in range(FIRST_ROUNDS if cut_ else 0):
+        model = maximised(*model.expected(cut_, np.ones(len(cut_), bool))[:3], share)
     return model
 
 
@@ -291,14 +289,15 @@ def lm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own:
 
 
 def fit(coded: DataFrame, share: np.ndarray, states: int, rounds: int, seed: int) -> Hmm:
-    """Baum-Welch over all training rows of coded (rid, held_out, classes); begun with a few of them."""
+    """Baum-Welch over all training rows of coded (held_out, classes); begun with a few parts of them."""
     spark = coded.sparkSession
     learned = coded.where(~F.col("held_out"))
-    ids = [r[0] for r in learned.select("rid").orderBy(F.xxhash64("rid"), "rid").limit(FIRST_DOCUMENTS).collect()]
-    few = learned.where(F.col("rid").isin(ids)).select("rid", F.substring("classes", 1, 2 * 4 * PART).alias("c")).orderBy("rid").collect() if ids else []
-    model = first_model([np.frombuffer(bytes(r.c), np.uint16) for r in few], share, states, seed)
+    # A digest picks the parts, anywhere in the texts; each task passes on no more than are wanted.
+    each = learned.select(F.explode(F.expr(f"transform(sequence(0, (octet_length(classes) - 1) div {2 * PART}), i -> substring(classes, cast(i * {2 * PART} + 1 as int), {2 * PART}))")).alias("part"))
+    few = each.orderBy(F.xxhash64("part"), "part").limit(FIRST_PARTS).collect()
+    model = first_model([np.frombuffer(bytes(r.part), np.uint16) for r in few], share, states, seed)
     columns = [f"v{k}" for k in range(states)]
-    for _ in range(rounds if ids else 0):
+    for _ in range(rounds if few else 0):
         sent = ship(spark, model)
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
