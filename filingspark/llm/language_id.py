@@ -191,9 +191,15 @@ def fit(rows: list[tuple[str, np.ndarray]]) -> Model:
 
 
 def sampled_ids(rows: DataFrame, label: str, most: int) -> list:
-    """Up to `most` doc_ids of each label, by a digest of the id."""
-    rows = rows.select(label, "doc_id").distinct()
-    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
+    """Up to `most` doc_ids of each label, those with the smallest digests.
+
+    Ids whose digest is far above what `most` of the label's count need are left out first, so that the
+    ranking of a label gets about twice as many rows as it keeps, however many there are.
+    """
+    rows = rows.select(label, "doc_id").distinct().withColumn("key", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    counts = F.broadcast(rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")))  # a row for each label
+    rows = rows.join(counts, label).where(F.col("key").cast("double") * F.col("n") <= float((2 * most + 50) << 40))
+    order = Window.partitionBy(label).orderBy("key", "doc_id")
     return [r[0] for r in rows.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= most).select("doc_id").collect()]
 
 
@@ -214,10 +220,8 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
 
     rows = []
     for r in picked.mapInArrow(read, "lang string, at array<int>, value array<float>").toLocalIterator():
-        v = np.zeros(2 * BUCKETS, np.float32)
-        v[r.at] = r.value
-        rows.append((r.lang, v))
-    return fit(sorted(rows, key=lambda r: (r[0], r[1].tobytes())))
+        rows.append((r.lang, (np.array(r["at"], np.int32), np.array(r["value"], np.float32))))
+    return fit(sorted(rows, key=lambda r: (r[0], r[1][0].tobytes(), r[1][1].tobytes())))
 
 
 def predict_udf(model):
