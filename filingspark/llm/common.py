@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a slim table (a key of at most 40 bytes and a few numbers) may be broadcast.
 BROADCAST_ROWS = 100_000
+#: Rows and bytes of an Arrow batch at most: what a Python worker holds at once.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 #: A key is hot when it has more than this share of all rows; there are at most HOT_SHARE such keys.
 HOT_SHARE = 1_000
 
@@ -34,6 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch sizes to BATCH, so that workers stay small with long texts."""
+    for name, most in BATCH.items():
+        now = int(spark.conf.get(name).rstrip("bB"))
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; removed when the driver ends."""
     path = f"{shared_dir(spark)}/work-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
@@ -57,6 +67,7 @@ def clean() -> None:
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back, so that what follows survives lost executors."""
     path = work_path(df.sparkSession, label)
+    small_batches(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -122,6 +133,7 @@ def hash_mod(doc_id: str, modulus: int) -> Column:
 
 def ship(spark: SparkSession, value: object) -> Broadcast:
     """Broadcast an object of our own classes by value; the executors need no copy of this package."""
+    small_batches(spark)
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 

@@ -85,8 +85,7 @@ def frequencies(text: bytes) -> np.ndarray:
 
 def train_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
     """Weights (the last is the bias) of a linear support vector machine; y is 1 or -1. Classes count alike."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    w, alpha, square = np.zeros(x.shape[1]), np.zeros(len(x)), (x.astype(np.float64) ** 2).sum(1)
+    w, alpha, square = np.zeros(x.shape[1] + 1), np.zeros(len(x)), np.einsum("ij,ij->i", x, x) + 1.0
     share = {s: max(1, (y == s).sum()) for s in (1, -1)}
     most = np.array([c * len(y) / (2 * share[int(s)]) for s in y])
     order = np.random.default_rng(seed)
@@ -94,9 +93,10 @@ def train_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 30, se
         moved = 0.0
         for i in order.permutation(len(x)):
             old = alpha[i]
-            alpha[i] = min(most[i], max(0.0, old - (y[i] * (x[i] @ w) - 1) / square[i]))
+            alpha[i] = min(most[i], max(0.0, old - (y[i] * (x[i] @ w[:-1] + w[-1]) - 1) / square[i]))
             if alpha[i] != old:
-                w += (alpha[i] - old) * y[i] * x[i]
+                w[:-1] += (alpha[i] - old) * y[i] * x[i]
+                w[-1] += (alpha[i] - old) * y[i]
                 moved = max(moved, abs(alpha[i] - old))
         if moved < 1e-3:
             break
@@ -173,15 +173,17 @@ class Model:
         return out
 
 
-def fit(rows: list[tuple[str, np.ndarray]]) -> Model:
-    """A model from (lang, frequencies)."""
+def fit(rows: list[tuple[str, tuple[np.ndarray, np.ndarray]]]) -> Model:
+    """A model from (lang, (places, frequencies that aren't 0))."""
     langs = sorted({lang for lang, _ in rows})
     families: dict[str, list[str]] = {}
     for lang in langs:
         families.setdefault(family(lang), []).append(lang)
-    x = np.stack([v for _, v in rows]) if rows else np.zeros((0, 2 * BUCKETS), np.float32)
     own = np.array([lang for lang, _ in rows])
     its = np.array([family(lang) for lang, _ in rows])
+    x = np.zeros((len(rows), 2 * BUCKETS), np.float32)
+    for i, (_, (at, value)) in enumerate(rows):
+        x[i, at] = value
     weights = [train_svm(x, np.where(its == f, 1, -1)) if len(families) > 1 else np.zeros(x.shape[1] + 1) for f in families]
     pairs = [p for f in families.values() for p in combinations(f, 2)]
     for a, b in pairs:
