@@ -9,7 +9,7 @@ never all pairs; stars of those edges give the components.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, cut, own_columns, texts, without
+from .common import attach_groups, cut, own_columns, texts
 
 BITS = 64
 SEED = 42
@@ -204,11 +204,11 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return now.selectExpr("u as node", "v as root").unionByName(now.selectExpr("v as node", "v as root").distinct())
 
 
-def linked_rows(rows: DataFrame, radius: int) -> DataFrame:
-    """rows (doc_id, fp and others) with component_id, the smallest doc_id that links of fp reach."""
+def linked_rows(rows: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """rows (doc_id, fp and others) with component_id, the smallest doc_id that links of fp reach; linked: nodes (fp) to their components (node, root)."""
     slim = cut(rows, "simhash")
     nodes = cut(slim.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n_rows")), "nodes")
-    stars = cut(components(near_edges(nodes.select("fp"), radius)), "components")
+    stars = cut(linked(nodes.select("fp")), "components")
     linked = nodes.join(stars, nodes.fp == stars.node, "left").select("fp", "low", "n_rows", F.coalesce("root", "fp").alias("root"))
     linked = cut(linked, "linked")
     ids = linked.where("fp <> root").select("root").distinct()
@@ -226,19 +226,4 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 3) -> Data
     An empty table gives no rows; columns other than doc_id and text aren't read.
     """
     rows = own_columns(docs, doc_id=F.col("doc_id"), fp=simhash_udf(width)(F.coalesce(F.col("text"), F.lit(""))))
-    return linked_rows(rows, radius).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def drop_near_copies(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of docs that stay, with all their columns: of each component the one with the smallest doc_id.
-
-    Null ids come last; of rows with equal ids and different texts, one stays by a digest of the text.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = own_columns(docs, doc_id=F.col("doc_id"), digest=F.xxhash64(text), fp=simhash_udf(width)(text))
-    found = cut(linked_rows(rows, radius), "near_copies")
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "digest")).alias("first"), F.count(F.lit(1)).alias("n_rows"))
-    first = cut(first.where("n_rows > 1"), "near_groups")
-    keys = attach_groups(found, first, "root").select("doc_id", "digest", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))).alias("kept"))
-    keys = cut(keys.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"), "near_copied")
-    return without(docs, {"doc_id": F.col("doc_id"), "digest": F.xxhash64(text)}, keys.where("not kept"), keys.where("kept and n > 1"))
+    return linked_rows(rows, lambda nodes: components(near_edges(nodes, radius))).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
