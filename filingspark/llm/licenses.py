@@ -6,6 +6,7 @@ the order of the text are then matched against ordered licence rules. DataFrame
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -83,6 +84,50 @@ NOISE = r"""[^a-z0-9 .,;:/()"'\n-]+"""
 #: A full stop that ends a sentence, and an empty line.
 END = r"\.( |\n|$)|\n\n+"
 
+#: Standard texts up to what names the licence: (licence, wording, identifiers of its sentences).
+STANDARD = (
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.', ("apache2-header",)),
+    ("MIT", SENTENCES["mit-grant"].replace("conditions: the", "conditions:\n\nthe") + ".", ("mit-grant-only", "mit-notice")),
+    ("BSD-3-Clause", SENTENCES["bsd-grant"].replace("met: ", "met:\n\n1. ") + ".\n2. " + SENTENCES["bsd-binary"] + ".\n3. " + SENTENCES["bsd-names"] + ".", ("bsd-met", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", SENTENCES["bsd-grant"].replace("met: ", "met:\n\n1. ") + ".\n2. " + SENTENCES["bsd-binary"] + ".", ("bsd-met", "bsd-source", "bsd-binary")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.", ("mpl2-form",)),
+)
+#: Sentences that standard texts have besides; no rule takes them alone.
+BESIDES = {
+    "apache2-line": 'licensed under the apache license, version 2.0 (the "license");',
+    "apache2-at": "you may obtain a copy of the license at",
+    "apache2-url": "http://www.apache.org/licenses/license-2.0",
+    "mit-name": "mit license",
+    "mit-title-mit": "the mit license (mit)",
+    "mit-liability": "in no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software",
+    "mpl2-at": "if a copy of the mpl was not distributed with this file, you can obtain one at http://mozilla.org/mpl/2.0/",
+    "mpl2-at-https": "if a copy of the mpl was not distributed with this file, you can obtain one at https://mozilla.org/mpl/2.0/",
+}
+
+
+def pieces(text: str) -> list[str]:
+    """The sentences of a text as sentence_ids() cuts and compares them, numbers of lists and versions left out."""
+    t = re.sub(" +", " ", re.sub(NOISE, "", re.sub(r"[\t\r\f\x0B]+", " ", text.lower())))
+    found = re.split(END.replace("(", "(?:"), re.sub(r" ?\n ?", "\n", t))
+    return [x for x in (p.replace("\n", " ").strip() for p in found) if re.search("[a-z]", x)]
+
+
+def _add_standard() -> None:
+    """Enter the standard texts' own sentences and rules; a first sentence may follow an opening mark of comments, or have a list's number after it."""
+    global RULES
+    rules = []
+    for name, wording, ids in STANDARD:
+        parts = pieces(wording)
+        assert len(parts) == len(ids)
+        first, rest = ids[0], ids[1:]
+        forms = {first: parts[0], f"{first}-comment": f"/ {parts[0]}"} | ({f"{first}-1": f"{parts[0]} 1"} if parts[0].endswith(":") else {})
+        SENTENCES.update({**forms, **dict(zip(rest, parts[1:], strict=True))})
+        rules += [(name, (form, *rest)) for form in forms]
+    SENTENCES.update(BESIDES)
+    RULES += (*rules, ("Apache-2.0", ("apache2-line", "apache2-use")))
+
+
+_add_standard()
 
 def normalised(text: Column) -> Column:
     """Lower case, decoration dropped, single spaces; line breaks stay and null is empty."""
