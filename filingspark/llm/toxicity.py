@@ -39,13 +39,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LETTER = _CLASS > 0
 _SIGN = np.isin(np.arange(256), [ord(c) for c in LEET])
-_LEADING = np.isin(np.arange(256), [ord(c) for c in "013457@$"])
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _SEPARATOR = np.isin(np.arange(256), [ord(c) for c in SEPARATORS])
-_END = np.isin(np.arange(256), [ord(c) for c in " \t\n\r.,;:?"])
 #: Letters as they are in lower case, all else as spaces.
 _PLAIN = bytes(int(_LOWER[i]) if _LETTER[i] else 32 for i in range(256))
-_SPACED = re.compile(rb"(?<!\S)[a-zA-Z0-9@$!|](?:[ ._-][a-zA-Z0-9@$!|])+(?![^\s.,;:!?])")
+_ONE = rb"(?:[a-zA-Z0-9@$!|+*]|[\xc2-\xf4][\x80-\xbf]+)"
+_SPACED = re.compile(rb"(?<!\S)" + _ONE + rb"(?:[ ._-]+" + _ONE + rb")+(?![^\s.,;:!?])")
 _TOKEN = re.compile(rb"\S+")
 SEGMENT = 1 << 20
 
@@ -138,22 +137,21 @@ class _Path:
 
 
 def suspects(text: bytes) -> list[tuple[int, int]]:
-    """Spans that may be obfuscated, in order, apart from each other: tokens with signs between letters or a
-    letter three times, and single characters spaced apart."""
-    if len(text) < 3:
+    """All spans that a lattice can rewrite, in order, apart from each other: tokens with a sign beside a letter or
+    sign, a mark inside or a letter twice, and single characters spaced apart by any number of separators."""
+    if not text:
         return []
-    b = _LOWER[np.frombuffer(b" " + text + b"      ", np.uint8)]
+    b = _LOWER[np.frombuffer(b" " + text + b"  ", np.uint8)]
     letter, sign, space, mark = _LETTER[b], _SIGN[b], _SPACE[b], _SEPARATOR[b]
     some = letter | sign
     n = len(text)
     at = lambda x, k: x[k + 1 : k + 1 + n]
-    hits = at(letter, 0) & (at(b, 0) == at(b, 1)) & (at(b, 1) == at(b, 2)) & (at(b, 0) < 128)
-    hits |= at(letter, 0) & at(sign, 1) & (at(letter, 2) | (at(sign, 2) & at(letter, 3)))
-    leading = _LEADING[b]
-    hits |= at(space, -1) & at(leading, 0) & at(letter, 1)
-    hits |= at(letter, 0) & at(leading, 1) & at(_END[b], 2)
-    hits |= at(letter, 0) & at(mark, 1) & ~at(space, 1) & at(letter, 2) & at(mark, 3) & ~at(space, 3)
-    spaced = at(space, -1) & at(some, 0) & at(mark, 1) & at(some, 2) & at(mark, 3) & at(some, 4)
+    hits = at(letter, 0) & (at(b, 0) == at(b, 1)) & (at(b, 0) < 128)
+    # Other letters have several bytes and cases; any two of them in a row count as a letter twice.
+    hits |= (at(b, 0) >= 128) & (at(b, 1) >= 192)
+    hits |= (at(sign, 0) & at(some, 1)) | (at(some, 0) & at(sign, 1))
+    hits |= at(some, -1) & at(mark, 0) & ~at(space, 0) & ~at(space, 1)
+    spaced = at(space, -1) & ~at(space, 0) & (at(mark, 1) | (at(b, 0) >= 192))
     out, end = [], 0
     for i in np.flatnonzero(hits | spaced).tolist():
         if i < end:
