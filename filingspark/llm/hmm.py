@@ -2,8 +2,8 @@
 
 The most frequent words are classes of their own, all other words fall into hashed classes; inside a class
 a word has its smoothed share of the class's training count. Latent states emit classes. Baum-Welch counts
-are summed over the partitions of all training documents in each round; the scaled forward recursion gives
-the exact likelihood of each whole text.
+are summed over the partitions of all training documents in each round, until a round gains little; the
+scaled forward recursion gives the exact likelihood of each whole text.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +22,20 @@ from pyspark.sql import functions as F
 from .common import cut, hash_mod, own_columns, ship, shipped, texts
 
 STATES = 6
-#: Words with a class of their own at most, and hashed classes for the rest.
+#: Words with a class of their own, or twice the root of the number of distinct words if that is more; and hashed classes for the rest.
 OWN, HASHED = 4000, 1000
 #: Words whose counts every Python worker holds at most; the counts of all others come by a shuffle join.
 HELD = 150_000
-#: Rounds of Baum-Welch over all training documents, and over the parts of documents that the first values come from.
-ROUNDS, FIRST_ROUNDS, FIRST_PARTS = 3, 12, 800
+#: Rounds of Baum-Welch end when one raises the mean log likelihood of a training token by less than this; there are at most ROUNDS.
+GAIN, ROUNDS = 0.004, 40
 #: Distinct words that a task counts before it passes them on.
 FLUSH = 200_000
-#: In training, longer texts are cut into parts of so many tokens; scores never cut.
+#: Tokens of a sequence that are worked on side by side with others; the parts' ends are joined exactly.
 PART = 512
+#: Parts that are worked on at once.
+PARTS = 1000
+#: Classes, the most frequent ones, that tell how a class is followed, for first values.
+FOLLOWING = 16
 SEED = 11
 
 
@@ -52,13 +57,18 @@ class Vocabulary:
     def n_classes(self) -> int:
         return self.n_own + self.hashed + 1
 
+    @property
+    def kind(self) -> type:
+        """The narrowest type of class numbers."""
+        return np.uint16 if self.n_classes <= 1 << 16 else np.uint32
+
     def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Classes of the tokens, the last of them being the end; places of held words; the other words."""
         words = tokens(text)
         get = self.held.get
         places = np.array([get(w, -1) for w in words], np.int64)
         rest = [words[i] for i in np.flatnonzero(places < 0).tolist()]
-        classes = np.empty(len(words) + 1, np.uint16)
+        classes = np.empty(len(words) + 1, self.kind)
         classes[:-1] = self.class_of[places]
         if rest:
             classes[np.flatnonzero(places < 0)] = [self.n_own + zlib.crc32(w) % self.hashed for w in rest]
@@ -66,11 +76,11 @@ class Vocabulary:
         return classes, places[places >= 0], rest
 
     def prepare(self) -> Vocabulary:
-        own = np.arange(len(self.held), dtype=np.uint16 if self.n_classes < 65536 else np.int64)
+        own = np.arange(len(self.held), dtype=np.int64)
         for w, k in self.held.items():
             if k >= self.n_own:
                 own[k] = self.n_own + zlib.crc32(w) % self.hashed
-        self.class_of = np.append(own, 0)  # the last is read at -1 and then replaced
+        self.class_of = np.append(own, 0).astype(self.kind)  # the last is read at -1 and then replaced
         return self
 
 
@@ -96,41 +106,100 @@ class Hmm:
         out[order] = total
         return out
 
-    def expected(self, sequences: list[np.ndarray], first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-        """Expected starts, moves, emissions and the log likelihood; first: which sequences begin a text."""
+    def expected(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Expected starts, moves and emissions of whole sequences, and their log likelihood.
+
+        Long sequences are worked on in parts side by side. What is known at a part's ends from the rest of its
+        sequence, the state before it and what follows it, comes first, by products of the parts' matrices.
+        """
         k = len(self.start)
-        starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((len(self.emit), k))
-        order = np.argsort([-len(s) for s in sequences], kind="stable")
-        lengths = np.array([len(sequences[i]) for i in order])
-        first = first[order]
-        usual = stationary(self.move)
-        forward, emitted, scales, seen, total = [], [], [], [], 0.0
-        for t, n, classes in _steps([sequences[i] for i in order], lengths):
+        parts = [s[at : at + PART] for s in sequences for at in range(0, len(s), PART)]
+        first = np.array([at == 0 for s in sequences for at in range(0, len(s), PART)], bool)
+        before, after = self._ends(parts, first)
+        starts, moves, emits, total = np.zeros(k), np.zeros((k, k)), np.zeros((len(self.emit), k)), 0.0
+        order = np.argsort([-len(p) for p in parts], kind="stable")
+        for at in range(0, len(order), PARTS):
+            some = order[at : at + PARTS]
+            found = self._counts([parts[i] for i in some], first[some], before[some], after[some])
+            starts, moves, emits, total = starts + found[0], moves + found[1], emits + found[2], total + found[3]
+        return starts, moves * self.move, emits, total
+
+    def _ends(self, parts: list[np.ndarray], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each part, the distribution of the state before it (of no use to first ones), and the likelihood of what follows by state, scaled."""
+        n, k = len(parts), len(self.start)
+        before, after = np.zeros((n, k)), np.ones((n, k))
+        more = ~np.append(first[1:], True) if n else first  # whose sequence goes on
+        matrix = np.zeros((n, k, k))
+        inner = np.flatnonzero(~first)
+        matrix[inner] = self._matrices([parts[i] for i in inner], None)
+        heads = np.flatnonzero(first & more)
+        ends = np.zeros((n, k))
+        ends[heads] = self._matrices([parts[i] for i in heads], self.start)[:, 0]
+        for i in inner.tolist():
+            before[i] = ends[i - 1] / ends[i - 1].sum()
+            ends[i] = before[i] @ matrix[i]
+        for i in inner[::-1].tolist():
+            follows = matrix[i] @ after[i]
+            after[i - 1] = follows / follows.sum()
+        return before, after
+
+    def _matrices(self, parts: list[np.ndarray], start: np.ndarray | None) -> np.ndarray:
+        """Scaled products of the matrices (move, then emit) of parts, or of a start that emits first."""
+        k = len(self.start)
+        out = np.zeros((len(parts), 1 if start is not None else k, k))
+        order = np.argsort([-len(p) for p in parts], kind="stable")
+        for at in range(0, len(order), PARTS):
+            some = order[at : at + PARTS]
+            lengths = np.array([len(parts[i]) for i in some])
+            state = np.zeros((0, 1, k))
+            for t, n, classes in _steps([parts[i] for i in some], lengths):
+                if n < len(state):
+                    out[some[n : len(state)]] = state[n:]
+                    state = state[:n]
+                if t == 0:
+                    state = np.broadcast_to(self.start[None, None] if start is not None else self.move[None], (n, out.shape[1], k))
+                else:
+                    state = (state.reshape(-1, k) @ self.move).reshape(n, -1, k)
+                state = state * self.emit[classes][:, None]
+                if t % 16 == 15:
+                    state /= state.sum((1, 2), keepdims=True)
+            out[some[: len(state)]] = state / np.maximum(state.sum((1, 2), keepdims=True), 1e-300)
+        return out
+
+    def _counts(self, parts: list[np.ndarray], first: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """The expected counts of parts, the longest first, given their ends; moves lack the factor of the model's own."""
+        k, one = len(self.start), np.ones(len(self.start))
+        lengths = np.array([len(p) for p in parts])
+        forward, emitted, scales, seen = [], [], [], []
+        for t, n, classes in _steps(parts, lengths):
             e = self.emit[classes]
-            state = (np.where(first[:n, None], self.start, usual) if t == 0 else forward[-1][:n] @ self.move) * e
-            scale = state.sum(1)
-            total += float(np.log(scale).sum())
-            forward.append(state / scale[:, None])
+            state = (np.where(first[:n, None], self.start, before[:n] @ self.move) if t == 0 else forward[-1][:n] @ self.move) * e
+            scale = (state @ one)[:, None]
+            forward.append(state / scale)
             emitted.append(e)
             scales.append(scale)
             seen.append(classes)
-        backward = np.ones((0, k))
+        moves, emits = np.zeros((k, k)), np.zeros((len(self.emit), k))
+        backward, ahead = np.ones((0, k)), np.ones((0, k))
         gammas: list[np.ndarray] = []
         for t in range(len(forward) - 1, -1, -1):
             n, later = len(forward[t]), len(backward)
-            now = np.ones((n, k))
+            now = after[:n].copy()
+            now[later:] /= ((forward[t][later:] * now[later:]) @ one)[:, None]
             if later:
-                ahead = emitted[t + 1] * backward / scales[t + 1][:, None]
                 moves += forward[t][:later].T @ ahead
                 now[:later] = ahead @ self.move.T
             gammas.append(forward[t] * now)
-            backward = now
+            backward, ahead = now, emitted[t] * now / scales[t]
+        starts, total = np.zeros(k), 0.0
         if gammas:
-            starts = gammas[-1][first[: len(gammas[-1])]].sum(0)
+            starts = gammas[-1][first].sum(0)
+            moves += before[~first].T @ ahead[~first]  # from the part before into this one
             which, weight = np.concatenate(seen[::-1]), np.concatenate(gammas)
             for j in range(k):
                 emits[:, j] = np.bincount(which, weights=weight[:, j], minlength=len(self.emit))
-        return starts, moves * self.move, emits, total
+            total = float(np.log(np.concatenate(scales)).sum())
+        return starts, moves, emits, total
 
 
 def _steps(sequences: list[np.ndarray], lengths: np.ndarray, block: int = 256) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -138,22 +207,15 @@ def _steps(sequences: list[np.ndarray], lengths: np.ndarray, block: int = 256) -
     longest = int(lengths[0]) if len(lengths) else 0
     for at in range(0, longest, block):
         n = int(np.searchsorted(-lengths, -at, "left"))
-        table = np.zeros((min(block, longest - at), n), np.uint16)
+        table = np.zeros((min(block, longest - at), n), np.intp)
         for i in range(n):
             part = sequences[i][at : at + block]
             table[: len(part), i] = part
-        for t in range(len(table)):
-            m = int(np.searchsorted(-lengths, -(at + t), "left"))
+        reach = np.searchsorted(-lengths, -np.arange(at, at + len(table)), "left").tolist()
+        for t, m in enumerate(reach):
             yield at + t, m, table[t, :m]
 
 
-def stationary(move: np.ndarray) -> np.ndarray:
-    p = np.full(len(move), 1 / len(move))
-    for _ in range(50):
-        p = p @ move
-    return p / p.sum()
-
-
 def maximised(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, share: np.ndarray) -> Hmm:
     """The model of some expected counts; emissions are smoothed by the classes' overall shares."""
     start = starts + 1.0
@@ -162,20 +224,28 @@ def maximised(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, share: n
     return Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def parts(sequences: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    cut_ = [(s[at : at + PART], at == 0) for s in sequences for at in range(0, len(s), PART)]
-    return [s for s, _ in cut_], np.array([f for _, f in cut_], bool)
-
+def first_model(following: np.ndarray, share: np.ndarray, states: int, seed: int) -> Hmm:
+    """Values to begin with: classes that are followed alike go to one state, by k-means.
 
-def first_model(cut_: list[np.ndarray], share: np.ndarray, states: int, seed: int) -> Hmm:
-    """Values to begin with: seeded random emissions, then some rounds over a few parts of documents."""
+    following: how often each class is followed by each of the FOLLOWING most frequent ones and by others.
+    """
+    k = max(1, states)
+    own = following / np.maximum(following.sum(1, keepdims=True), 1e-12)
+    own = own - (share @ own) / share.sum()
     rng = np.random.default_rng(seed)
-    emit = share[:, None] * rng.gamma(1.0, 1.0, (len(share), states)) + 1e-9 * share[:, None]
-    move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * (0.9 - 0.1 / max(1, states - 1))
-    model = Hmm(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
-    for _ in range(FIRST_ROUNDS if cut_ else 0):
-        model = maximised(*model.expected(cut_, np.ones(len(cut_), bool))[:3], share)
-    return model
+    centres = own[[int(np.argmax(share))]]
+    while len(centres) < k:  # the next centre is drawn by its distance to those there are
+        away = ((own[:, None] - centres[None]) ** 2).sum(2).min(1) * share
+        centres = np.vstack([centres, own[int(rng.choice(len(own), p=away / away.sum()) if away.sum() > 0 else rng.integers(len(own)))]])
+    for _ in range(50):
+        nearest = ((own[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        weight = np.stack([np.bincount(nearest, weights=share * own[:, j], minlength=k) for j in range(own.shape[1])], 1)
+        sums = np.bincount(nearest, weights=share, minlength=k)[:, None]
+        centres = np.where(sums > 0, weight / np.maximum(sums, 1e-12), centres)
+    held = np.full((len(share), k), 0.2 / k) + 0.8 * np.eye(k)[nearest]
+    emit = share[:, None] * held * (1 + 0.01 * rng.random((len(share), k)))
+    move = np.full((k, k), 0.5 / k) + 0.5 * np.eye(k)
+    return Hmm(np.full(k, 1 / k), move, emit / emit.sum(0))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -232,7 +302,7 @@ def lm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own:
     train_tokens, types = n_words + n_docs, n_types + (n_docs > 0)
     mass = train_tokens + 0.5 * (types + 1)
     words = _held_words(counts, held)
-    vocabulary = Vocabulary({w: i for i, (w, _) in enumerate(words)}, np.array([n for _, n in words], np.float64), min(own, len(words)), hashed).prepare()
+    vocabulary = Vocabulary({w: i for i, (w, _) in enumerate(words)}, np.array([n for _, n in words], np.float64), min(max(own, 2 * isqrt(n_types)), len(words)), hashed).prepare()
     n_own, n_classes = vocabulary.n_own, vocabulary.n_classes
 
     # What a class holds: (count + 0.5) of its words, and half a count for the unknown in hashed ones.
@@ -245,7 +315,7 @@ def lm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own:
         z[n_own + at] += float(total)
     share = z / z.sum()
 
-    shipped_vocabulary = ship(spark, vocabulary)
+    shipped_vocabulary, kind = ship(spark, vocabulary), vocabulary.kind
 
     @F.arrow_udf("struct<classes:binary,n_held:bigint,held_log:double,rest:array<binary>>")
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -264,7 +334,7 @@ def lm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own:
             )
 
     coded = cut(rows.select("doc_id", "held_out", F.monotonically_increasing_id().alias("rid"), read("text").alias("r")).select("doc_id", "held_out", "rid", "r.*"), "classes")
-    model = fit(coded, share, states, rounds, seed)
+    model = fit(coded, share, kind, states, rounds, seed)
 
     # The words that aren't held: their counts come by a shuffle join; unknown ones stay behind as a number.
     rest = coded.select("rid", F.explode("rest").alias("word"))
@@ -275,11 +345,11 @@ def lm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own:
     def forward(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own_model, spread = shipped(packed)
         for arr in batches:
-            sequences = [np.frombuffer(b, np.uint16) for b in texts(arr)]
+            sequences = [np.frombuffer(b, kind) for b in texts(arr)]
             likely = own_model.log_likelihood(sequences) / np.log(10)
             yield pa.StructArray.from_arrays([pa.array(likely), pa.array([float(spread[s].sum()) for s in sequences], pa.float64())], ["log10_p", "classes_log"])
 
-    scored = coded.select("doc_id", "held_out", "rid", (F.octet_length("classes") / 2).cast("bigint").alias("n_tokens"), "n_held", "held_log", forward("classes").alias("f"))
+    scored = coded.select("doc_id", "held_out", "rid", (F.octet_length("classes") / np.dtype(kind).itemsize).cast("bigint").alias("n_tokens"), "n_held", "held_log", forward("classes").alias("f"))
     whole = scored.join(rest, "rid", "left").fillna({"n_rest": 0, "rest_log": 0.0})
     known = F.col("n_held") + F.col("n_rest") + F.lit(int(n_docs > 0))
     unknown = F.col("n_tokens") - 1 - F.col("n_held") - F.col("n_rest")
@@ -288,34 +358,70 @@ def lm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own:
     return whole.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", (F.col("base_score") + F.col("f.log10_p") + F.col("f.classes_log")).alias("score"))
 
 
-def fit(coded: DataFrame, share: np.ndarray, states: int, rounds: int, seed: int) -> Hmm:
-    """Baum-Welch over all training rows of coded (held_out, classes); begun with a few parts of them."""
+def fit(coded: DataFrame, share: np.ndarray, kind: type, states: int, rounds: int, seed: int) -> Hmm:
+    """Baum-Welch over all training rows of coded (held_out, classes), each text a whole sequence."""
     spark = coded.sparkSession
-    learned = coded.where(~F.col("held_out"))
-    # A digest picks the parts, anywhere in the texts; each task passes on no more than are wanted.
-    each = learned.select(F.explode(F.expr(f"transform(sequence(0, (octet_length(classes) - 1) div {2 * PART}), i -> substring(classes, cast(i * {2 * PART} + 1 as int), {2 * PART}))")).alias("part"))
-    few = each.orderBy(F.xxhash64("part"), "part").limit(FIRST_PARTS).collect()
-    model = first_model([np.frombuffer(bytes(r.part), np.uint16) for r in few], share, states, seed)
-    columns = [f"v{k}" for k in range(states)]
-    for _ in range(rounds if few else 0):
-        sent = ship(spark, model)
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own = shipped(sent)
-            k = len(own.start)
-            total = np.zeros((len(own.emit) + k + 1, k))
-            for batch in batches:
-                sequences = [np.frombuffer(b, np.uint16) for b in texts(batch.column(0))]
-                cut_, first = parts(sequences)
-                for at in range(0, len(cut_), 1000):
-                    starts, moves, emits, _ = own.expected(cut_[at : at + 1000], first[at : at + 1000])
-                    total += np.vstack([emits, moves, starts[None]])
-            at = np.flatnonzero(total.any(1))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(total[at, j]) for j in range(k)]], ["at", *[f"v{j}" for j in range(k)]])
-
-        sums = learned.select("classes").mapInArrow(count, "at int, " + ", ".join(f"{c} double" for c in columns)).groupBy("at").agg(*[F.sum(c).alias(c) for c in columns])
-        total = np.zeros((len(share) + states + 1, states))
-        for r in sums.collect():
-            total[r[0]] = r[1:]
-        model = maximised(total[-1], total[len(share) : -1], total[: len(share)], share)
+    learned = coded.where(~F.col("held_out")).select("classes")
+    following = _summed(learned.mapInArrow(_following(np.argsort(-share, kind="stable")[:FOLLOWING], len(share), kind), _schema(FOLLOWING + 1)), len(share), FOLLOWING + 1)
+    model, before = first_model(following, share, states, seed), -np.inf
+    for _ in range(rounds if following.any() else 0):
+        sums = _summed(learned.mapInArrow(_expected(ship(spark, model), kind), _schema(states)), len(share) + states + 2, states)
+        mean = sums[-1, 0] / sums[: len(share)].sum()
+        model = maximised(sums[-2], sums[len(share) : -2], sums[: len(share)], share)
+        if mean - before < GAIN:
+            break
+        before = mean
     return model
+
+
+def _schema(columns: int) -> str:
+    return "at int, " + ", ".join(f"v{j} double" for j in range(columns))
+
+
+def _rows(table: np.ndarray) -> pa.RecordBatch:
+    """The rows of a table that aren't all 0, with their places."""
+    at = np.flatnonzero(table.any(1))
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(table[at, j]) for j in range(table.shape[1])]], ["at", *[f"v{j}" for j in range(table.shape[1])]])
+
+
+def _summed(parts: DataFrame, rows: int, columns: int) -> np.ndarray:
+    """The sum of the tables that tasks pass on; as large as one of them."""
+    names = [f"v{j}" for j in range(columns)]
+    table = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+    out = np.zeros((rows, columns))
+    for j, c in enumerate(names):
+        out[table.column("at").to_numpy(), j] = table.column(c).to_numpy()
+    return out
+
+
+def _following(frequent: np.ndarray, n_classes: int, kind: type):
+    """Counts which of the frequent classes, or another, follows each class."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = len(frequent) + 1
+        place = np.full(n_classes, width - 1)
+        place[frequent] = np.arange(width - 1)
+        total = np.zeros(n_classes * (FOLLOWING + 1))
+        for batch in batches:
+            c = np.frombuffer(b"".join(texts(batch.column(0))), kind).astype(np.int64)
+            c, after = c[:-1], place[c[1:]]
+            inner = c != n_classes - 1  # nothing follows an end
+            total += np.bincount(c[inner] * (FOLLOWING + 1) + after[inner], minlength=len(total))
+        yield _rows(total.reshape(n_classes, FOLLOWING + 1))
+
+    return count
+
+
+def _expected(sent, kind: type):
+    """Baum-Welch counts of a task: emissions, moves, starts and the log likelihood, one below the other."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shipped(sent)
+        k = len(own.start)
+        total = np.zeros((len(own.emit) + k + 2, k))
+        for batch in batches:
+            starts, moves, emits, likelihood = own.expected([np.frombuffer(b, kind) for b in texts(batch.column(0))])
+            total += np.vstack([emits, moves, starts[None], np.eye(1, k) * likelihood])
+        yield _rows(total)
+
+    return count
