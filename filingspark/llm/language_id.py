@@ -21,8 +21,8 @@ from .common import hash_mod, ship, shipped, texts
 
 #: Hashed features of each order (pairs, triples).
 BUCKETS = 4096
-#: Rows of each language that the classifiers learn from.
-SAMPLE = 600
+#: Rows of each language that the classifiers learn from, and rows of all languages together.
+SAMPLE, ROWS = 600, 12_000
 #: Code points that are scored at once.
 SEGMENT = 1 << 20
 #: Frequencies are scaled so that texts are of about unit length.
@@ -57,8 +57,8 @@ def letters() -> np.ndarray:
 
 
 def code_points(text: bytes) -> np.ndarray:
-    """Lower-cased letters of a text; all else as spaces, two at each end."""
-    points = np.frombuffer(("  " + text.decode().lower() + "  ").encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Lower-cased letters of a text; all else, bytes that aren't UTF-8 too, as spaces, two at each end."""
+    points = np.frombuffer(("  " + text.decode("utf-8", "replace").lower() + "  ").encode("utf-32-le", "surrogatepass"), np.uint32)
     return np.where(letters()[points], points, np.uint32(32))
 
 
@@ -83,21 +83,29 @@ def frequencies(text: bytes) -> np.ndarray:
     return (counts * (SCALE / max(1, len(points) - 2))).astype(np.float32)
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
-    """Weights (the last is the bias) of a linear support vector machine; y is 1 or -1. Classes count alike."""
-    w, alpha, square = np.zeros(x.shape[1] + 1), np.zeros(len(x)), np.einsum("ij,ij->i", x, x) + 1.0
+#: A row of features: places, and values there; all others are 0.
+Row = tuple[np.ndarray, np.ndarray]
+
+
+def train_svm(rows: list[Row], y: np.ndarray, size: int, c: float = 1.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
+    """Weights (the last is the bias) of a linear support vector machine over rows of `size` features; y is 1 or -1. Classes count alike."""
+    w, alpha = np.zeros(size + 1), np.zeros(len(rows))
+    square = [float(v @ v) + 1.0 for _, v in rows]
     share = {s: max(1, (y == s).sum()) for s in (1, -1)}
-    most = np.array([c * len(y) / (2 * share[int(s)]) for s in y])
+    most = [c * len(y) / (2 * share[int(s)]) for s in y]
     order = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
-        for i in order.permutation(len(x)):
+        for i in order.permutation(len(rows)).tolist():
+            at, value = rows[i]
             old = alpha[i]
-            alpha[i] = min(most[i], max(0.0, old - (y[i] * (x[i] @ w[:-1] + w[-1]) - 1) / square[i]))
-            if alpha[i] != old:
-                w[:-1] += (alpha[i] - old) * y[i] * x[i]
-                w[-1] += (alpha[i] - old) * y[i]
-                moved = max(moved, abs(alpha[i] - old))
+            new = min(most[i], max(0.0, old - (y[i] * (value @ w[at] + w[-1]) - 1) / square[i]))
+            if new != old:
+                alpha[i] = new
+                step = (new - old) * y[i]
+                w[at] += step * value
+                w[-1] += step
+                moved = max(moved, abs(new - old))
         if moved < 1e-3:
             break
     return w
@@ -173,22 +181,19 @@ class Model:
         return out
 
 
-def fit(rows: list[tuple[str, tuple[np.ndarray, np.ndarray]]]) -> Model:
-    """A model from (lang, (places, frequencies that aren't 0))."""
-    langs = sorted({lang for lang, _ in rows})
+def fit(rows: list[tuple[str, Row]]) -> Model:
+    """A model from languages and rows of features."""
     families: dict[str, list[str]] = {}
-    for lang in langs:
+    for lang in sorted({lang for lang, _ in rows}):
         families.setdefault(family(lang), []).append(lang)
-    own = np.array([lang for lang, _ in rows])
+    size = 2 * BUCKETS
     its = np.array([family(lang) for lang, _ in rows])
-    x = np.zeros((len(rows), 2 * BUCKETS), np.float32)
-    for i, (_, (at, value)) in enumerate(rows):
-        x[i, at] = value
-    weights = [train_svm(x, np.where(its == f, 1, -1)) if len(families) > 1 else np.zeros(x.shape[1] + 1) for f in families]
+    x = [r for _, r in rows]
+    weights = [train_svm(x, np.where(its == f, 1, -1), size) if len(families) > 1 else np.zeros(size + 1) for f in families]
     pairs = [p for f in families.values() for p in combinations(f, 2)]
     for a, b in pairs:
-        which = (own == a) | (own == b)
-        weights.append(train_svm(x[which], np.where(own[which] == a, 1, -1)))
+        both = [(lang, r) for lang, r in rows if lang in (a, b)]
+        weights.append(train_svm([r for _, r in both], np.array([1 if lang == a else -1 for lang, _ in both]), size))
     return Model(list(families.items()), pairs, np.array(weights))
 
 
@@ -206,24 +211,23 @@ def sampled_ids(rows: DataFrame, label: str, most: int) -> list:
 
 
 def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    """Fit on up to `sample` rows of docs (doc_id, text, lang) of each language, among those where learn holds.
+    """Fit on up to `sample` rows of docs (doc_id, text, lang) of each language and ROWS in all, among those where learn holds.
 
     Rows with a null lang, id or text teach nothing. Of rows with the same id, one is used.
     """
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    ids = sampled_ids(rows, "lang", sample)
+    n_langs = rows.select("lang").distinct().count()
+    ids = sampled_ids(rows, "lang", min(sample, max(1, ROWS // max(1, n_langs))))
     picked = rows.where(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("r.lang", "r.text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [frequencies(t) for t in texts(batch.column(1))]
-            at = [np.flatnonzero(f) for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), pa.array([f[a] for f, a in zip(found, at, strict=True)], pa.list_(pa.float32()))], ["lang", "at", "value"])
+            at = [np.flatnonzero(f).astype(np.int32) for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([a.tobytes() for a in at], pa.binary()), pa.array([f[a].tobytes() for f, a in zip(found, at, strict=True)], pa.binary())], ["lang", "at", "value"])
 
-    rows = []
-    for r in picked.mapInArrow(read, "lang string, at array<int>, value array<float>").toLocalIterator():
-        rows.append((r.lang, (np.array(r["at"], np.int32), np.array(r["value"], np.float32))))
-    return fit(sorted(rows, key=lambda r: (r[0], r[1][0].tobytes(), r[1][1].tobytes())))
+    rows = [(lang, bytes(at), bytes(value)) for lang, at, value in picked.mapInArrow(read, "lang string, at binary, value binary").toLocalIterator()]
+    return fit([(lang, (np.frombuffer(at, np.int32), np.frombuffer(value, np.float32))) for lang, at, value in sorted(rows)])
 
 
 def predict_udf(model):
