@@ -2,14 +2,16 @@
 
 Base patterns give spans that always stay. High-recall generators propose further spans, which may overlap:
 written-out e-mail addresses, phone numbers without a plus, card numbers and addresses with other
-separators. Boosted trees judge each by its format and context; per-kind thresholds, calibrated on rows
-that the trees haven't seen, select those that are added.
+separators. Boosted trees judge each by its format and context; per-kind thresholds, calibrated on spans of
+documents that the trees haven't seen, select those that are added.
 """
 
 from __future__ import annotations
 
 import random
 import re
+import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, shipped, texts
+from .language_id import sampled_ids
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose base spans, rewritten, teach the trees.
-SAMPLE = 2000
+#: Documents whose base spans, rewritten, teach the trees; of each, so many spans of a kind, of at most so many code points.
+SAMPLE, SPANS, LONGEST = 2000, 5, 100
 TREES, DEPTH, RATE, BINS = 60, 3, 0.2, 16
-#: Share of calibration candidates over a threshold that must be right.
-PRECISION = 0.95
+#: Share of calibration candidates over a threshold that must be right, and the least threshold.
+PRECISION, LEAST = 0.95, 0.9
 #: Code points around a span that count as its context.
 CONTEXT = 40
 
@@ -84,23 +87,15 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return out
 
 
+#: What every e-mail candidate has; the generator itself begins at any letter, so it is tried only on texts with this.
+_AT = re.compile(r"(?i)@|\(at\)|\[at\]|\{at\}|\sat\s\s?[a-z0-9-]{1,63}\s?(?:\(dot\)|\[dot\]|\{dot\}|\.|\sdot\s)")
+
+
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) of all generators; kinds may overlap."""
-    out = []
     digits = _DIGIT.search(text)
-    for k, kind in enumerate(KINDS):
-        if digits if kind != "email" else ("@" in text or "at" in text):
-            if kind == "email" and not _maybe_email(text):
-                continue
-            out += [(k, *m.span()) for m in GENERATORS[kind].finditer(text)]
-    return out
-
-
-_AT = re.compile(r"(?i)@|\(at\)|\[at\]|\{at\}|\sat\s\S+\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s|\.)")
-
-
-def _maybe_email(text: str) -> bool:
-    return _AT.search(text) is not None
+    tried = {"email": _AT.search(text), "ip": digits, "card": digits, "phone": digits}
+    return [(k, *m.span()) for k, kind in enumerate(KINDS) if tried[kind] for m in GENERATORS[kind].finditer(text)]
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
@@ -252,42 +247,62 @@ class Model:
         """For texts with their base spans and candidates: all spans by kind and start, base ones kept."""
         rows, owner = [], []
         for i, (text, base, extra) in enumerate(found):
-            taken = sorted(s for spans in base.values() for s in spans)
+            taken = Taken(s for spans in base.values() for s in spans)
             for k, s, e in extra:
-                if not _overlaps(taken, s, e):
+                if taken.free(s, e):
                     rows.append(features(text, k, s, e))
                     owner.append((i, k, s, e))
         out = [[(k, s, e) for k, kind in enumerate(KINDS) for s, e in base[kind]] for _, base, _ in found]
         if rows:
             p = self.trees.probability(np.array(rows, np.float64))
-            added: dict[int, list[tuple[int, int]]] = {}
+            added: dict[int, Taken] = {}
             for (i, k, s, e), sure in sorted(zip(owner, p.tolist(), strict=True), key=lambda r: (-r[1], r[0])):
-                if sure >= self.thresholds[k] and not any(s < b and a < e for a, b in added.get(i, ())):
-                    added.setdefault(i, []).append((s, e))
+                if sure >= self.thresholds[k] and added.setdefault(i, Taken()).free(s, e):
+                    added[i].add(s, e)
                     out[i].append((k, s, e))
         return [sorted(spans) for spans in out]
 
 
-def _overlaps(taken: list[tuple[int, int]], s: int, e: int) -> bool:
-    return any(a < e and s < b for a, b in taken)
+class Taken:
+    """Parts of a text that are taken, apart from each other and in order."""
+
+    def __init__(self, spans=()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def free(self, s: int, e: int) -> bool:
+        return bisect_right(self.ends, s) == bisect_left(self.starts, e)
+
+    def add(self, s: int, e: int) -> None:
+        """Take a free part."""
+        k = bisect_left(self.starts, s)
+        self.starts.insert(k, s)
+        self.ends.insert(k, e)
 
 
-def fit(contexts: list[tuple[str, str, str, str]], seed: int = 5) -> Model:
-    """From base spans (kind, before, span, after): rewritten ones are right, decoys in their place are wrong.
+def fit(contexts: list[tuple[int, str, str, str, str]], seed: int = 5) -> Model:
+    """From base spans (document, kind, before, span, after): rewritten ones are right, decoys in their place are wrong.
 
-    Two thirds grow the trees, the rest calibrate the thresholds. Some made-up spans join in, so that
-    there is a model without any base span.
+    Documents are numbered by a digest: those of two remainders of three grow the trees, the rest calibrate
+    the thresholds. Some made-up spans join in, so that there is a model without any base span.
     """
     rng = random.Random(seed)
     given = sorted(contexts)
-    made = [("email", "word of ", f"user{i}@mail{i % 9}.example.com", " and so") for i in range(60)]
-    made += [("ip", "word of ", ".".join(str(rng.randint(1, 255)) for _ in range(4)), " and so") for _ in range(60)]
-    made += [("phone", "word of ", f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(0, 9999):04d}", " and so") for _ in range(60)]
+    made = [("email", f"user{i}@mail{i % 9}.example.com") for i in range(60)]
+    made += [("ip", ".".join(str(rng.randint(1, 255)) for _ in range(4))) for _ in range(60)]
+    made += [("phone", f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(0, 9999):04d}") for _ in range(60)]
     for _ in range(60):
         digits = "4" + "".join(rng.choice("0123456789") for _ in range(14))
-        made.append(("card", "word of ", next(digits + c for c in "0123456789" if luhn(digits + c)), " and so"))
-    rows, marks = [], []
-    for kind, before, span, after in given + made:
+        made.append(("card", next(digits + c for c in "0123456789" if luhn(digits + c))))
+    given += [(n, kind, "word of ", span, " and so") for n, (kind, span) in enumerate(made)]
+    rows, marks, held = [], [], []
+    for document, kind, before, span, after in given:
         for text, mark in ((_rewritten(kind, span, rng), 1), (_decoy(kind, rng), 0), (_decoy(rng.choice(KINDS), rng), 0)):
             whole = before + text + after
             for k, s, e in candidates(whole):
@@ -296,8 +311,8 @@ def fit(contexts: list[tuple[str, str, str, str]], seed: int = 5) -> Model:
                 right = mark and KINDS[k] == kind and s == len(before) and e == len(before) + len(text)
                 rows.append(features(whole, k, s, e))
                 marks.append(int(right))
-    x, y = np.array(rows, np.float64), np.array(marks)
-    held = np.arange(len(y)) % 3 == 0
+                held.append(document % 3 == 0)
+    x, y, held = np.array(rows, np.float64), np.array(marks), np.array(held)
     trees = Boosted().fit(x[~held], y[~held])
     p, thresholds = trees.probability(x[held]), []
     for k in range(len(KINDS)):
@@ -305,27 +320,29 @@ def fit(contexts: list[tuple[str, str, str, str]], seed: int = 5) -> Model:
         order = np.argsort(-p[of], kind="stable")
         right = np.cumsum(y[held][of][order]) / np.arange(1, of.sum() + 1)
         good = np.flatnonzero(right >= PRECISION)
-        thresholds.append(max(0.9, float(p[of][order][good[-1]])) if len(good) else 2.0)
+        thresholds.append(max(LEAST, float(p[of][order][good[-1]])) if len(good) else 2.0)
     return Model(trees, thresholds)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the base spans of up to `sample` rows of docs (doc_id, text) that have digits or an @, by a digest of the id."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"@|[0-9]{2}"))
-    ids = [r[0] for r in rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    ids = sampled_ids(rows.withColumn("all", F.lit(0)), "all", sample)
     picked = rows.where(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min("text").alias("text")).select("text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for raw in texts(batch.column(0)):
-                text = raw.decode()
-                # A few spans of a document are enough to learn from.
+                text = raw.decode("utf-8", "replace")
                 for kind, spans in base_spans(text).items():
-                    out += [(kind, text[max(0, s - CONTEXT) : s], text[s:e], text[e : e + CONTEXT]) for s, e in spans[:5] if e - s < 100]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string()) for k in range(4)], ["kind", "before", "span", "after"])
+                    some = [(s, e) for s, e in spans if e - s <= LONGEST][:SPANS]
+                    out += [(zlib.crc32(raw), kind, text[max(0, s - CONTEXT) : s], text[s:e], text[e : e + CONTEXT]) for s, e in some]
+            kinds = (pa.int64(), *[pa.string()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(5)], ["document", "kind", "before", "span", "after"])
 
-    return fit([tuple(r) for r in picked.mapInArrow(read, "kind string, before string, span string, after string").collect()] if ids else [])
+    schema = "document bigint, kind string, before string, span string, after string"
+    return fit([tuple(r) for r in picked.mapInArrow(read, schema).collect()] if ids else [])
 
 
 def spans_udf(model):
@@ -336,7 +353,7 @@ def spans_udf(model):
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shipped(model)
         for arr in batches:
-            found = [(t, base_spans(t), candidates(t)) for t in (raw.decode() for raw in texts(arr))]
+            found = [(t, base_spans(t), candidates(t)) for t in (raw.decode("utf-8", "replace") for raw in texts(arr))]
             rows = []
             for (_, base, _), spans in zip(found, own.add(found), strict=True):
                 sure = {(k, s, e) for k, kind in enumerate(KINDS) for s, e in base[kind]}
@@ -362,7 +379,7 @@ def redact_udf(model):
     def redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shipped(model)
         for arr in batches:
-            found = [(t, base_spans(t), candidates(t)) for t in (raw.decode() for raw in texts(arr))]
+            found = [(t, base_spans(t), candidates(t)) for t in (raw.decode("utf-8", "replace") for raw in texts(arr))]
             out = []
             for (text, _, _), spans in zip(found, own.add(found), strict=True):
                 done, end = [], 0
@@ -380,7 +397,7 @@ def pii_digest(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every row of docs (doc_id, text).
 
     Counts and base_sha256 are of base spans, spans lists all, as kind:start:end. Null texts count as
-    empty. Repeated rows are each returned; an empty table gives no rows; other columns aren't read.
+    empty, bytes that aren't UTF-8 as replacement characters. Repeated rows are each returned; an empty table gives no rows; other columns aren't read.
     """
     rows = pii_spans(docs.select("doc_id", "text"), sample=sample)
     base = F.filter("found", lambda x: x["base"])
