@@ -28,8 +28,8 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "
 SEPARATORS = " ._-"
 #: Costs of the channel, in nats: a sign read as a letter, a sign or separator dropped, a separator kept, a run shortened.
 AS_LETTER, DROP, SEPARATOR_DROP, SEPARATOR_KEEP, SHORTEN = 1.5, 9.0, 0.5, 1.5, 1.0
-#: Spans whose decoding a Python worker remembers.
-MEMO = 100_000
+#: Bytes of spans, their readings and what Python needs to hold them, that a worker remembers.
+MEMO, ENTRY = 32 << 20, 200
 
 N = 28  # boundary, a to z, any other letter
 _CLASS = np.zeros(256, np.uint8)
@@ -70,13 +70,19 @@ class CharacterModel:
         p3 = (three + weight * p2[None]) / (three.sum(2, keepdims=True) + weight)
         self.costs = (-np.log(p3)).tolist()
         self.seen: dict[bytes, bytes] = {}
+        self.held = 0
 
     def decode(self, span: bytes) -> bytes:
         """The cheapest reading of a span, in lower case; words are parted by spaces."""
         if (found := self.seen.get(span)) is None:
-            if len(self.seen) >= MEMO:
+            found = viterbi(lattice(span.decode("utf-8", "replace").lower()), self.costs).encode()
+            size = 2 * len(span) + ENTRY
+            if self.held + size > MEMO:
                 self.seen.clear()
-            found = self.seen[span] = viterbi(lattice(span.decode("utf-8", "replace").lower()), self.costs).encode()
+                self.held = 0
+            if size <= MEMO:
+                self.seen[span] = found
+                self.held += size
         return found
 
 
