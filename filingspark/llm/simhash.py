@@ -1,15 +1,17 @@
 """SimHash near-duplicates by BK-trees.
 
-Fingerprints within r bits share at least one of r + 1 blocks of bits exactly. So all fingerprints are
-dealt into shards by (block, value); each shard is a BK-tree, whose children are keyed by their integer
-Hamming distance to the parent, and a search follows only edges within the radius. The tree of a large
-shard is sent to several tasks, each with a slice of the shard's queries. Shards yield spanning edges,
-never all pairs; stars of those edges give the components.
+Fingerprints within r bits share at least two of r + 2 blocks of bits exactly. So all fingerprints are
+dealt into shards by the values of two blocks; each shard is a BK-tree, whose children are keyed by their
+integer Hamming distance to the parent, and a search follows only edges within the radius. What a shard of
+more than SLICE fingerprints has left of r + 1 further blocks deals it into smaller ones; what is still
+larger is cut into parts, and each two parts meet in a task of their own, one as tree and one as queries.
+Shards yield spanning edges, never all pairs; stars of those edges give the components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, cut, own_columns, texts
+from .common import BROADCAST_ROWS, attach_groups, cut, own_columns, texts
 
 BITS = 64
 SEED = 42
-#: Queries that one task puts to the tree of a shard.
+#: Fingerprints of a tree at most, and queries that are put to it at once.
 SLICE = 4096
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -98,11 +100,11 @@ class BKTree:
                     todo.append((child, down))
 
 
-def spanning_edges(tree: np.ndarray, asking: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Edges that join what links between the tree's fingerprints and those at the places `asking` join."""
-    if len(tree) == 2:
-        return [(0, 1)] if int(np.bitwise_count(tree[0] ^ tree[1])) <= radius else []
-    parent = np.arange(len(tree))
+def spanning_edges(values: np.ndarray, tree: np.ndarray, asking: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Edges (places of values) that join what links between the fingerprints at the places `tree` and those at `asking` join."""
+    if len(values) == 2:
+        return [(0, 1)] if int(np.bitwise_count(values[0] ^ values[1])) <= radius else []
+    parent = np.arange(len(values))
 
     def roots(x: np.ndarray) -> np.ndarray:
         r = parent[x]
@@ -111,96 +113,183 @@ def spanning_edges(tree: np.ndarray, asking: np.ndarray, radius: int) -> list[tu
         parent[x] = r
         return r
 
-    for node, near in BKTree(tree).search(tree[asking], radius):
-        found = np.unique(roots(np.append(asking[near], node)))
+    for node, near in BKTree(values[tree]).search(values[asking], radius):
+        found = np.unique(roots(np.append(asking[near], tree[node])))
         parent[found] = found[0]
-    ends = roots(np.arange(len(tree)))
+    ends = roots(np.arange(len(values)))
     return [(i, int(r)) for i, r in enumerate(ends.tolist()) if i != r]
 
 
-def _shard_edges(radius: int):
-    """Reads rows (block, value, slice, fp, asks) sorted by the first three; yields edges (u, v)."""
+def groups_of(batches: Iterator[pa.RecordBatch], keys: int, most: int) -> Iterator[tuple[tuple, np.ndarray]]:
+    """(key, rows) of consecutive rows with equal values in the first `keys` columns; rows holds all columns as 64-bit integers.
+
+    A group of more than `most` rows comes in pieces, all but its last of more than that.
+    """
+    carry, held, size = None, [], 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        table = np.stack([batch.column(k).cast(pa.int64()).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)], 1)
+        own = table[:, :keys]
+        starts = np.append(np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))), n).tolist()
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            key = tuple(own[s].tolist())
+            if held and (key != carry or size > most):
+                yield carry, np.concatenate(held)
+                held, size = [], 0
+            carry = key
+            held.append(table[s:e])
+            size += e - s
+    if held:
+        yield carry, np.concatenate(held)
+
+
+def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    both = np.array(edges, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
+
+
+def _shard_edges(radius: int, most: int):
+    """Reads rows (block, value, fp) sorted by the first two; yields edges (u, v), or (block, fp) with `large` for shards that are too large."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry: tuple | None = None  # the group that the last batch ended in
-        pending: list[np.ndarray] = []
+        last, edges = None, []
+        for key, rows in groups_of(batches, 2, most):
+            if len(rows) > most or key == last:
+                last = key
+                yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 2]), pa.array(np.ones(len(rows), bool))], ["u", "v", "large"])
+            elif len(rows) > 1:
+                prints = np.sort(rows[:, 2].view(np.uint64))
+                places = np.arange(len(prints))
+                signed = prints.view(np.int64).tolist()
+                edges += [(signed[i], signed[j]) for i, j in spanning_edges(prints, places, places, radius)]
+            if len(edges) >= most:
+                yield _edge_batch(edges).append_column("large", pa.array(np.zeros(len(edges), bool)))
+                edges = []
+        if edges:
+            yield _edge_batch(edges).append_column("large", pa.array(np.zeros(len(edges), bool)))
 
-        def close() -> list[tuple[int, int]]:
-            part = np.concatenate(pending)
-            if len(part) < 2:
-                return []
-            part = part[np.argsort(part["fp"], kind="stable")]
-            values = part["fp"]
-            return [(int(values[i]), int(values[j])) for i, j in spanning_edges(values, np.flatnonzero(part["asks"]), radius)]
+    return run
 
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)], 1)
-            part = np.zeros(n, [("fp", np.uint64), ("asks", bool)])
-            part["fp"] = batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
-            part["asks"] = batch.column(4).to_numpy(zero_copy_only=False)
-            starts = np.append(np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1))), n).tolist()
-            edges: list[tuple[int, int]] = []
-            for s, e in zip(starts[:-1], starts[1:], strict=True):
-                key = tuple(keys[s].tolist())
-                if carry is not None and key != carry:
-                    edges += close()
-                    pending.clear()
-                carry = key
-                pending.append(part[s:e])
-            if edges:
-                yield _edge_batch(edges)
-        if pending and (edges := close()):
-            yield _edge_batch(edges)
+
+def _cell_edges(radius: int):
+    """Reads rows (block, value, left, right, fp, part) sorted by the first four, the fingerprints of two parts or of one; yields edges (u, v)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, _, left, right), rows in groups_of(batches, 4, 1 << 62):
+            rows = rows[np.argsort(rows[:, 4].view(np.uint64), kind="stable")]
+            prints, parts = rows[:, 4].copy().view(np.uint64), rows[:, 5]
+            found = spanning_edges(prints, np.flatnonzero(parts == left), np.flatnonzero(parts == right), radius)
+            if found:
+                signed = prints.view(np.int64).tolist()
+                yield _edge_batch([(signed[i], signed[j]) for i, j in found])
 
     return run
 
 
-def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
-    both = np.array(edges, np.uint64).view(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
+def _bits(ranges: list[tuple[int, int]]) -> str:
+    """The bits of fp in some ranges (from, to), one after the other."""
+    out, size = [], 0
+    for low, high in ranges:
+        out.append(f"shiftleft(shiftrightunsigned(fp, {low}) & {(1 << (high - low)) - 1}L, {size})")
+        size += high - low
+    return " | ".join(out)
+
+
+def cells(rows: DataFrame, keys: list[str], item: str, most: int) -> DataFrame:
+    """rows with part, left and right: those of a group of at most `most` in one cell (0, 0); a larger group is cut into
+    parts by a digest of `item`, and each two of them, and each by itself, are a cell."""
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("in_group")).where(F.col("in_group") > most)
+    large = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+    rows = rows.join(large, keys, "left").withColumn("parts", F.coalesce(F.ceil(F.col("in_group") * 2 / most), F.lit(1)).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(item), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return rows.withColumn("left", F.least("part", "other")).withColumn("right", F.greatest("part", "other")).drop("in_group", "parts", "other")
 
 
 def near_edges(nodes: DataFrame, radius: int) -> DataFrame:
     """Edges (u, v) whose components are those of all links of at most `radius` bits between nodes.fp."""
-    blocks = radius + 1
-    cuts = [BITS * k // blocks for k in range(blocks + 1)]
-    value = lambda k: f"shiftrightunsigned(fp, {cuts[k]}) & {(1 << (cuts[k + 1] - cuts[k])) - 1}L"
-    keyed = nodes.selectExpr("fp", f"inline(array({', '.join(f'struct({k} as block, {value(k)} as value)' for k in range(blocks))}))")
-    # There are at most blocks * 2**ceil(64 / blocks) shards, whatever the input: 262,144 for a radius of 3.
-    large = keyed.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SLICE)
-    keyed = keyed.join(F.broadcast(large), ["block", "value"], "left").withColumn("slices", F.expr(f"coalesce(cast(ceil(n / {SLICE}) as int), 1)"))
-    rows = keyed.select("block", "value", "fp", "slices", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    rows = rows.select("block", "value", "slice", "fp", (F.pmod(F.xxhash64("fp"), F.col("slices")) == F.col("slice")).alias("asks"))
-    dealt = rows.repartition("block", "value", "slice").sortWithinPartitions("block", "value", "slice")
-    return dealt.mapInArrow(_shard_edges(radius), "u bigint, v bigint")
-
-
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+    n = radius + 2
+    blocks = [(BITS * k // n, BITS * (k + 1) // n) for k in range(n)]
+    pairs = list(combinations(range(n), 2))
+    keys = ", ".join(f"struct({k} as block, {_bits([blocks[i] for i in pair])} as value)" for k, pair in enumerate(pairs))
+    rows = nodes.selectExpr(f"inline(array({keys}))", "fp").select("block", "value", "fp")
+    dealt = rows.repartition("block", "value").sortWithinPartitions("block", "value")
+    found = cut(dealt.mapInArrow(_shard_edges(radius, SLICE), "u bigint, v bigint, large boolean"), "shard_edges")
+    edges = found.where("not large").select("u", "v")
+    large = found.where("large").selectExpr("cast(u as int) as block", "v as fp")
+    if not large.limit(1).count():
+        return edges
+
+    # Of the bits that aren't in a large shard's key, radius + 1 blocks: two within the radius share one of them.
+    def deeper(pair: tuple[int, int]) -> str:
+        left = [b for k, b in enumerate(blocks) if k not in pair]
+        bits = [k for low, high in left for k in range(low, high)]
+        cuts = [len(bits) * k // (radius + 1) for k in range(radius + 2)]
+        key = [blocks[i] for i in pair]
+        return "array(" + ", ".join(f"struct({k} as below, {_bits([*key, *_runs(bits[a:b])])} as value)" for k, (a, b) in enumerate(zip(cuts, cuts[1:]))) + ")"
+
+    chosen = "case block " + " ".join(f"when {k} then {deeper(pair)}" for k, pair in enumerate(pairs)) + " end"
+    rows = large.selectExpr("block", "fp", f"inline({chosen})").select((F.col("block") * (radius + 1) + F.col("below")).alias("block"), "value", "fp")
+    rows = cells(rows, ["block", "value"], "fp", SLICE).select("block", "value", "left", "right", "fp", "part")
+    dealt = rows.repartition("block", "value", "left", "right").sortWithinPartitions("block", "value", "left", "right")
+    return edges.unionByName(dealt.mapInArrow(_cell_edges(radius), "u bigint, v bigint"))
+
+
+def _runs(bits: list[int]) -> list[tuple[int, int]]:
+    """Ranges (from, to) of consecutive numbers."""
+    out: list[tuple[int, int]] = []
+    for k in bits:
+        if out and out[-1][1] == k:
+            out[-1] = (out[-1][0], k + 1)
+        else:
+            out.append((k, k + 1))
+    return out
+
+
+def settled(edges: DataFrame) -> DataFrame:
+    """components() of edges (u, v); up to BROADCAST_ROWS of them are joined in one task, which saves the rounds."""
+    edges = cut(edges.where("u <> v").distinct(), "edges")
+    if edges.count() > BROADCAST_ROWS:
+        return components(edges)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                low, high = sorted((root(u), root(v)))
+                parent[high] = low
+        if parent:
+            nodes = list(parent)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["node", "root"])
+
+    return edges.coalesce(1).mapInArrow(join, "node bigint, root bigint")
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the smallest node of the component; only nodes that have edges.
 
-    Large-star and small-star steps, each round in a table of its own, until the edges stay the same.
+    Large-star and small-star steps, each round in a table of its own, until the edges stay the same. The
+    centre of a large star is joined by broadcast, so that its rows stay where they are.
     """
     now = cut(edges.where("u <> v").selectExpr("greatest(u, v) as u", "least(u, v) as v").distinct(), "edges")
     mark = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    before = mark(now)
-    for _ in range(max_rounds):
-        if not before[0]:
-            break
+    before, after = None, mark(now)
+    while after[0] and after != before:
         both = now.unionByName(now.selectExpr("v as u", "u as v"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) as m")
-        large = both.where("v > u").join(low, "u").selectExpr("v as u", "m as v").where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").selectExpr("v as u", "m as v").unionByName(low.selectExpr("u", "m as v"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n_rows")).selectExpr("u", "least(u, m) as m", "n_rows"), "lows")
+        large = cut(attach_groups(both.where("v > u"), low, "u").selectExpr("v as u", "m as v").where("u <> v").distinct(), "stars")
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n_rows")), "lows")
+        small = attach_groups(large, low, "u").where("v <> m").selectExpr("v as u", "m as v").unionByName(low.selectExpr("u", "m as v"))
         now = cut(small.distinct(), "stars")
-        after = mark(now)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        before, after = after, mark(now)
     return now.selectExpr("u as node", "v as root").unionByName(now.selectExpr("v as node", "v as root").distinct())
 
 
@@ -209,11 +298,11 @@ def linked_rows(rows: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> Da
     slim = cut(rows, "simhash")
     nodes = cut(slim.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n_rows")), "nodes")
     stars = cut(linked(nodes.select("fp")), "components")
-    linked = nodes.join(stars, nodes.fp == stars.node, "left").select("fp", "low", "n_rows", F.coalesce("root", "fp").alias("root"))
-    linked = cut(linked, "linked")
-    ids = linked.where("fp <> root").select("root").distinct()
-    lows = linked.join(ids, "root", "left_semi").groupBy("root").agg(F.min("low").alias("all_low"))
-    named = linked.join(lows, "root", "left").select("fp", "n_rows", "root", F.coalesce("all_low", "low").alias("component_id"))
+    joined = nodes.join(stars, nodes.fp == stars.node, "left").select("fp", "low", F.col("n_rows").alias("n"), F.coalesce("root", "fp").alias("root"))
+    joined = cut(joined, "linked")
+    lows = joined.groupBy("root").agg(F.min("low").alias("all_low"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    named = attach_groups(joined, cut(lows, "lows"), "root", "left")
+    named = named.select("fp", F.col("n").alias("n_rows"), "root", F.when(F.col("n_rows").isNull(), F.col("low")).otherwise(F.col("all_low")).alias("component_id"))
     return attach_groups(slim, cut(named, "named"), "fp").drop("n_rows")
 
 
@@ -226,4 +315,4 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 3) -> Data
     An empty table gives no rows; columns other than doc_id and text aren't read.
     """
     rows = own_columns(docs, doc_id=F.col("doc_id"), fp=simhash_udf(width)(F.coalesce(F.col("text"), F.lit(""))))
-    return linked_rows(rows, lambda nodes: components(near_edges(nodes, radius))).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return linked_rows(rows, lambda nodes: settled(near_edges(nodes, radius))).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
