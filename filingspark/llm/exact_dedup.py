@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, cut, own_columns, utf8, without
+from .common import BROADCAST_ROWS, attach_groups, cut, own_columns, utf8, without
 
 #: Bytes of a chunk hashed by one dot product: 4096 * 255 * 2**31 fits a signed 64-bit integer.
 CHUNK = 4096
@@ -116,14 +116,14 @@ def exact_dedup(docs: DataFrame, primes=PRIMES, huge: int = HUGE, block: int = B
     repeated rows with that id, one. Null texts count as empty, a null doc_id comes after all others.
     An empty table gives no rows; columns other than doc_id and text aren't read.
     """
-    rows = own_columns(docs, doc_id=F.col("doc_id"), norm=normalised(F.col("text")))
-    slim = cut(fingerprints(own_columns(docs, doc_id=F.col("doc_id"), text=F.col("text")), primes, huge, block), "fingerprints")
+    rows = own_columns(docs, doc_id=F.col("doc_id"), text=F.col("text"))
+    slim = cut(fingerprints(rows, primes, huge, block), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rid")).alias("first")
     groups = cut(slim.groupBy("fp").agg(first, F.count(F.lit(1)).alias("n_rows")), "groups")
-    many = groups.where("n_rows > 1")
-    bad = cut(_collisions(rows, many, primes), "collisions")
+    bad = cut(_collisions(rows, slim, groups.where("n_rows > 1"), primes), "collisions")
     if bad.limit(1).count():
-        collided = cut(rows.select("doc_id", "norm", fingerprint_udf(primes)("norm").alias("fp")).join(bad, "fp", "left_semi").withColumn("rid", F.monotonically_increasing_id()), "collided")
+        norms = rows.select("doc_id", normalised(F.col("text")).alias("norm"))
+        collided = cut(norms.select("doc_id", "norm", fingerprint_udf(primes)("norm").alias("fp")).join(bad, "fp", "left_semi").withColumn("rid", F.monotonically_increasing_id()), "collided")
         classes = collided.groupBy("norm").agg(first, F.count(F.lit(1)).alias("n_rows"))
         apart = collided.join(classes, "norm").select("doc_id", "rid", "first", "n_rows", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"))
         slim, groups = slim.join(bad, "fp", "left_anti"), groups.join(bad, "fp", "left_anti")
@@ -148,14 +148,20 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     return without(docs, key, keys.where("not kept"), keys.where("kept and n > 1"))
 
 
-def _collisions(rows: DataFrame, many: DataFrame, primes) -> DataFrame:
-    """Fingerprints that two different texts share: each text of a group against the one that stays.
+def _collisions(rows: DataFrame, slim: DataFrame, many: DataFrame, primes) -> DataFrame:
+    """Fingerprints that two different texts share: each text of a group of many against the one that stays.
 
-    The text that stays is copied for each SLICE rows of its group, so that no task gets a whole large group.
+    Only rows whose ids such groups have are read again, once, into a table. The text that stays is copied for
+    each SLICE rows of its group, so that no task gets a whole large group.
     """
-    texts = rows.select("doc_id", F.col("norm").cast("binary").alias("raw"), fingerprint_udf(primes)("norm").alias("fp"))
+    ids = cut(attach_groups(slim, many, "fp").where("doc_id is not null").select("doc_id").distinct(), "copied_ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    again = rows.join(ids, "doc_id", "left_semi").unionByName(rows.where("doc_id is null"))
+    texts = again.select("doc_id", normalised(F.col("text")).alias("norm"))
+    texts = texts.select("doc_id", F.col("norm").cast("binary").alias("raw"), fingerprint_udf(primes)("norm").alias("fp"))
     found = attach_groups(texts, many, "fp").withColumn("slices", F.expr(f"cast(ceil(n_rows / {SLICE}) as int)"))
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).groupBy("fp").agg(F.min("raw").alias("keep"), F.max("slices").alias("slices"))
+    slice_ = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("slices")).cast("int")
+    found = cut(found.select("fp", "raw", "slices", slice_.alias("slice"), F.col("doc_id").eqNullSafe(F.col("first.doc_id")).alias("stays")), "copies")
+    keep = found.where("stays").groupBy("fp").agg(F.min("raw").alias("keep"), F.max("slices").alias("slices"))
     keep = keep.select("fp", "keep", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    rest = found.withColumn("slice", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("slices")).cast("int")).select("fp", "slice", "raw")
-    return rest.join(keep, ["fp", "slice"]).where(~chunks_equal("raw", "keep")).select("fp").distinct()
+    return found.join(keep, ["fp", "slice"]).where(~chunks_equal("raw", "keep")).select("fp").distinct()
