@@ -124,6 +124,10 @@ def mix(docs: DataFrame, weights: DataFrame, total: int | None = None, fraction:
     return full.select(names).unionByName(inside.select(names)).unionByName(last.where("taken > 0").select(names))
 
 
-def _by_leaf(rows: DataFrame, leaves: DataFrame, limit: int = 100_000) -> DataFrame:
-    """Join by leaf: a broadcast while there are few leaves, otherwise by shuffle."""
-    return rows.join(F.broadcast(leaves) if leaves.count() <= limit else leaves, list(LEVELS))
+def _by_leaf(rows: DataFrame, leaves: DataFrame, limit: int = 100_000, salts: int = 64) -> DataFrame:
+    """Join by leaf: a broadcast while there are few leaves, otherwise by shuffle, with each leaf in `salts` copies that share its rows."""
+    if leaves.count() <= limit:
+        return rows.join(F.broadcast(leaves), list(LEVELS))
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in LEVELS]), F.lit(salts)).alias("salt")
+    copies = leaves.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).alias("salt"))
+    return rows.select("*", salt).join(copies, [*LEVELS, "salt"]).drop("salt")
