@@ -116,6 +116,7 @@ def test_decontamination(spark, monkeypatch):
         docs.append((i, " ".join(body).title() + "!", "en", "s"))
     monkeypatch.setattr(decontaminate, "ITEMS", 5)
     monkeypatch.setattr(decontaminate, "SEGMENT", 300)
+    monkeypatch.setattr(decontaminate, "ROW", 64)
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.window_start, round(r.similarity, 9)) for r in decontaminate.contaminated(make_docs(spark, docs), bench).collect()}
     want = {}
@@ -132,14 +133,38 @@ def test_decontamination(spark, monkeypatch):
 
 def test_multi_index_holds_all_within_radius():
     rng = random.Random(1)
-    items = decontaminate.Items([(k, " ".join(f"x{rng.randrange(99)}" for _ in range(20))) for k in range(50)])
+    items = decontaminate.Items([(k, " ".join(f"x{rng.randrange(99)}" for _ in range(20))) for k in range(80)]).prepare()
     for _ in range(300):
-        k = rng.randrange(50)
-        p = int(items.prints[k])
-        for b in rng.sample(range(64), rng.randrange(21)):
+        p = int(items.prints[rng.randrange(80)])
+        for b in rng.sample(range(64), rng.randrange(decontaminate.RADIUS + 1)):
             p ^= 1 << b
-        want = {(j, (int(items.prints[j]) ^ p).bit_count()) for j in range(50) if (int(items.prints[j]) ^ p).bit_count() <= decontaminate.RADIUS}
-        assert set(items.within(p)) == want
+        want = {(j, (int(items.prints[j]) ^ p).bit_count()) for j in range(80) if (int(items.prints[j]) ^ p).bit_count() <= decontaminate.RADIUS}
+        assert set(items.within(p, 20)) == want
+
+
+def test_rolling_fingerprints_are_those_of_the_windows():
+    rng = random.Random(6)
+    ws = [f"w{rng.randrange(9)}" for _ in range(90)]
+    hashes = decontaminate._rolled(decontaminate.Hashes().of(ws), 5)
+    sums = decontaminate.Sums(hashes, 20)
+    for size in (5, 6, 7, 15, 64, 70):
+        sums.grow(size - 4)
+        assert sums.prints().tolist() == [decontaminate.simhash(ws[i : i + size]) for i in range(20)]
+
+
+def test_windows_are_found_at_the_least_similarity():
+    """Over random edits that leave a similarity of at least 0.8, nine in ten windows and more are within the radius."""
+    rng = random.Random(3)
+    found = total = 0
+    for _ in range(3000):
+        ws = [f"w{rng.randrange(500)}" for _ in range(rng.choice([8, 15, 30, 60]))]
+        other = list(ws)
+        for _ in range(rng.randrange(1, 5)):
+            other[rng.choice([0, -1, rng.randrange(len(ws))])] = "other"
+        if decontaminate.similarity(Counter(decontaminate.shingles(ws)), Counter(decontaminate.shingles(other))) >= 0.8:
+            total += 1
+            found += (decontaminate.simhash(ws) ^ decontaminate.simhash(other)).bit_count() <= decontaminate.RADIUS
+    assert total > 500 and found >= 0.95 * total
 
 
 def test_token_counts(spark, edge_docs, edge_rows, tmp_path):
@@ -161,8 +186,8 @@ def test_token_counts(spark, edge_docs, edge_rows, tmp_path):
 
 def test_counts_add_up_over_pieces():
     source = open(tokenizer_path(), encoding="utf-8").read()
-    assert token_counts.drops_white_space(source)
-    counter, whole = token_counts.Piecewise(source, memo=50), token_counts.Whole(source)
+    assert token_counts.splits_at_white_space(source)
+    counter, whole = token_counts.Piecewise(source, memo=4000), token_counts.Whole(source)
     rng = random.Random(4)
     for _ in range(300):
         t = "".join(rng.choice(["a", "É", " ", "\n", " ", "́", "'s", "1", "<|endoftext|>", "ß", "你", "!", " ", "don't", "İ", "\t\x0b"]) for _ in range(rng.randrange(30))).encode()
@@ -193,7 +218,7 @@ def test_svm_separates():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(200, 5)).astype(np.float32)
     y = np.where(x[:, 0] - x[:, 1] > 0, 1, -1)
-    w = language_id.train_svm(x, y)
+    w = language_id.train_svm([(np.arange(5), r) for r in x], y, 5)
     assert (np.sign(x @ w[:-1] + w[-1]) == y).mean() > 0.97
 
 
@@ -250,7 +275,7 @@ def test_trigram_counts_over_segments(monkeypatch):
 
 
 def test_lm_scores(spark, edge_docs, edge_rows):
-    out = hmm.lm_scores(edge_docs, states=3, rounds=2, own=15, hashed=8, held=25).collect()
+    out = hmm.lm_scores(edge_docs, states=3, rounds=2, own=3, hashed=8, held=25).collect()
     toks = lambda t: (t or "").encode().lower().split()
     train = [toks(t) for i, t, *_ in edge_rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
     c = Counter(w for ws in train for w in ws)
@@ -264,11 +289,14 @@ def test_lm_scores(spark, edge_docs, edge_rows):
     assert all(np.isfinite(r.score) and r.score < 0 for r in out)
 
 
+def hmm_model(rng, classes, states):
+    return hmm.Hmm(rng.dirichlet(np.ones(states)), rng.dirichlet(np.ones(states), states), rng.dirichlet(np.ones(classes), states).T)
+
+
 def test_forward_is_exact_and_training_climbs():
     rng = np.random.default_rng(4)
-    share = rng.dirichlet(np.ones(12))
-    model = hmm.first_model([], share, 3, 1)
-    sequences = [rng.integers(0, 12, n).astype(np.uint16) for n in (1, 2, 5, 300, 700)]
+    model = hmm_model(rng, 12, 3)
+    sequences = [rng.integers(0, 12, n).astype(np.uint16) for n in (1, 2, 5, 300, 700, 1600)]
     got = model.log_likelihood(sequences)
     for s, g in zip(sequences, got):
         a, total = model.start * model.emit[s[0]], 0.0
@@ -281,15 +309,42 @@ def test_forward_is_exact_and_training_climbs():
     paths = np.array(np.meshgrid(*[range(k)] * len(s))).reshape(len(s), -1).T
     p = sum(model.start[z[0]] * np.prod([model.emit[x, j] for x, j in zip(s, z)]) * np.prod([model.move[a, b] for a, b in zip(z, z[1:])]) for z in paths)
     assert np.isclose(np.log(p), got[2])
-    cut_, first = hmm.parts(sequences)
     before = -np.inf
     for _ in range(4):
-        starts, moves, emits, total = model.expected(cut_, first)
-        assert np.isclose(emits.sum(), sum(map(len, sequences))) and total >= before - 1e-6
+        starts, moves, emits, total = model.expected(sequences)
+        assert np.isclose(emits.sum(), sum(map(len, sequences))) and np.isclose(total, model.log_likelihood(sequences).sum()) and total >= before - 1e-6
         before = total
         model = hmm.Hmm((starts + 1e-9) / (starts + 1e-9).sum(), (moves + 1e-9) / (moves + 1e-9).sum(1, keepdims=True), (emits + 1e-12) / (emits + 1e-12).sum(0))
 
 
+def test_training_sees_whole_sequences(monkeypatch):
+    """Counts of sequences in parts are those of plain forward and backward recursions over the whole."""
+    rng = np.random.default_rng(9)
+    model = hmm_model(rng, 20, 4)
+    sequences = [rng.integers(0, 20, n).astype(np.uint16) for n in (1, 6, 7, 8, 40, 95)]
+    starts, moves, emits = np.zeros(4), np.zeros((4, 4)), np.zeros((20, 4))
+    for s in sequences:
+        a = [model.start * model.emit[s[0]]]
+        for x in s[1:]:
+            a.append(a[-1] @ model.move * model.emit[x])
+        b = [np.ones(4)]
+        for x in s[:0:-1]:
+            b.append(model.move @ (model.emit[x] * b[-1]))
+        b = b[::-1]
+        p = a[-1].sum()
+        starts += a[0] * b[0] / p
+        for t, x in enumerate(s):
+            emits[x] += a[t] * b[t] / p
+            if t:
+                moves += np.outer(a[t - 1], model.emit[x] * b[t]) * model.move / p
+    for part, held in ((7, 3), (512, 1000)):
+        monkeypatch.setattr(hmm, "PART", part)
+        monkeypatch.setattr(hmm, "PARTS", held)
+        got = model.expected(sequences)
+        assert np.allclose(got[0], starts) and np.allclose(got[1], moves) and np.allclose(got[2], emits)
+        assert np.isclose(got[3], model.log_likelihood(sequences).sum())
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -77,3 +77,26 @@ def test_stages_keep_columns(spark, edge_docs, no_docs, tmp_path, name, stage):
     if name == "language_id":
         assert not {100, 101, 102, 103} & set(ids)
         assert set(range(80)) <= set(ids)
+
+
+
+@pytest.mark.parametrize("name", ROWWISE)
+def test_invalid_bytes(spark, name):
+    rows = [(i, bytearray(b"the market \xff\xfe and trading report \xc3( shows growth, see a@b.example.com " * 3), "en", "src1") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, raw binary, lang string, source string").select("doc_id", F.expr("cast(raw as string)").alias("text"), "lang", "source")
+    assert sorted(r.doc_id for r in ROWWISE[name](spark, docs).collect()) == list(range(6))
+
+
+def test_invalid_bytes_in_stages(spark, tmp_path):
+    raw = b"repeated row of text \xff \xc3( with more words that follow it here " * 20
+    docs = spark.createDataFrame([(1, bytearray(raw), "en", "src1"), (2, bytearray(b"\xff\xfe"), None, None)], "doc_id long, raw binary, lang string, source string")
+    docs = docs.select("doc_id", F.expr("cast(raw as string)").alias("text"), "lang", "source")
+    benchmark(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() <= 2 or name == "mixing"
+    assert contaminated(docs, benchmark(spark)).select("doc_id", "item_id").collect() == [(1, 1)]
+
+
+def test_items_of_any_id_type_and_clashing_columns(spark, edge_docs):
+    items = benchmark(spark).select(F.col("item_id").cast("decimal(10,0)").alias("item_id"), "text", F.lit(1).alias("found"), F.lit("x").alias("doc_id"))
+    assert [(r.doc_id, int(r.item_id)) for r in contaminated(edge_docs, items).collect()] == [(203, 1)] * 3

@@ -2,7 +2,7 @@
 
 import random
 
-from filingspark.llm import near_copies
+from filingspark.llm import near_copies, simhash
 
 from .conftest import make_docs
 
@@ -65,6 +65,19 @@ def test_large_groups_lose_no_link(spark):
 def test_many_edges_settle_in_rounds(spark, monkeypatch):
     edges = spark.createDataFrame([(5, 3), (3, 9), (2, 7), (9, 1)], "u long, v long")
     want = {(5, 1), (3, 1), (9, 1), (1, 1), (2, 2), (7, 2)}
-    for most in (near_copies.BROADCAST_ROWS, 1):
-        monkeypatch.setattr(near_copies, "BROADCAST_ROWS", most)
-        assert {tuple(r) for r in near_copies.settled(edges).select("node", "root").collect()} == want
+    for most in (simhash.BROADCAST_ROWS, 1):
+        monkeypatch.setattr(simhash, "BROADCAST_ROWS", most)
+        assert {tuple(r) for r in simhash.settled(edges).select("node", "root").collect()} == want
+
+
+def test_shards_in_parts_lose_no_pair(spark, monkeypatch):
+    """Shards cut into parts that meet two by two give the same rows."""
+    rng = random.Random(5)
+    w, rows = _words(rng, 120), []
+    for k in range(40):
+        w = list(w)
+        for at in rng.sample(range(120), 2):
+            w[at] = f"w{k}x{at}"
+        rows.append((k, " ".join(w), "en", "s"))
+    monkeypatch.setattr(near_copies, "SLICE", 4)
+    assert [r.doc_id for r in near_copies.drop_near_copies(make_docs(spark, rows)).collect()] == [0]
