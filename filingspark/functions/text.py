@@ -28,9 +28,40 @@ def suffix(name: Column) -> Column:
 
 
 def safe_filename(name: Column, most: int = 180) -> Column:
-    """Only letters, digits and a few marks; never empty."""
-    clean = F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9._ -]+", "_"), r"^[. _]+|[. _]+$", "")
-    return F.left(F.when(clean == "", "attachment").otherwise(clean), F.lit(most))
+    """Slashes and runs of other characters than letters, digits and a few marks as one underscore each; no blanks or dots at the ends; never empty."""
+    clean = F.regexp_replace(F.translate(name, "/\\", "__"), r"[^A-Za-z0-9._() -]+", "_")
+    clean = F.left(F.regexp_replace(clean, r"^[ .]+|[ .]+$", ""), F.lit(most))
+    return F.when(clean == "", "attachment").otherwise(clean)
+
+
+def slug(name: Column, most: int = 40) -> Column:
+    """Lower-case letters and digits, all else as single hyphens; never empty."""
+    clean = F.left(F.regexp_replace(F.regexp_replace(F.lower(strip(name)), "[^a-z0-9]+", "-"), "^-+|-+$", ""), F.lit(most))
+    return F.when(clean == "", "profile").otherwise(clean)
+
+
+def safe_suffix(name: Column) -> Column:
+    """The suffix if it is up to ten letters and digits, else .bin."""
+    own = suffix(name)
+    return F.when(own.rlike(r"^\.[a-z0-9]{1,10}$"), own).otherwise(".bin")
+
+
+#: Fixed value: the name of a file that has none.
+NAMELESS = "idx-attachment.bin"
+
+
+def display_filename(original: Column, stored: Column) -> Column:
+    """What follows the last slash of the first name that isn't blank."""
+    full = lambda c: F.nullif(strip(F.coalesce(c, F.lit(""))), F.lit(""))
+    last = strip(F.substring_index(F.translate(F.coalesce(full(original), full(stored), F.lit(NAMELESS)), "\\", "/"), "/", -1))
+    return F.coalesce(F.nullif(last, F.lit("")), F.lit(NAMELESS))
+
+
+def url_filename(url: Column) -> Column:
+    """The decoded last part of a URL's path."""
+    last = F.substring_index(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), "/", -1)
+    decoded = strip(F.coalesce(F.try_url_decode(F.replace(last, F.lit("+"), F.lit("%2B"))), last))
+    return F.coalesce(F.nullif(decoded, F.lit("")), F.lit(NAMELESS))
 
 
 def truncate(text: Column, most: int) -> Column:
@@ -87,14 +118,37 @@ def json_string(text: Column) -> Column:
 
 def rules_hash(announcement_id: Column, title: Column, category: Column, materiality: Column) -> Column:
     """SHA-256 of a JSON object with sorted keys and ', ' and ': ' between its parts."""
-    part = lambda k, v: F.concat(F.lit(f'"{k}": '), json_string(v.cast("string")))
-    body = F.concat_ws(", ", part("announcement_id", announcement_id), part("category", category), part("materiality", materiality), part("title", title))
-    return F.sha2(F.concat(F.lit("{"), body, F.lit("}")).cast("binary"), 256)
+    parts = {"announcementId": announcement_id, "materiality": materiality, "primaryCategory": category, "title": title}
+    return F.sha2(json_object(parts).cast("binary"), 256)
+
+
+def json_object(values: dict[str, Column], separators: tuple[str, str] = (", ", ": ")) -> Column:
+    """A JSON object of texts, keys as they come; null is null."""
+    part = lambda k, v: F.concat(F.lit(f'"{k}"{separators[1]}'), F.when(v.isNull(), "null").otherwise(json_string(v.cast("string"))))
+    return F.concat(F.lit("{"), F.concat_ws(separators[0], *[part(k, v) for k, v in values.items()]), F.lit("}"))
 
 
 def byte_size(n: Column) -> Column:
-    """B, KB, MB or GB with one decimal above bytes."""
-    out = F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B")))
-    for power, unit in ((1, "KB"), (2, "MB")):
-        out = out.when(n < 1024 ** (power + 1), F.concat(F.format_number(n / 1024**power, 1), F.lit(f" {unit}")))
-    return out.otherwise(F.concat(F.format_number(n / 1024**3, 1), F.lit(" GB")))
+    """B, KiB, MiB, GiB or TiB, with one decimal above bytes; negative sizes are 0."""
+    n = F.greatest(n.cast("double"), F.lit(0.0))
+    out = F.when(n < 1024, F.concat(F.floor(n).cast("string"), F.lit(" B")))
+    for power, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
+        shown = F.format_string(f"%.1f {unit}", F.bround(n / 1024**power, 1))
+        out = out.when(n < 1024 ** (power + 1), shown) if unit != "TiB" else out.otherwise(shown)
+    return out
+
+
+def url_on_host(base: str, url: Column, hosts: tuple[str, ...], canonical: str) -> Column:
+    """A URL, relative ones under `base`, on `canonical`; null unless it is HTTPS on one of `hosts`."""
+    text = strip(url)
+    whole = F.when(text.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), text).when(F.startswith(text, F.lit("//")), F.concat(F.lit("https:"), text))
+    whole = whole.when(F.startswith(text, F.lit("/")), F.concat(F.lit(base.rstrip("/")), text)).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), text))
+    good = (F.lower(F.try_parse_url(whole, F.lit("PROTOCOL"))) == "https") & host(whole).isin(*hosts) & (text != "")
+    return F.when(good, F.regexp_replace(whole, "^[A-Za-z]+://[^/?#]*", f"https://{canonical}"))
+
+
+def http_url(url: Column) -> Column:
+    """The stripped URL if it is http or https with a host, else null."""
+    text = strip(F.coalesce(url, F.lit("")))
+    good = F.lower(F.try_parse_url(text, F.lit("PROTOCOL"))).isin("http", "https") & (F.coalesce(F.try_parse_url(text, F.lit("AUTHORITY")), F.lit("")) != "")
+    return F.when(good, text)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import claim_tokens
+from ..functions.text import claim_tokens, strings
 from .relational import top_two
 
 #: Words that don't count in claims.
@@ -45,16 +45,21 @@ def claim_traces(claims: DataFrame, sources: DataFrame, group: str) -> DataFrame
 
 
 def locate(text: Column, evidence: Column) -> Column:
-    """(match, line, page): where evidence stands in a text; otherwise whether a beginning of it does, blanks apart."""
+    """(match, line, page, sheet): where evidence stands in a text; otherwise whether a beginning of it does, blanks apart.
+
+    Evidence that is null or blank, or a null text, has no match at all.
+    """
     folded, wanted = F.lower(text), F.lower(F.regexp_replace(evidence, r"(?U)^\s+|\s+$", ""))
     at = F.when(wanted != "", F.instr(folded, wanted)).otherwise(0)
     before = F.left(text, at - 1)
     squeezed = lambda c: F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " "))
     start = F.left(squeezed(evidence), F.lit(80))
     line = F.when(at > 0, F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1)
+    last = lambda marks: F.when((at > 0) & (F.size(marks) > 0), F.element_at(marks, -1))
     pages = F.regexp_extract_all(before, F.lit(r"===== PAGE (\d+) ====="), F.lit(1))
-    match = F.when(F.coalesce(wanted, F.lit("")) == "", None).when(at > 0, "exact_text").when((F.length(start) >= 20) & (F.instr(squeezed(text), start) > 0), "normalized_text").otherwise("not_located")
-    return F.struct(match.alias("match"), line.alias("line"), F.when((at > 0) & (F.size(pages) > 0), F.element_at(pages, -1).cast("int")).alias("page"))
+    sheets = F.regexp_extract_all(before, F.lit(r"===== SHEET: (.*?) ====="), F.lit(1))
+    match = F.when((F.coalesce(wanted, F.lit("")) == "") | text.isNull(), None).when(at > 0, "exact_text").when((F.length(start) >= 20) & (F.instr(squeezed(text), start) > 0), "normalized_text").otherwise("not_located")
+    return F.struct(match.alias("match"), line.alias("line"), last(pages).cast("int").alias("page"), F.trim(last(sheets)).alias("sheet"))
 
 
 def timeline(*parts: tuple[str, DataFrame, str]) -> DataFrame:
@@ -66,11 +71,80 @@ def timeline(*parts: tuple[str, DataFrame, str]) -> DataFrame:
     return out.withColumn("place", F.row_number().over(Window.partitionBy("scope").orderBy("at", "kind", "ref")))
 
 
+#: The sections of a company digest in their order, with their headings; those shared unless others are asked for; title and notice.
+SECTIONS = {
+    "overview": "Overview",
+    "timeline": "Timeline",
+    "material_changes": "Material changes",
+    "key_financial_figures": "Key financial figures",
+    "corporate_actions": "Corporate actions",
+    "expansion_projects": "Expansion projects",
+    "management_or_control_changes": "Management / control changes",
+    "capital_structure_events": "Capital structure",
+    "listing_or_regulatory_events": "Listing / regulatory",
+    "analytical_scenarios": "Analytical scenarios",
+    "risks_or_uncertainties": "Risks / uncertainties",
+    "items_to_monitor": "Items to monitor",
+    "limitations": "Limitations",
+}
+SHARED = tuple(s for s in SECTIONS if s not in ("timeline", "limitations"))
+TITLE = "IDX Signal Desk · Company Digests"
+NOTICE = "Each ticker below is rendered from its own saved company digest. No cross-company LLM aggregation is performed."
+
+
+def _full(c: Column) -> Column:
+    return F.coalesce(F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+$", ""), F.lit(""))
+
+
+def _entries(key: str) -> Column:
+    """The lines of a section of a company (struct fields as in the digest's schema), or none."""
+    some = F.col(key)
+    present = lambda c: _full(c) != ""
+    if key == "overview":
+        return F.when(present(some), F.array(_full(some))).otherwise(F.array().cast("array<string>"))
+    if key == "timeline":
+        head = lambda x: F.array_join(F.filter(F.array(_full(x["announced_at"]), _full(x["title"])), lambda p: p != ""), " · ")
+        line = lambda x: F.when(present(x["summary"]), F.concat(F.lit("- **"), F.when(head(x) != "", head(x)).otherwise("Announcement"), F.lit(":** "), _full(x["summary"]))).when(head(x) != "", F.concat(F.lit("- **"), head(x), F.lit("**")))
+    elif key == "key_financial_figures":
+        period = lambda x: F.when(present(x["period"]), F.concat(F.lit(" ("), _full(x["period"]), F.lit(")"))).otherwise("")
+        line = lambda x: F.when(present(x["value"]), F.concat(F.lit("- **"), F.when(present(x["metric"]), _full(x["metric"])).otherwise("Figure"), F.lit(":** "), _full(x["value"]), period(x)))
+    elif key == "analytical_scenarios":
+
+        def line(x: Column) -> Column:
+            bits = F.array_join(F.filter(F.array(_full(x["classification"]), _full(x["confidence"])), lambda p: p != ""), ", ")
+            first = F.concat(F.lit("- **"), F.when(present(x["topic"]), _full(x["topic"])).otherwise("Scenario"), F.lit("**"), F.when(bits != "", F.concat(F.lit(" ["), bits, F.lit("]"))).otherwise(""), F.lit(": "), _full(x["analysis"]))
+            more = [F.when(F.size(strings(x[n])) > 0, F.concat(F.lit(f"  - {n.capitalize()}: "), F.array_join(strings(x[n]), "; "))) for n in ("basis", "assumptions", "caveats")]
+            return F.concat_ws("\n", F.regexp_replace(first, r"(?U)\s+$", ""), *more)
+
+    else:
+        line = lambda x: F.when(present(x), F.concat(F.lit("- "), _full(x)))
+    return F.filter(F.transform(F.coalesce(some, F.array()), line), lambda t: t.isNotNull())
+
+
 def share_blocks(companies: DataFrame, sections: list[str]) -> DataFrame:
-    """(ticker, block): each company (ticker, sections as arrays) as Markdown, empty sections left out."""
-    parts = [F.concat(F.lit("# "), F.col("ticker"))]
-    for s in sections:
-        title = s.replace("_", " ").capitalize()
-        body = F.array_join(F.transform(F.col(s), lambda x: F.concat(F.lit("- "), x)), "\n")
-        parts.append(F.when(F.size(s) > 0, F.concat(F.lit(f"## {title}\n"), body)))
-    return companies.select("ticker", F.concat_ws("\n\n", *parts).alias("block"))
+    """(ticker, block): each company (ticker, announcement_count, sections) as Markdown, sections that are null or empty left out.
+
+    The overview is a text, timeline, figures and scenarios are arrays of structs, other sections arrays of texts.
+    """
+    parts = [F.array(F.lit("---"), F.lit(""), F.concat(F.lit("## "), F.col("ticker")), F.lit(""))]
+    none = F.array().cast("array<string>")
+    parts.append(F.when(F.col("announcement_count").isNotNull(), F.array(F.concat(F.lit("**Announcements:** "), F.col("announcement_count").cast("string")), F.lit(""))).otherwise(none))
+    for s in (s for s in SECTIONS if s in sections):
+        empty = (F.coalesce(F.col(s), F.lit("")) == "") if s == "overview" else (F.coalesce(F.size(s), F.lit(0)) <= 0)
+        lines = _entries(s)
+        shown = F.concat(F.array(F.lit(f"### {SECTIONS[s]}"), F.lit("")), lines, F.when(F.size(lines) > 0, F.array(F.lit(""))).otherwise(none))
+        parts.append(F.when(empty, none).otherwise(shown))
+    return companies.select("ticker", F.array_join(F.concat(*parts), "\n").alias("block"))
+
+
+def share_header(start: str, end: str, n: Column, title: str = TITLE) -> Column:
+    """What stands above the companies' blocks."""
+    return F.concat(F.lit(f"# {title}\n\n**Window:** {start} → {end}\n**Companies:** "), n.cast("string"), F.lit(f"\n\n> {NOTICE}\n"))
+
+
+def share_document(companies: DataFrame, start: str, end: str, sections: list[str]) -> DataFrame:
+    """(markdown) of one bundle: the header, then each company's block by ticker; one row, for bundles that a person reads."""
+    blocks = share_blocks(companies, sections)
+    rows = blocks.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("ticker", "block"))).alias("b"))
+    body = F.array_join(F.concat(F.array(share_header(start, end, F.col("n"))), F.transform("b", lambda x: x["block"])), "\n")
+    return rows.select(F.concat(F.regexp_replace(body, r"(?U)\s+$", ""), F.lit("\n")).alias("markdown"))

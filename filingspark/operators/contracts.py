@@ -50,10 +50,14 @@ def _split(schema: str) -> list[str]:
     return [x.strip() for x in out]
 
 
+#: Fixed value: the beginning of a made-up title.
+UNTITLED = "IDX disclosure "
+
+
 def title_of(title: Column, subject: Column, kind: Column, ticker: Column) -> tuple[Column, Column]:
     """(title, the field it came from): title, subject, kind, or made up."""
     full = lambda c: F.nullif(strip(F.coalesce(c, F.lit(""))), F.lit(""))
-    made = F.concat(F.lit("Disclosure "), ticker)
+    made = F.concat(F.lit(UNTITLED), ticker)
     source = F.when(full(title).isNotNull(), "title").when(full(subject).isNotNull(), "subject").when(full(kind).isNotNull(), "type").otherwise("synthetic")
     return F.coalesce(full(title), full(subject), full(kind), made), source
 
@@ -82,19 +86,33 @@ def level(value: Column) -> Column:
 
 
 def priority(in_portfolio: Column, in_watchlist: Column) -> Column:
-    """P0 for both, P1 for owners, P2 for watchers, else P4."""
+    """P0 for owners, P1 for those who only watch, else P4, the lowest."""
+    p, w = F.coalesce(in_portfolio, F.lit(False)), F.coalesce(in_watchlist, F.lit(False))
+    return F.when(p, "P0").when(w, "P1").otherwise("P4")
+
+
+#: What is said of a priority that doesn't fit.
+OWNED, WATCHED = "open portfolio positions must be P0", "watchlist-only positions must be P1"
+
+
+def priority_problem(in_portfolio: Column, in_watchlist: Column, given: Column) -> Column:
+    """Why a given priority (0 to 4) breaks the contract, or null."""
     p, w = F.coalesce(in_portfolio, F.lit(False)), F.coalesce(in_watchlist, F.lit(False))
-    return F.when(p & w, "P0").when(p, "P1").when(w, "P2").otherwise("P4")
+    return F.when(~F.coalesce(given.between(0, 4), F.lit(False)), "priority out of range").when(p & (given != 0), OWNED).when(~p & w & (given != 1), WATCHED)
 
 
 SCENARIO = "struct<analysis:string,classification:string,confidence:string,basis:array<string>,assumptions:array<string>,caveats:array<string>>"
 SUMMARY = f"category string, executive_summary string, material_facts array<string>, corporate_actions array<string>, expansion_projects array<string>, management_or_control_changes array<string>, capital_structure_events array<string>, listing_or_regulatory_events array<string>, possible_investor_relevance array<string>, risks_or_uncertainties array<string>, limitations array<string>, analytical_scenarios array<{SCENARIO}>, financial_figures array<struct<metric:string,value:string,period:string>>, dates_and_deadlines array<struct<date:string,event:string>>"
 
 
-def structured(rows: DataFrame) -> DataFrame:
+#: Fixed value: what an analysis by rules says of its limits.
+RULES_LIMITATION = "This summary was produced by rule-based classification from IDX metadata only. The source document was not read."
+
+
+def structured(rows: DataFrame, notes: tuple[str, ...] = (), anchored_note: str | None = None) -> DataFrame:
     """Structured analyses of rows (announcement_id, ticker, title, mode, summary as a struct of SUMMARY).
 
-    problem says why a row has none: it lacks an executive summary.
+    notes join every analysis's limitations, anchored_note those whose category comes from the headline. problem says why a row has none: it lacks an executive summary.
     """
     s = lambda f: F.col(f"summary.{f}")
     facts = [s(f) for f in ("material_facts", "corporate_actions", "expansion_projects", "management_or_control_changes", "capital_structure_events", "listing_or_regulatory_events")]
@@ -103,16 +121,21 @@ def structured(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("anchored", rules.headline(F.col("title")).isNotNull()).withColumn("tags", rules.primary_first(F.col("title"), F.col("tags")))
     p = F.col("tags")[0]
     rows = rows.withColumn("materiality", rules.tag_materiality(F.when(F.col("anchored"), F.array(p)).otherwise(F.col("tags")), F.col("mode")))
-    stated = F.transform(strings(s("material_facts")), lambda x: F.struct(F.lit("EXPLICIT_FACT").alias("type"), x.alias("text"), F.lit(None).cast("string").alias("confidence"), F.lit(None).cast("string").alias("basis")))
+    absent = F.lit(None).cast("string")
+    stated = F.transform(strings(s("material_facts")), lambda x: F.struct(F.lit("EXPLICIT_FACT").alias("type"), x.alias("text"), *[absent.alias(n) for n in ("confidence", "basis", "assumptions", "caveats")]))
     thought = F.transform(
         F.filter(F.coalesce(s("analytical_scenarios"), F.array().cast(f"array<{SCENARIO}>")), lambda x: F.coalesce(strip(x["analysis"]), F.lit("")) != ""),
-        lambda x: F.struct(claim_type(x["classification"]).alias("type"), strip(x["analysis"]).alias("text"), level(x["confidence"]).alias("confidence"), joined(strings(x["basis"])).alias("basis")),
+        lambda x: F.struct(claim_type(x["classification"]).alias("type"), strip(x["analysis"]).alias("text"), level(x["confidence"]).alias("confidence"), *[joined(strings(x[n])).alias(n) for n in ("basis", "assumptions", "caveats")]),
     )
-    numbers = F.filter(F.coalesce(s("financial_figures"), F.array().cast("array<struct<metric:string,value:string,period:string>>")), lambda x: (F.coalesce(strip(x["metric"]), F.lit("")) != "") & (F.coalesce(strip(x["value"]), F.lit("")) != ""))
+    figures = F.filter(F.coalesce(s("financial_figures"), F.array().cast("array<struct<metric:string,value:string,period:string>>")), lambda x: (F.coalesce(strip(x["metric"]), F.lit("")) != "") & (F.coalesce(strip(x["value"]), F.lit("")) != ""))
+    blank = lambda c: F.nullif(F.coalesce(strip(c), F.lit("")), F.lit(""))
+    numbers = F.transform(figures, lambda x: F.struct(strip(x["metric"]).alias("metric"), strip(x["value"]).alias("value"), blank(x["period"]).alias("period")))
     dates = F.transform(
         F.filter(F.coalesce(s("dates_and_deadlines"), F.array().cast("array<struct<date:string,event:string>>")), lambda x: (F.coalesce(strip(x["date"]), F.lit("")) != "") & (F.coalesce(strip(x["event"]), F.lit("")) != "")),
         lambda x: F.struct(iso_date(x["date"]).alias("date"), strip(x["date"]).alias("text"), strip(x["event"]).alias("event")),
     )
+    none = F.array().cast("array<string>")
+    noted = F.array(*map(F.lit, notes)) if notes else none
     empty = F.coalesce(strip(s("executive_summary")), F.lit("")) == ""
     return rows.select(
         "announcement_id", "ticker", p.alias("primary_category"), "tags", "materiality", F.lit("UNCLEAR").alias("impact"),
@@ -121,15 +144,42 @@ def structured(rows: DataFrame) -> DataFrame:
         F.coalesce(joined(strings(s("possible_investor_relevance")), " "), F.lit("No additional investor-relevance statement was identified in the compatibility analysis.")).alias("why_it_matters"),
         F.concat(stated, thought).alias("claims"), numbers.alias("numbers"), dates.alias("dates"),
         strings(s("risks_or_uncertainties")).alias("risks"),
+        F.array_distinct(F.concat(strings(s("limitations")), noted, F.when(F.col("anchored") & F.lit(anchored_note is not None), F.array(F.lit(anchored_note))).otherwise(none))).alias("limitations"),
         F.when(empty, "announcement summary is missing executive_summary").alias("problem"),
     )
 
 
-def rules_payload(announcement_id: Column, title: Column, category: Column, materiality: Column) -> Column:
-    """A rules-only analysis as JSON text with sorted keys."""
-    part = lambda k, v: F.concat(F.lit(f'"{k}": '), json_string(v.cast("string")))
-    name = F.initcap(F.replace(category, F.lit("_"), F.lit(" ")))
-    return F.concat(F.lit("{"), F.concat_ws(", ", part("announcement_id", announcement_id), part("category", category), part("headline", F.concat(name, F.lit(": "), title)), part("materiality", materiality)), F.lit("}"))
+def rules_payload(ticker: Column, title: Column, announced_at: Column, category: Column, materiality: Column, in_portfolio: Column, in_watchlist: Column) -> Column:
+    """The analysis of one disclosure from its metadata alone, as a struct of the published fields."""
+    p, w = F.coalesce(in_portfolio, F.lit(False)), F.coalesce(in_watchlist, F.lit(False))
+    who = F.when(p, "A stock you hold").when(w, "A stock on your watchlist").otherwise("A listed issuer")
+    named = F.when(materiality != "ROUTINE", " published a disclosure classified as ").otherwise(" published a disclosure of category ")
+    day = F.date_format(announced_at, "yyyy-MM-dd")
+    none = F.array().cast("array<string>")
+    fact = F.struct(
+        F.lit("EXPLICIT_FACT").alias("claimType"),
+        F.concat(ticker, F.lit(' published an announcement titled "'), title, F.lit('" on '), day, F.lit(".")).alias("text"),
+        F.lit("HIGH").alias("confidence"),
+        *[F.lit(None).cast("string").alias(n) for n in ("basis", "assumptions", "caveats", "sourceFileId")],
+        F.lit(None).cast("int").alias("sourcePage"),
+        F.lit(None).cast("string").alias("evidenceExcerpt"),
+    )
+    return F.struct(
+        ticker.alias("ticker"),
+        category.alias("primaryCategory"),
+        F.array(category).alias("tags"),
+        materiality.alias("materiality"),
+        F.lit("UNCLEAR").alias("impact"),
+        F.lit(1.0).alias("confidence"),
+        F.concat(ticker, F.lit(" — "), F.initcap(F.lower(F.translate(category, "_", " "))), F.lit(". Announced "), day, F.lit(". Open the official document for details.")).alias("executiveSummary"),
+        F.concat(who, named, category, F.lit(".")).alias("whyItMatters"),
+        F.array(fact).alias("materialFacts"),
+        none.alias("keyNumbers"),
+        none.alias("importantDates"),
+        none.alias("risks"),
+        none.alias("thingsToWatch"),
+        F.array(F.lit(RULES_LIMITATION)).alias("limitations"),
+    )
 
 
 def promoted_claims(rows: DataFrame, fields: dict[str, str]) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import unicodedata
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,9 +15,23 @@ from pyspark.sql.window import Window
 MIN_TOKENS, LENGTH_RATIO, NEAR, WIDTH, CAP = 120, 0.94, 0.985, 5, 6000
 
 
+def _compatible(text: Column) -> Column:
+    @F.arrow_udf("string")
+    def fold(arr: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else unicodedata.normalize("NFKC", t).lower() for t in arr.to_pylist()], pa.string())
+
+    return fold(text)
+
+
 def tokens(text: Column) -> Column:
-    """Runs of ASCII letters and digits in lower case."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
+    """Runs of ASCII letters and digits in lower case, after compatibility forms (full width, ligatures) are resolved.
+
+    Only texts with other than ASCII characters leave the JVM for that.
+    """
+    text = F.coalesce(text, F.lit(""))
+    plain = F.octet_length(text) == F.length(text)
+    folded = F.when(plain, F.lower(text)).otherwise(_compatible(F.when(~plain, text)))
+    return F.regexp_extract_all(folded, F.lit("[a-z0-9]+"), F.lit(0))
 
 
 def shingles(toks: Column, width: int = WIDTH, cap: int = CAP) -> Column:
@@ -54,62 +73,106 @@ def similarity(a: str, b: str) -> Column:
 
 
 def duplicate_pairs(rows: DataFrame, near: float = NEAR) -> DataFrame:
-    """(announcement_id, later, earlier, category, similarity): pairs of features in which the later could give way.
+    """(announcement_id, later, earlier, category, similarity): pairs of features (a table) in which the later could give way.
 
-    Exact pairs meet by file digest. Near ones meet by group and suffix, and by a band of token counts: two
-    counts whose ratio is at least LENGTH_RATIO fall into the same or neighbouring bands, so that only
-    texts of like length are paired.
+    Of files with equal digests each pairs with the first of them, which is kept if any of them is. Near ones
+    meet by group and suffix, and by a band of token counts: two counts whose ratio is at least LENGTH_RATIO
+    fall into the same or neighbouring bands, so that only texts of like length are paired. Pairs meet on ids
+    and counts alone; texts and shingles join them afterwards.
     """
-    named = lambda d, p: d.select(F.struct("*").alias(p))
-    ids = F.col("a.announcement_id").eqNullSafe(F.col("b.announcement_id"))
-    exact_rows = rows.where("sha256 <> ''").select("announcement_id", "url", "rank", "sha256")
-    exact = named(exact_rows, "a").join(named(exact_rows, "b"), ids & (F.col("a.sha256") == F.col("b.sha256")) & (F.col("b.rank") < F.col("a.rank")))
-    exact = exact.select("a.announcement_id", F.col("a.rank").alias("later"), F.col("b.rank").alias("earlier"), F.lit("exact_duplicate").alias("category"), F.lit(1.0).alias("similarity"))
-    long = rows.where(F.col("n_tokens") >= MIN_TOKENS).withColumn("band", F.floor(F.log("n_tokens") / -F.log(F.lit(LENGTH_RATIO))).cast("int"))
-    left = long.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    on = ids & (F.col("a.suffix") == F.col("b.suffix")) & (F.col("a.band") == F.col("b.band")) & (F.col("b.rank") < F.col("a.rank"))
-    close = F.least("a.n_tokens", "b.n_tokens") / F.greatest("a.n_tokens", "b.n_tokens") >= LENGTH_RATIO
-    found = named(left, "a").join(named(long, "b"), on).where(close).withColumn("similarity", similarity("a", "b")).where(F.col("similarity") >= near)
-    found = found.select("a.announcement_id", F.col("a.rank").alias("later"), F.col("b.rank").alias("earlier"), F.lit("near_duplicate").alias("category"), "similarity")
-    best = Window.partitionBy("announcement_id", "later", "earlier").orderBy("category")
-    return exact.unionByName(found).withColumn("n", F.row_number().over(best)).where("n = 1").drop("n")
-
-
-def resolve(pairs: DataFrame, max_rounds: int = 100) -> DataFrame:
+    key = ["announcement_id", "sha256"]
+    exact = rows.where("sha256 <> ''").select(*key, "rank")
+    firsts = exact.groupBy(*key).agg(F.min("rank").alias("earlier"))
+    exact = exact.join(firsts, key).where("rank > earlier").select("announcement_id", F.col("rank").alias("later"), "earlier", F.lit("exact_duplicate").alias("category"), F.lit(1.0).alias("similarity"))
+    return exact.unionByName(near_pairs(rows, near))
+
+
+def near_pairs(rows: DataFrame, near: float = NEAR) -> DataFrame:
+    """The near pairs of duplicate_pairs()."""
+    band = F.floor(F.log("n_tokens") / -F.log(F.lit(LENGTH_RATIO))).cast("int")
+    long = rows.where(F.col("n_tokens") >= MIN_TOKENS).select("announcement_id", "suffix", "rank", "n_tokens", "sha256", band.alias("band"))
+    later = long.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    earlier = long.select("announcement_id", "suffix", "band", F.col("rank").alias("earlier"), F.col("n_tokens").alias("n"), F.col("sha256").alias("other"))
+    close = F.least("n_tokens", "n") / F.greatest("n_tokens", "n") >= LENGTH_RATIO
+    pairs = later.join(earlier, ["announcement_id", "suffix", "band"]).where((F.col("earlier") < F.col("rank")) & close & ((F.col("sha256") != F.col("other")) | (F.col("sha256") == "")))
+    pairs = pairs.select("announcement_id", F.col("rank").alias("later"), "earlier")
+    side = lambda end, name: rows.select("announcement_id", F.col("rank").alias(end), F.struct("normalized", "digest", "shingles").alias(name))
+    found = pairs.join(side("later", "a"), ["announcement_id", "later"]).join(side("earlier", "b"), ["announcement_id", "earlier"])
+    found = found.withColumn("similarity", similarity("a", "b")).where(F.col("similarity") >= near)
+    return found.select("announcement_id", "later", "earlier", F.lit("near_duplicate").alias("category"), "similarity")
+
+
+def copies(rows: DataFrame) -> DataFrame:
+    """(announcement_id, later, digest) of the features whose file another row of their group has too."""
+    exact = rows.where("sha256 <> ''").select("announcement_id", F.col("rank").alias("later"), F.col("sha256").alias("digest"))
+    many = exact.groupBy("announcement_id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return exact.join(many, ["announcement_id", "digest"], "left_semi")
+
+
+def resolve(pairs: DataFrame, same: DataFrame | None = None) -> DataFrame:
     """(announcement_id, later, earlier, category, similarity): the pairs that take effect.
 
-    A row gives way to the first kept row that it pairs with, in order of rank. Kept rows follow from
-    the rows before them, so each round settles every row whose partners are all settled.
+    A row gives way to the first kept row that it pairs with, or that is a copy of it (same: what copies() gives),
+    in order of rank; a row whose partners all gave way is kept. Rows are read in that order, group by group; a
+    task remembers which ranks of its group gave way and the first kept row of each file.
     """
-    spark = pairs.sparkSession
-    todo = pairs
-    done = spark.createDataFrame([], pairs.schema)
-    gone = pairs.select("announcement_id", F.col("later").alias("rank")).limit(0)
-    key = ["announcement_id", "rank"]
-    for _ in range(max_rounds):
-        todo = _settled(todo)
-        if not todo.limit(1).count():
-            return done
-        waiting = todo.select("announcement_id", F.col("later").alias("rank")).distinct()
-        ready = todo.join(waiting.withColumnRenamed("rank", "earlier").withColumn("wait", F.lit(1)), ["announcement_id", "earlier"], "left")
-        # The first partner is certain once it isn't waiting itself.
-        first = Window.partitionBy("announcement_id", "later").orderBy("earlier")
-        ready = ready.withColumn("n", F.row_number().over(first)).where("n = 1 and wait is null").drop("n", "wait")
-        ready = _settled(ready.select(pairs.columns))
-        done = _settled(done.unionByName(ready))
-        gone = ready.select("announcement_id", F.col("later").alias("rank"))
-        todo = todo.join(gone.withColumnRenamed("rank", "later"), ["announcement_id", "later"], "left_anti")
-        todo = todo.join(gone.withColumnRenamed("rank", "earlier"), ["announcement_id", "earlier"], "left_anti").select(pairs.columns)
-    raise RuntimeError(f"duplicates did not settle in {max_rounds} rounds")
+    rows = pairs.withColumn("digest", F.lit(None).cast("string"))
+    if same is not None:
+        rows = rows.unionByName(same.select("announcement_id", "later", F.lit(None).cast("int").alias("earlier"), F.lit("exact_duplicate").alias("category"), F.lit(1.0).alias("similarity"), "digest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, now, digest = None, None, None
+        gone: set[int] = set()
+        kept: dict[str, int] = {}
+        hits: list[tuple[int, str, float]] = []
+        out: list[tuple] = []
+
+        def settle() -> None:
+            nonlocal hits, digest
+            if digest in kept:
+                hits.append((kept[digest], "exact_duplicate", 1.0))
+            if hits:
+                gone.add(now)
+                out.append((group, now, *min(hits)))
+            elif digest is not None:
+                kept[digest] = now
+            hits, digest = [], None
+
+        def flushed() -> pa.RecordBatch:
+            columns = [pa.array([r[k] for r in out], names.field(k).type) for k in range(5)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names=names.names[:5])
+
+        names = None
+        for batch in batches:
+            names = batch.schema
+            for own, later, earlier, category, alike, file in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is not None and (own != group or later != now):
+                    settle()
+                if own != group:
+                    gone, kept = set(), {}
+                group, now = own, later
+                if earlier is None:
+                    digest = file
+                elif earlier not in gone:
+                    hits.append((earlier, category, alike))
+            yield flushed()
+        if now is not None:
+            settle()
+            yield flushed()
+
+    dealt = rows.repartition("announcement_id").sortWithinPartitions("announcement_id", "later", "earlier")
+    return dealt.mapInArrow(run, pairs.schema)
 
 
 def _settled(df: DataFrame) -> DataFrame:
     """df in a table of its own, in the folder that executors share."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="filingspark-"))
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="filingspark-"))
     return df.checkpoint()
 
 
@@ -119,7 +182,7 @@ def deduplicate(items: DataFrame, near: float = NEAR) -> DataFrame:
     An item is compared with kept items only, first hit wins: one that is like a suppressed item only is kept.
     """
     rows = _settled(features(items))
-    chosen = resolve(duplicate_pairs(rows, near))
+    chosen = resolve(near_pairs(rows, near), copies(rows))
     names = rows.select("announcement_id", F.col("rank").alias("earlier"), F.col("url").alias("duplicate_of_url"))
     chosen = chosen.join(names, ["announcement_id", "earlier"]).select("announcement_id", F.col("later").alias("rank"), "category", "duplicate_of_url", "similarity")
     return rows.join(chosen, ["announcement_id", "rank"], "left").select(

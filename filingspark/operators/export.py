@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .audit import share_blocks
+from .audit import share_blocks, share_header
 
 
 def export_companies(rows: DataFrame, path: str, key: str = "ticker") -> None:
@@ -14,9 +14,11 @@ def export_companies(rows: DataFrame, path: str, key: str = "ticker") -> None:
     rows.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy(key).json(path)
 
 
-def export_share(companies: DataFrame, path: str, sections: list[str]) -> None:
-    """One Markdown block a company, in the order of tickers, as text files whose names keep that order."""
-    share_blocks(companies, sections).orderBy("ticker").select("block").write.mode("overwrite").option("lineSep", "\n\n").text(path)
+def export_share(companies: DataFrame, path: str, start: str, end: str, sections: list[str]) -> None:
+    """A bundle as text files whose names keep the order: its header, then one Markdown block a company by ticker."""
+    blocks = share_blocks(companies, sections)
+    head = blocks.agg(share_header(start, end, F.count(F.lit(1))).alias("block")).select(F.lit("").alias("ticker"), "block")
+    head.unionByName(blocks).orderBy("ticker").select("block").write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
 def append_log(rows: DataFrame, path: str) -> None:

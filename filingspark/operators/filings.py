@@ -27,11 +27,38 @@ SIGNALS = (
     ("free-float-breach", r"free\s*float.{0,120}(?:tidak\s+memenuhi|di\s+bawah|kurang\s+dari|pelanggaran)"),
     ("treasury-change", r"(?:saham\s+treasuri|treasury\s+stock).{0,120}(?:bertambah|berkurang|dialihkan|dijual|dibeli)"),
 )
+#: The title of routine filings, words about ownership, and percentages.
 ROUTINE_TITLE = r"\blaporan\s+bulanan\s+registrasi\s+pemegang\s+efek\b"
 OWNERSHIP = r"pemegang|kepemilikan|pengendali|direksi|direktur|komisaris|free\s*float|treasuri"
 PERCENT = r"(?<!\d)(\d{1,3}(?:[.,]\d{1,4})?)\s*%"
 
 
+#: Reasons that selection gives.
+REASONS = {
+    "lone": "fallback main PDF because no named financial-statement PDF was found",
+    "zip": "machine/XBRL ZIP package",
+    "general": "supported attachment",
+    "spreadsheet": "financial-statement spreadsheet",
+    "administrative": "administrative/supporting financial-report document",
+    "primary": "primary human-readable financial-statement PDF",
+    "fallback": "fallback financial-statement PDF because no LK/report PDF was found",
+    "duplicate": "duplicate financial-statement PDF; preferred LK/report PDF is available",
+    "held": "generic financial-statement PDF held as fallback",
+    "other": "not a primary financial statement source",
+}
+UNSUPPORTED = "unsupported file type "
+#: Reasons that triage gives.
+TRIAGE = {
+    "other": "not a supported routine disclosure",
+    "none": "no extracted evidence available",
+    "large": "routine evidence exceeds direct-analysis size guard",
+    "sparse": "one or more routine sources are too sparse for safe direct analysis",
+    "signals": "deterministic routine scan found material-change indicators; use full document pipeline",
+    "direct": "routine registration report passed conservative deterministic scan; analyze all raw evidence in one structured call",
+    "failed": "selected source extraction failed; conservative full pipeline retained",
+}
+
+
 def folded(text: Column) -> Column:
     """Lower case, underscores and hyphens as spaces, single spaces."""
     return F.trim(F.regexp_replace(F.translate(F.lower(F.coalesce(text, F.lit(""))), "_-", "  "), r"(?U)\s+", " "))
@@ -71,21 +98,21 @@ def select_attachments(rows: DataFrame, smart: bool = True) -> DataFrame:
     fallback = (r == "generic") & (F.col("n_primary") == 0) & (F.col("pick") == 1)
     lone = F.col("financial") & (F.col("n_primary") == 0) & (F.col("n_generic") == 0) & (F.col("n_main") == 1) & F.col("main")
     ladder = (
-        (lone, True, "fallback main PDF because no named financial-statement PDF was found", "financial_statement"),
-        (r == "zip", False, "machine/XBRL ZIP package", "machine_package"),
+        (lone, True, REASONS["lone"], "financial_statement"),
+        (r == "zip", False, REASONS["zip"], "machine_package"),
         (r == "unsupported", False, None, "unsupported"),
-        (r == "general", True, "supported attachment", "general_source"),
-        (r == "spreadsheet", True, "financial-statement spreadsheet", "financial_statement"),
-        (r == "administrative", False, "administrative/supporting financial-report document", "administrative"),
-        (r == "primary", True, "primary human-readable financial-statement PDF", "financial_statement"),
-        (fallback, True, "fallback financial-statement PDF because no LK/report PDF was found", "financial_statement"),
-        ((r == "generic") & (F.col("n_primary") > 0), False, "duplicate financial-statement PDF; preferred LK/report PDF is available", "financial_statement_duplicate"),
-        (r == "generic", False, "generic financial-statement PDF held as fallback", "financial_statement_duplicate"),
+        (r == "general", True, REASONS["general"], "general_source"),
+        (r == "spreadsheet", True, REASONS["spreadsheet"], "financial_statement"),
+        (r == "administrative", False, REASONS["administrative"], "administrative"),
+        (r == "primary", True, REASONS["primary"], "financial_statement"),
+        (fallback, True, REASONS["fallback"], "financial_statement"),
+        ((r == "generic") & (F.col("n_primary") > 0), False, REASONS["duplicate"], "financial_statement_duplicate"),
+        (r == "generic", False, REASONS["held"], "financial_statement_duplicate"),
     )
-    selected, reason, category = F.lit(False), F.lit("not a primary financial statement source"), F.lit("supporting")
+    selected, reason, category = F.lit(False), F.lit(REASONS["other"]), F.lit("supporting")
     for test, take, why, kind in reversed(ladder):
         selected = F.when(test, F.lit(take)).otherwise(selected)
-        reason = F.when(test, F.concat(F.lit("unsupported file type "), end) if why is None else F.lit(why)).otherwise(reason)
+        reason = F.when(test, F.concat(F.lit(UNSUPPORTED), end) if why is None else F.lit(why)).otherwise(reason)
         category = F.when(test, F.lit(kind)).otherwise(category)
     return rows.withColumns({"selected": selected, "reason": reason, "category": category}).drop("role", "financial", "n_primary", "n_generic", "main", "n_main", "pick")
 
@@ -119,7 +146,8 @@ def signals(text: Column, least: float = 0.10) -> Column:
 def triage(rows: DataFrame, max_characters: int = 70_000, least: float = 0.10) -> DataFrame:
     """(announcement_id, mode, reason, signals, total, documents) from rows (announcement_id, title, text or null, ordinal).
 
-    A text without a row of evidence has null. Routine filings that pass every test go direct, all others in full.
+    A text without a row of evidence has null. Routine filings that pass every test go direct, all others in
+    full. Sizes decide first: only the texts of routine filings within the guard are gathered.
     """
     has = F.col("text").isNotNull()
     facts = rows.groupBy("announcement_id").agg(
@@ -127,20 +155,33 @@ def triage(rows: DataFrame, max_characters: int = 70_000, least: float = 0.10) -
         F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("total"),
         F.sum(has.cast("int")).alias("documents"),
         F.min(F.when(has, F.length(F.regexp_replace("text", r"(?U)^\s+|\s+$", "")))).alias("least"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(has, F.struct("ordinal", "text")))), lambda x: x["text"]), "\n").alias("combined"),
     )
-    found = signals(F.col("combined"), least)
     routine = F.coalesce(F.col("title"), F.lit("")).rlike(f"(?i){ROUTINE_TITLE}")
+    facts = facts.withColumn("scanned", routine & (F.col("documents") > 0) & (F.col("total") <= max_characters) & (F.col("least") >= 120))
+    texts = rows.where(has).join(facts.where("scanned").select("announcement_id"), "announcement_id", "left_semi")
+    texts = texts.groupBy("announcement_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "text"))), lambda x: x["text"]), "\n").alias("combined"))
     none = F.array().cast("array<string>")
+    facts = facts.join(texts, "announcement_id", "left").withColumn("found", F.when(F.col("scanned"), signals(F.col("combined"), least)).otherwise(none))
     ladder = (
-        (~routine, "full", "not a supported routine disclosure", none),
-        (F.col("documents") == 0, "full", "no extracted evidence available", F.array(F.lit("no-evidence"))),
-        (F.col("total") > max_characters, "full", "routine evidence exceeds direct-analysis size guard", F.array(F.lit("large-evidence"))),
-        (F.col("least") < 120, "full", "one or more routine sources are too sparse for safe direct analysis", F.array(F.lit("sparse-evidence"))),
-        (F.size("found") > 0, "full", "deterministic routine scan found material-change indicators; use full document pipeline", F.col("found")),
+        (~routine, "full", TRIAGE["other"], none),
+        (F.col("documents") == 0, "full", TRIAGE["none"], F.array(F.lit("no-evidence"))),
+        (F.col("total") > max_characters, "full", TRIAGE["large"], F.array(F.lit("large-evidence"))),
+        (F.col("least") < 120, "full", TRIAGE["sparse"], F.array(F.lit("sparse-evidence"))),
+        (F.size("found") > 0, "full", TRIAGE["signals"], F.col("found")),
     )
-    facts = facts.withColumn("found", F.when(routine, found).otherwise(none))
-    mode, reason, named = F.lit("routine_direct"), F.lit("routine registration report passed conservative deterministic scan; analyze all raw evidence in one structured call"), none
+    mode, reason, named = F.lit("routine_direct"), F.lit(TRIAGE["direct"]), none
     for test, m, why, s in reversed(ladder):
         mode, reason, named = F.when(test, m).otherwise(mode), F.when(test, why).otherwise(reason), F.when(test, s).otherwise(named)
     return facts.select("announcement_id", mode.alias("mode"), reason.alias("reason"), named.alias("signals"), "total", "documents")
+
+
+def after_failures(triaged: DataFrame, failures: Column) -> DataFrame:
+    """triaged (mode, reason, signals) with what failed extractions (their number) change: nothing goes direct then."""
+    override = (failures > 0) & (F.col("mode") == "routine_direct")
+    return triaged.withColumns(
+        {
+            "signals": F.when(override, F.array_append("signals", F.lit("extraction-failure"))).otherwise(F.col("signals")),
+            "reason": F.when(override, TRIAGE["failed"]).otherwise(F.col("reason")),
+            "mode": F.when(override, "full").otherwise(F.col("mode")),
+        }
+    )

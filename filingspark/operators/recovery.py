@@ -11,44 +11,126 @@ STATES = ("DISCOVERED", "EXTRACTING", "ANALYZING", "READY")
 ENDS = ("PARTIAL", "FAILED")
 
 
+#: The source that recovery is for, and what is said of each difference, in order.
+SOURCE = "idx-website"
+MISMATCHES = (
+    "disclosure_id mismatch",
+    "external_id mismatch",
+    "ticker mismatch",
+    "source_id is not idx-website",
+    "processing_status changed since manifest",
+    "updated_at concurrency guard changed",
+    "disclosure is outside stock scope",
+    "declared attachment count changed",
+    "attachment hash metadata changed",
+)
+MISSING = "NOT_FOUND: disclosure row not found"
+FILES = ("stored file belongs to another disclosure", "stored file count exceeds declared attachment count", "duplicate stored attachment source_url")
+ANALYSED = "record already has a committed analysis"
+
+
+def hashes(values: Column) -> Column:
+    """Digests in their order, stripped and in lower case; null is none."""
+    return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda h: F.lower(F.trim(h)))
+
+
 def mismatches(manifest: DataFrame, current: DataFrame) -> DataFrame:
-    """(disclosure_id, reasons): how current rows differ from what a manifest expects, in fixed order."""
+    """(disclosure_id, reasons): how current rows differ from what a manifest expects, in fixed order.
+
+    Rows meet by `row_id`, under which the store was asked. Tickers are compared in upper case, digests in
+    their order. A row that isn't there is the only reason then.
+    """
     m, c = manifest.alias("m"), current.alias("c")
-    rows = m.join(c, F.col("m.disclosure_id") == F.col("c.disclosure_id"), "left")
+    rows = m.join(c, F.col("m.disclosure_id") == F.col("c.row_id"), "left")
     differs = lambda a, b: ~F.col(f"m.{a}").eqNullSafe(F.col(f"c.{b}"))
-    gone = F.col("c.disclosure_id").isNull()
     tests = (
-        ("external_id_mismatch", differs("expected_external_id", "external_id")),
-        ("ticker_mismatch", ~F.upper("m.ticker").eqNullSafe(F.upper("c.ticker"))),
-        ("status_mismatch", differs("expected_status", "processing_status")),
-        ("updated_at_mismatch", differs("expected_updated_at", "updated_at")),
-        ("out_of_scope", ~F.coalesce("c.is_stock_scope", F.lit(False))),
-        ("attachment_count_mismatch", differs("declared_attachment_count", "declared_attachment_count")),
-        ("attachment_hash_mismatch", ~F.array_sort("m.expected_attachment_hashes").eqNullSafe(F.array_sort("c.attachment_hashes"))),
+        differs("disclosure_id", "disclosure_id"),
+        differs("expected_external_id", "external_id"),
+        ~F.upper("m.ticker").eqNullSafe(F.upper("c.ticker")),
+        ~F.col("c.source_id").eqNullSafe(F.lit(SOURCE)),
+        differs("expected_status", "processing_status"),
+        differs("expected_updated_at", "updated_at"),
+        ~F.coalesce("c.is_stock_scope", F.lit(False)),
+        differs("declared_attachment_count", "declared_attachment_count"),
+        hashes(F.col("c.attachment_hashes")) != hashes(F.col("m.expected_attachment_hashes")),
     )
-    found = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests]))
-    return rows.select(F.col("m.disclosure_id").alias("disclosure_id"), F.when(gone, F.array(F.lit("disclosure_missing"))).otherwise(found).alias("reasons"))
-
-
-def action(held: Column, mismatched: Column, analysed: Column, n_files: Column, n_declared: Column, n_downloaded: Column, n_extracted: Column) -> Column:
-    """The next step of a record: the first that fits."""
-    return (
-        F.when(mismatched, "PRECONDITION_FAILED")
-        .when(held, "HELD")
-        .when(analysed, "NOOP")
-        .when(n_declared == 0, "METADATA_PROCESS_RESUME")
-        .when((n_files == 0) | (n_downloaded < n_declared), "ATTACHMENT_DOWNLOAD")
-        .when(n_extracted < n_downloaded, "EXTRACTION_RESUME")
-        .when(n_extracted == n_declared, "AI_ONLY_RETRY")
-        .otherwise("MANUAL_REVIEW")
+    found = F.array_compact(F.array(*[F.when(test, F.lit(name)) for test, name in zip(tests, MISMATCHES, strict=True)]))
+    return rows.select(F.col("m.disclosure_id").alias("disclosure_id"), F.when(F.col("c.row_id").isNull(), F.array(F.lit(MISSING))).otherwise(found).alias("reasons"))
+
+
+def file_facts(files: DataFrame) -> DataFrame:
+    """Facts of the files (row_id, disclosure_id, source_url, sha256, download_status, extraction_status, extracted_text_ref, local_exists, local_sha256, expected hashes and count) of each record.
+
+    A file is valid if it was downloaded and extracted, and either its local copy is there or a text is
+    stored for its digest; a digest that the manifest lacks makes a local copy wrong and a stored one not valid. Others
+    that were downloaded and are there locally are staged. local_exists is null for a file without a local path.
+    """
+    whole = F.size("expected_attachment_hashes") >= F.col("declared_attachment_count")
+    known = lambda h: F.array_contains(hashes(F.col("expected_attachment_hashes")), h)
+    done = F.coalesce((F.col("download_status") == "DOWNLOADED") & (F.col("extraction_status") == "EXTRACTED"), F.lit(False))
+    local = F.coalesce("local_exists", F.lit(False))
+    url = F.col("source_url")
+    wrong = F.when(done & local & F.col("sha256").isNotNull() & (F.col("local_sha256") != F.lower("sha256")), F.concat(url, F.lit(": local cache hash mismatch")))
+    wrong = wrong.when(done & local & whole & ~known(F.col("local_sha256")), F.concat(url, F.lit(": cache hash is not in manifest")))
+    stored = F.coalesce((F.col("extracted_text_ref") != "") & (F.col("sha256") != "") & (~whole | known(F.lower("sha256"))), F.lit(False))
+    valid = done & F.when(F.col("local_exists").isNull(), stored).otherwise(local & wrong.isNull())
+    staged = ~valid & (F.col("download_status") == "DOWNLOADED") & local
+    rows = files.withColumns({"wrong": wrong, "valid": valid, "staged": F.coalesce(staged, F.lit(False))})
+    return rows.groupBy("row_id").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(~F.col("disclosure_id").eqNullSafe(F.col("row_id"))).alias("n_foreign"),
+        F.count_distinct("source_url").alias("n_urls"),
+        F.count_if("valid").alias("n_valid"),
+        F.count_if("staged").alias("n_staged"),
+        F.array_sort(F.collect_set("wrong")).alias("wrong"),
     )
 
 
-def file_facts(files: DataFrame, key: str) -> DataFrame:
-    """Files of each key by how far they came; an extraction needs its hash and no error."""
-    down = F.coalesce((F.col("download_status") == "DOWNLOADED") & F.col("sha256").isNotNull(), F.lit(False))
-    out = F.coalesce(down & (F.col("extraction_status") == "EXTRACTED") & F.col("extracted_text_hash").isNotNull(), F.lit(False))
-    return files.groupBy(key).agg(F.count(F.lit(1)).alias("n_files"), F.count_if(down).alias("n_downloaded"), F.count_if(out).alias("n_extracted"))
+def preflight(manifest: DataFrame, current: DataFrame, files: DataFrame) -> DataFrame:
+    """(disclosure_id, outcome, action, reasons, attachments_needed, attachments_considered, source_requests, files_reused, ai_documents, analyses) of each record of a manifest.
+
+    Differences, files that don't fit and wrong copies need a review; buckets E and F are held unless recovery
+    is allowed; an analysis that is there ends the matter. Then what is missing decides the next step.
+    """
+    own = manifest.select(F.col("disclosure_id").alias("row_id"), "expected_attachment_hashes", "declared_attachment_count")
+    facts = file_facts(files.join(own, "row_id"))
+    rows = manifest.join(mismatches(manifest, current), "disclosure_id").join(facts, manifest.disclosure_id == facts.row_id, "left").drop("row_id")
+    rows = rows.join(current.select(F.col("row_id").alias("disclosure_id"), F.coalesce("analysis_present", F.lit(False)).alias("analysed")), "disclosure_id", "left")
+    rows = rows.fillna(0, ["n_files", "n_foreign", "n_urls", "n_valid", "n_staged"])
+    c = F.col
+    bad_files = F.array_compact(F.array(*[F.when(test, F.lit(name)) for test, name in zip((c("n_foreign") > 0, c("n_files") > c("declared_attachment_count"), c("n_urls") != c("n_files")), FILES, strict=True)]))
+    held = c("bucket").isin("E", "F") & ~F.coalesce("recovery_allowed", F.lit(False))
+    none = F.array().cast("array<string>")
+    reviewed = F.lit("MANUAL_REVIEW")
+    needed = F.greatest(c("declared_attachment_count") - c("n_valid") - c("n_staged"), F.lit(0)) + c("n_files") - c("n_valid") - c("n_staged")
+    rows = rows.withColumn("needed", needed)
+    step = (
+        F.when((c("n_valid") > 0) & (c("needed") == 0), "AI_ONLY_RETRY")
+        .when(c("needed") > 0, "ATTACHMENT_DOWNLOAD")
+        .when(c("n_staged") > 0, "EXTRACTION_RESUME")
+        .when(c("expected_status") == "EXTRACTING", "METADATA_PROCESS_RESUME")
+        .when(c("n_files") > 0, "EXTRACTION_RESUME")
+        .otherwise("ATTACHMENT_DOWNLOAD")
+    )
+    ladder = (
+        (F.size("reasons") > 0, "PRECONDITION_FAILED", reviewed, c("reasons")),
+        (held, "HELD", F.lit("HELD"), F.array(F.concat(F.lit("bucket "), c("bucket"), F.lit(" requires explicit recovery_allowed=true")))),
+        (F.size(bad_files) > 0, "PRECONDITION_FAILED", reviewed, bad_files),
+        (c("analysed"), "ALREADY_READY", F.lit("NOOP"), F.array(F.lit(ANALYSED))),
+        (F.size("wrong") > 0, "PRECONDITION_FAILED", reviewed, c("wrong")),
+    )
+    outcome, action, reasons = F.lit("READY"), step, none
+    for test, o, what, why in reversed(ladder):
+        outcome, action, reasons = F.when(test, o).otherwise(outcome), F.when(test, what).otherwise(action), F.when(test, why).otherwise(reasons)
+    rows = rows.withColumns({"outcome": outcome, "action": action, "why": reasons})
+    ready = c("outcome") == "READY"
+    fetched = F.when(ready & c("action").isin("ATTACHMENT_DOWNLOAD", "METADATA_PROCESS_RESUME"), c("needed")).otherwise(0)
+    considered = F.when(ready, c("n_files") + fetched).otherwise(0)
+    return rows.select(
+        "disclosure_id", "outcome", "action", c("why").alias("reasons"), fetched.alias("attachments_needed"), considered.alias("attachments_considered"),
+        fetched.alias("source_requests"), F.when(ready, c("n_valid")).otherwise(0).alias("files_reused"),
+        F.when(c("action") == "AI_ONLY_RETRY", c("n_valid")).otherwise(considered).alias("ai_documents"), F.when(ready, 1).otherwise(0).alias("analyses"),
+    )
 
 
 def first_cap(plan: DataFrame, caps: dict[str, int]) -> DataFrame:
@@ -60,13 +142,25 @@ def first_cap(plan: DataFrame, caps: dict[str, int]) -> DataFrame:
     return sums.withColumn("exceeded", over)
 
 
-def file_status(error: Column, sha256: Column, size: Column, text_hash: Column) -> Column:
-    return F.when(error.isNotNull(), "FAILED").when(text_hash.isNotNull(), "EXTRACTED").when(sha256.isNotNull() & size.isNotNull(), "DOWNLOADED").otherwise("PENDING")
+def file_status(error: Column, sha256: Column, size: Column, text_hash: Column) -> tuple[Column, Column]:
+    """(download, extraction) status of a stored file: a failure is one of the extraction alone."""
+    full = lambda c: F.coalesce(c != "", F.lit(False))
+    failed = full(F.trim(error))
+    good = full(F.trim(sha256)) & (F.length(F.trim(sha256)) == 64)
+    return F.when(good & size.isNotNull(), "DOWNLOADED").otherwise("PENDING"), F.when(full(text_hash) & ~failed, "EXTRACTED").when(failed, "FAILED").otherwise("PENDING")
+
+
+def outcome(errors: Column, partial: Column, proved: Column, allowed: Column, deadline: Column, limited: Column) -> tuple[Column, Column]:
+    """(status, error code) of a run: processing first, then whether its window is proved, then whether it may commit coverage."""
+    good = (errors == 0) & (partial == 0)
+    code = F.when(~good, F.when(deadline, "AI_RUN_DEADLINE").when(limited, "AI_RATE_LIMITED").otherwise("SOURCE_PROCESSING_PARTIAL"))
+    code = code.when(~proved, "SOURCE_COVERAGE_UNPROVEN").when(~allowed, "SOURCE_COVERAGE_NOT_AUTHORIZED")
+    return F.when(good & proved & allowed, "COMPLETE").otherwise("PARTIAL"), code
 
 
-def outcome(total: Column, ready: Column, failed: Column, complete: Column) -> Column:
-    """The end status of a run."""
-    return F.when(~complete, "PARTIAL").when((total > 0) & (failed == total), "FAILED").when(ready < total, "PARTIAL").otherwise("SUCCESS")
+def terminal_status(ok: Column, commits: Column, downloaded: Column, reused: Column) -> Column:
+    """The end status of a recovery run: what has changed something can be resumed."""
+    return F.when(ok, "COMPLETE").when((commits > 0) | (downloaded > 0) | (reused > 0), "PARTIAL").otherwise("FAILED")
 
 
 def stale(status: Column, started: Column, now: Column, minutes: int = 85) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,18 +15,18 @@ CHUNK = 45_000
 
 
 def split_chunks(text: str, size: int = CHUNK) -> list[str]:
-    """Parts of at most `size` characters, cut at the last line end past half the size if there is one.
+    """Parts of at most `size` characters that join to the text.
 
-    The line end begins the next part, so the parts join to the text.
+    A part ends before the last line end that leaves it over half the size, which then begins the next one;
+    without such a line end it is as long as it may be.
     """
-    out, at = [], 0
-    while at < len(text):
-        end = min(at + size, len(text))
-        if end < len(text) and (line := text.rfind("\n", at, end)) > at + size // 2:
-            end = line
-        out.append(text[at:end])
-        at = end
-    return out or [""]
+    ends = [m.start() for m in re.finditer("\n", text)]
+    bounds = [0]
+    while len(text) - bounds[-1] > size:
+        low, high = bounds[-1] + size // 2 + 1, bounds[-1] + size
+        k = bisect_left(ends, high)
+        bounds.append(ends[k - 1] if k and ends[k - 1] >= low else high)
+    return [text[a:b] for a, b in pairwise([*bounds, len(text)])]
 
 
 def chunks(docs: DataFrame, key: str, text: str, size: int = CHUNK) -> DataFrame:

@@ -25,8 +25,13 @@ def last_value(df: DataFrame, key: list[str], ordinal: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, batch: DataFrame, key: list[str], ordinal: str = "_batch") -> DataFrame:
-    """base with batch's rows in place of those with the same key; of repeated batch rows the last by `ordinal`, if there is one."""
-    batch = last_value(batch, key, ordinal).drop(ordinal) if ordinal in batch.columns else batch.dropDuplicates(key)
+    """base with batch's rows in place of those with the same key; of repeated batch rows the last by `ordinal`, or, without
+    that column, the one whose values come last in order."""
+    if ordinal in batch.columns:
+        batch = last_value(batch, key, ordinal).drop(ordinal)
+    else:
+        values = [c for c in batch.columns if c not in key]
+        batch = batch.groupBy(*key).agg(F.max(F.struct(*values)).alias("_v")).select(*key, *[F.col(f"_v.{c}").alias(c) for c in values]) if values else batch.distinct()
     return base.join(batch.select(*key), key, "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
@@ -100,3 +105,14 @@ def breaker(rows: DataFrame, key: list[str], order: list[str], failed: Column) -
 def round_robin(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """turn: each key's first row, then each key's second, and so on."""
     return rows.withColumn("turn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+
+
+def weighted_order(rows: DataFrame, stage: str, weights: dict[str, int], order: list[str]) -> DataFrame:
+    """place: stages take turns by weight, in the order of weights, each with its own rows in order; a stage that has run out is passed over."""
+    turn = F.row_number().over(Window.partitionBy(stage).orderBy(*order)) - 1
+    cycle, offset = sum(weights.values()), 0
+    place = F.lit(None).cast("bigint")
+    for name, weight in weights.items():
+        place = F.when(F.col(stage) == name, F.floor(turn / weight) * cycle + offset + turn % weight).otherwise(place)
+        offset += weight
+    return rows.withColumn("place", place.cast("bigint"))

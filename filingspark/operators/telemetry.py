@@ -34,6 +34,13 @@ def ewma(df: DataFrame, key: str, order: list[str], value: str, new: float = 0.2
     return ordered_fold(df, key, "_o", ["_v"], F.lit(0.0), lambda acc, x: F.when(acc <= 0, x["_v"]).otherwise(new * x["_v"] + (1 - new) * acc)).withColumnRenamed("state", "ewma")
 
 
+def latency(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+    """(key, n, total, average, longest, last, ewma) of each key's latencies."""
+    place = F.struct(*order)
+    out = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("average"), F.max(value).alias("longest"), F.max_by(value, place).alias("last"))
+    return out.join(ewma(df, key, order, value), key)
+
+
 def adaptive_limit(df: DataFrame, key: str, order: list[str], outcome: str, most: int = 4, step: int = 6) -> DataFrame:
     """(key, limit, throttles, ramps): a throttle halves the limit, a transient failure takes one, and
     step * limit successes in a row add one up to the most."""

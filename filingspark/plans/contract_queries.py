@@ -53,24 +53,6 @@ def contract_violations(spark, d):
     return contracts.violations(rows, "k", {"name": contracts.text_between(F.col("p_name"), 1, 20), "size": F.col("p_size").between(1, 40), "brand": F.col("p_brand").rlike("^Brand#[1-3][0-9]$"), "price": F.col("p_retailprice") < 1500})
 
 
-@query("select event_id, json_extract_string(props, '$.k') as k, '' as problem from events")
-def strict_json(spark, d):
-    out = contracts.parse_strict(V.load(spark, d, "events"), "props", "k string")
-    return out.select("event_id", F.col("parsed.k").alias("k"), F.coalesce("problem", F.lit("")).alias("problem"))
-
-
-@query(f"""with {V.ANN} select announcement_id, case when trim(title) <> '' then trim(regexp_replace(title, '^\\s+|\\s+$', '', 'g')) else kind end as title, case when trim(title) <> '' then 'title' else 'type' end as origin from ann""")
-def title_fallback(spark, d):
-    title, origin = contracts.title_of(F.col("title"), F.lit(None).cast("string"), F.col("kind"), F.col("ticker"))
-    return V.announcements(spark, d).select("announcement_id", title.alias("title"), origin.alias("origin"))
-
-
-@query("select c_custkey, case when l.quality = 1 and l.toxic = 1 then 'P0' when l.quality = 1 then 'P1' when l.toxic = 1 then 'P2' else 'P4' end as priority from customer left join labels l on c_custkey = doc_id")
-def owner_priority(spark, d):
-    flags = V.load(spark, d, "labels").select(F.col("doc_id").alias("c_custkey"), (F.col("quality") == 1).alias("p"), (F.col("toxic") == 1).alias("w"))
-    return V.load(spark, d, "customer").join(flags, "c_custkey", "left").select("c_custkey", contracts.priority(F.col("p"), F.col("w")).alias("priority"))
-
-
 @query("""
 with o as (select o_custkey as grp, o_orderkey as ordinal, case when o_orderkey % 3 = 0 then '' else 'u' || o_orderkey end as url, 'N' || o_orderkey as name, case when o_orderkey % 2 = 0 then '' else o_orderstatus end as v from orders),
 n as (select o_custkey as grp, o_orderkey as ordinal, case when o_orderkey % 5 = 0 then '' else 'u' || o_orderkey end as url, 'n' || o_orderkey as name, o_orderpriority as v from orders where o_orderkey % 4 <> 1)
@@ -83,25 +65,6 @@ def attachment_merge(spark, d):
     return contracts.keyed_merge(old, new, "grp").select("grp", "ordinal", "url", "name", "v")
 
 
-@query("select n_nationkey, 'Nation ' || n_name || ' in {{region}}: ' || n_regionkey as text from nation")
-def render_template(spark, d):
-    values = F.create_map(F.lit("name"), F.concat("n_name", F.lit(" in {{region}}")), F.lit("region"), F.col("n_regionkey").cast("string"), F.lit("none"), F.lit(None).cast("string"))
-    return V.load(spark, d, "nation").select("n_nationkey", X.render(F.lit("Nation {{name}}: {{ region }}{{none}}"), values).alias("text"))
-
-
-@query("select doc_id, len(string_split(text, chr(10))) as n, replace(replace(replace(text, '**', ''), '__', ''), '`', '') = text as same from documents")
-def markdown_plain(spark, d):
-    """Texts without headings, bullets or fences come back but for their emphasis marks."""
-    docs = V.load(spark, d, "documents")
-    return docs.select("doc_id", F.size(F.split(X.plain_markdown(F.col("text")), "\n")).cast("bigint").alias("n"), (X.plain_markdown(F.col("text")) == F.col("text")).alias("same"))
-
-
-@query("select event_id, round(least(60.0, case when event_id % 7 = 0 then value else 2.0 * power(2, greatest(event_id % 9 - 1, 0)) end), 6)::double as seconds from events")
-def retry_backoff(spark, d):
-    asked = F.when(F.col("event_id") % 7 == 0, F.col("value"))
-    return V.load(spark, d, "events").select("event_id", F.round(X.backoff(F.col("event_id") % 9, 2.0, 60.0, asked), 6).alias("seconds"))
-
-
 @query("""select user_id, count(*) as n, count(*) filter (where event_type = 'click') as clicks, sum(case when event_id % 2 = 0 then 1 else 0 end)::bigint as created, bool_and(value >= 0) as complete, round(sum(value), 4) as reported from events group by user_id""")
 def publish_counters(spark, d):
     return V.load(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "click").alias("clicks"), F.count_if(F.col("event_id") % 2 == 0).alias("created"), F.bool_and(F.col("value") >= 0).alias("complete"), F.round(F.sum("value"), 4).alias("reported"))

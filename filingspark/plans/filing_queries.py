@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..operators import dedup, filings, relational as R, rules, telemetry, timewin
+from ..operators import dedup, reduce, relational as R, rules, telemetry, timewin
 from ..sources import views as V
 from .registry import query
 
@@ -222,16 +222,32 @@ near as (select a.announcement_id, a.url as later, b.url as earlier,
 
 @query(f"with {FEATURES_SQL} select later, earlier, round(similarity, 6) as similarity from near where similarity >= 0.7")
 def near_dup_pairs(spark, d):
-    rows = dedup.features(V.attachments(spark, d))
-    pairs = dedup.duplicate_pairs(rows, 0.7).where("category = 'near_duplicate'")
+    rows = dedup._settled(dedup.features(V.attachments(spark, d)))
+    pairs = dedup.near_pairs(rows, 0.7)
     names = lambda n: rows.select("announcement_id", F.col("rank").alias(n), F.col("url").alias(f"{n}_url"))
     pairs = pairs.join(names("later"), ["announcement_id", "later"]).join(names("earlier"), ["announcement_id", "earlier"])
     return pairs.select(F.col("later_url").alias("later"), F.col("earlier_url").alias("earlier"), F.round("similarity", 6).alias("similarity"))
 
 
-@query()
+GREEDY = f"""
+with recursive {FEATURES_SQL},
+near_rank as (select n.announcement_id, x.rank as later, y.rank as earlier, n.similarity from near n join f x on x.url = n.later join f y on y.url = n.earlier),
+hits as (select announcement_id, later, earlier, 'near_duplicate' as category, similarity from near_rank where similarity >= 0.985
+  union all select a.announcement_id, a.rank, b.rank, 'exact_duplicate', 1.0 from f a join f b on a.announcement_id = b.announcement_id and a.sha256 = b.sha256 and b.rank < a.rank),
+listed as (select announcement_id, later, list({{'e': earlier, 'c': category, 's': similarity}} order by earlier, category) as es from hits group by all),
+sizes as (select announcement_id, max(rank) as m from f group by all),
+st as (select announcement_id, 0::bigint as k, []::bigint[] as gone, null::struct(e bigint, c varchar, s double) as hit from sizes
+  union all
+  select t.announcement_id, t.k + 1, case when t.h is null then t.gone else list_append(t.gone, t.k + 1) end, t.h from (
+    select s.announcement_id, s.k, s.gone, list_filter(l.es, lambda x: not list_contains(s.gone, x.e))[1] as h from st s join sizes z on z.announcement_id = s.announcement_id and s.k < z.m
+    left join listed l on l.announcement_id = s.announcement_id and l.later = s.k + 1) t)
+select f.announcement_id, f.url, st.hit is null as keep, coalesce(st.hit.c, 'analysis_source') as category, e.url as duplicate_of_url, round(st.hit.s, 6) as similarity
+from f join st on st.announcement_id = f.announcement_id and st.k = f.rank left join f e on e.announcement_id = f.announcement_id and e.rank = st.hit.e"""
+
+
+@query(GREEDY)
 def dedup_greedy(spark, d):
-    return dedup.deduplicate(V.attachments(spark, d))
+    return dedup.deduplicate(V.attachments(spark, d)).withColumn("similarity", F.round("similarity", 6))
 
 
 PLAIN_TITLE = rules.PLAIN_SQL.format("title")
@@ -272,11 +288,11 @@ m as (select *, case when len(list_filter(tags, lambda x: x in ({_H}))) > 0 then
 @query(f"""with {TAGGED} select announcement_id, p as primary_category, array_to_string(list_concat([p], list_filter(tags, lambda x: x <> p)), ',') as tags, materiality,
  case when materiality = 'ROUTINE' then greatest(0.65, case when anchored then 0.75 when p = 'OTHER' then 0.45 else 0.6 end) else case when anchored then 0.75 when p = 'OTHER' then 0.45 else 0.6 end end::double as confidence from m""")
 def tag_materiality(spark, d):
-    rows = V.announcements(spark, d).select("announcement_id", "title", rules.taxonomy_tags(F.col("title")).alias("found"))
-    head = rules.headline(F.col("title"))
-    rows = rows.withColumn("tags", rules.primary_first(F.col("title"), F.col("found"))).withColumn("m", rules.tag_materiality(F.col("found"), F.lit(None).cast("string")))
+    # On a headline alone the category that it names first is the first of its tags: the rules run once.
+    rows = V.announcements(spark, d).select("announcement_id", rules.taxonomy_tags(F.col("title")).alias("tags"))
+    rows = rows.withColumn("m", rules.tag_materiality(F.col("tags"), F.lit(None).cast("string")))
     p = F.col("tags")[0]
-    return rows.select("announcement_id", p.alias("primary_category"), F.array_join("tags", ",").alias("tags"), F.col("m").alias("materiality"), rules.confidence(p, head.isNotNull(), F.col("m")).alias("confidence"))
+    return rows.select("announcement_id", p.alias("primary_category"), F.array_join("tags", ",").alias("tags"), F.col("m").alias("materiality"), rules.confidence(p, p != "OTHER", F.col("m")).alias("confidence"))
 
 
 @query(f"with {V.AUDIT} select stage, count(*) as n, round(sum(elapsed), 3) as total, round(avg(elapsed), 3) as average, round(max(elapsed), 3) as longest from audit group by stage")
@@ -294,7 +310,13 @@ def ewma_latency(spark, d):
     return telemetry.ewma(V.audits(spark, d), "scope", ["started_at", "audit_id"], "elapsed").select("scope", F.round("ewma", 6).alias("ewma"))
 
 
-@query()
+@query("""
+with recursive e as (select user_id as scope, row_number() over (partition by user_id order by ts, event_id) as k, case when event_id % 37 = 0 then 'throttle' when event_id % 11 = 0 then 'transient' else 'success' end as o from events),
+s as (select distinct scope, 0::bigint as k, 4 as now, 0 as streak, 0 as throttles, 0 as ramps from e
+  union all select s.scope, s.k + 1, case when e.o = 'throttle' then greatest(1, s.now // 2) when e.o = 'transient' then greatest(1, s.now - 1) when s.now < 4 and s.streak + 1 >= 2 * s.now then s.now + 1 else s.now end,
+    case when e.o <> 'success' or (s.now < 4 and s.streak + 1 >= 2 * s.now) then 0 else s.streak + 1 end, s.throttles + case when e.o = 'throttle' then 1 else 0 end, s.ramps + case when e.o = 'success' and s.now < 4 and s.streak + 1 >= 2 * s.now then 1 else 0 end
+  from s join e on e.scope = s.scope and e.k = s.k + 1)
+select scope, arg_max(now, k)::integer as "limit", arg_max(throttles, k)::integer as throttles, arg_max(ramps, k)::integer as ramps from s group by scope""")
 def adaptive_limit(spark, d):
     outcome = F.when(F.col("audit_id") % 37 == 0, "throttle").when(F.col("audit_id") % 11 == 0, "transient").otherwise("success")
     return telemetry.adaptive_limit(V.audits(spark, d).withColumn("outcome", outcome), "scope", ["started_at", "audit_id"], "outcome", step=2)
@@ -373,7 +395,7 @@ def json_props(spark, d):
     return V.load(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
-@query(f"""with {V.ANN} select announcement_id, sha256('{{"announcement_id": "' || announcement_id || '", "category": "' || kind || '", "materiality": "' || status || '", "title": "' || title || '"}}') as digest from ann""")
+@query(f"""with {V.ANN} select announcement_id, sha256('{{"announcementId": "' || announcement_id || '", "materiality": "' || status || '", "primaryCategory": "' || kind || '", "title": "' || title || '"}}') as digest from ann""")
 def rules_hash(spark, d):
     c = F.col
     return V.announcements(spark, d).select("announcement_id", T.rules_hash(c("announcement_id"), c("title"), c("kind"), c("status")).alias("digest"))
@@ -381,5 +403,4 @@ def rules_hash(spark, d):
 
 @query(f"""with {V.SUMS} select announcement_id, sha256('[' || string_agg('{{"n":' || n || ',"version":"' || version || '"}}', ',' order by n, version) || ']') as fingerprint from sums group by announcement_id""")
 def group_fingerprint(spark, d):
-    rows = V.summaries(spark, d).groupBy("announcement_id").agg(F.array_sort(F.collect_list(F.struct("n", "version"))).alias("rows"))
-    return rows.select("announcement_id", F.sha2(F.to_json("rows", {"ignoreNullFields": "false"}).cast("binary"), 256).alias("fingerprint"))
+    return reduce.fingerprint(V.summaries(spark, d), ["announcement_id"], ["n", "version"], ["n", "version"])

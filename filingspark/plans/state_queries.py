@@ -11,12 +11,13 @@ from ..streaming import state as streams
 from .registry import query
 
 #: File names dealt to documents by number, so that selection meets every rule.
-NAMES = ("LK PJAA 30 Juni 2026.pdf", "FinancialStatement-2026.xlsx", "FinancialStatement-2026.pdf", "Checklist LK.pdf", "instance.zip", "Surat_Pernyataan-Direksi.pdf", "Laporan Keuangan TW II.pdf", "lampiran.rar", "main.pdf", "notes.docx", ".hidden", "LKTT Q2 2026_Srsn.pdf")
+NAMES = ("LK ABCD 31 Maret 2027.pdf", "FinancialStatement-2027.xlsx", "FinancialStatement-2027.pdf", "Checklist LK.pdf", "instance.zip", "Surat_Pernyataan-Direksi.pdf", "Laporan Keuangan TW II.pdf", "lampiran.rar", "main.pdf", "notes.docx", ".hidden", "LKTT Q1 2027_final.pdf")
 _NAMES = ", ".join(f"'{n}'" for n in NAMES)
 FIN = rules.contains_sql("ft", filings.FINANCIAL_TITLES)
 ADM, PRI, GEN = (rules.contains_sql("fn", p) for p in (filings.ADMINISTRATIVE, filings.PRIMARY, filings.GENERIC))
 _SUP, _SHEETS = (", ".join(f"'{s}'" for s in v) for v in (filings.SUPPORTED, filings.SPREADSHEETS))
 
+_R = filings.REASONS
 SELECT_SQL = rf"""
 with r as (select doc_id, doc_id // 5 as announcement_id, doc_id as ordinal, doc_id % 3 <> 0 as is_attachment, [{_NAMES}][(doc_id * 7 + doc_id // 11) % {len(NAMES)} + 1] as filename,
   case when (doc_id // 5) % 4 = 0 then 'Keterbukaan Informasi' when (doc_id // 5) % 2 = 0 then 'Laporan_Keuangan  Interim' else 'Financial-Statements 2026' end as title from documents),
@@ -28,7 +29,9 @@ g as (select *, {FIN} as financial, case when suffix = '.zip' then 'zip' when su
 c as (select *, count(*) filter (where role = 'primary') over (partition by announcement_id) as np, count(*) filter (where role = 'generic') over (partition by announcement_id) as ng,
   count(*) filter (where main) over (partition by announcement_id) as nm, row_number() over (partition by announcement_id, role order by is_attachment, ordinal) as pick from g),
 d as (select *, financial and np = 0 and ng = 0 and nm = 1 and main as lone, role = 'generic' and np = 0 and pick = 1 as fallback from c)
-select doc_id, lone or role in ('general', 'spreadsheet', 'primary') or fallback as selected,
+select doc_id, case when lone then '{_R["lone"]}' when role = 'zip' then '{_R["zip"]}' when role = 'unsupported' then 'unsupported file type ' || suffix when role = 'general' then '{_R["general"]}' when role = 'spreadsheet' then '{_R["spreadsheet"]}'
+   when role = 'administrative' then '{_R["administrative"]}' when role = 'primary' then '{_R["primary"]}' when fallback then '{_R["fallback"]}' when role = 'generic' and np > 0 then '{_R["duplicate"]}' when role = 'generic' then '{_R["held"]}' else '{_R["other"]}' end as reason,
+  lone or role in ('general', 'spreadsheet', 'primary') or fallback as selected,
   case when lone then 'financial_statement' when role = 'zip' then 'machine_package' when role = 'unsupported' then 'unsupported' when role = 'general' then 'general_source' when role in ('spreadsheet', 'primary') then 'financial_statement'
    when role = 'administrative' then 'administrative' when fallback then 'financial_statement' when role = 'generic' then 'financial_statement_duplicate' else 'supporting' end as category from d"""
 
@@ -39,7 +42,7 @@ def attachment_select(spark, d):
     title = F.when(group % 4 == 0, "Keterbukaan Informasi").when(group % 2 == 0, "Laporan_Keuangan  Interim").otherwise("Financial-Statements 2026")
     name = F.element_at(F.array(*map(F.lit, NAMES)), ((F.col("doc_id") * 7 + F.floor(F.col("doc_id") / 11)) % len(NAMES) + 1).cast("int"))
     rows = V.load(spark, d, "documents").select("doc_id", group.alias("announcement_id"), F.col("doc_id").alias("ordinal"), (F.col("doc_id") % 3 != 0).alias("is_attachment"), name.alias("filename"), title.alias("title"))
-    return filings.select_attachments(rows).select("doc_id", "selected", "category")
+    return filings.select_attachments(rows).select("doc_id", "selected", "reason", "category")
 
 
 @query("""
@@ -58,69 +61,163 @@ def exclusion_ladder(spark, d):
     return out.select("reason", "n", F.array_join("ids", ",").alias("ids"))
 
 
-@query(r"""
-with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from documents),
-t as (select doc_id, n, trim(regexp_replace(line, '\s+', ' ', 'g')) as line from l)
-select doc_id, count(*) as n_lines, count(*) filter (where contains(line, '@')) as n_marked from t group by doc_id""")
+#: Sentences dealt to documents by number, so that triage and its scans meet every branch; the last is neutral.
+SENTENCES = (
+    "Terjadi perubahan pemegang saham pengendali pada tanggal ini.",
+    "Seorang direktur perseroan tercatat membeli saham perseroan.",
+    "Pengalihan saham dilakukan di luar bursa.",
+    "Terdapat penambahan jumlah kepemilikan publik.",
+    "Terdapat pengurangan kepemilikan masyarakat.",
+    "Porsi free float perseroan saat ini kurang dari ketentuan.",
+    "Jumlah saham treasuri perseroan dialihkan seluruhnya.",
+    "Porsi pemegang saham lama 12,50 % dan baru 12.75%.",
+    "Porsi pemegang saham lama 12,50 % dan baru 12.55%.",
+    "Laporan disampaikan sesuai jadwal yang berlaku.",
+)
+_S = ", ".join(f"'{x}'" for x in SENTENCES)
+#: Documents as filings of five: most are routine, some of them have no text, little text or very much.
+EVIDENCE_SQL = rf"""ev as (select doc_id, doc_id // 5 as announcement_id, case when (doc_id // 5) % 8 = 7 then 'Lain-lain' else 'Laporan  Bulanan Registrasi Pemegang Efek' end as title,
+  case when (doc_id // 5) % 16 = 3 then null when (doc_id // 5) % 16 = 5 and doc_id % 5 = 0 then 'pendek' when (doc_id // 5) % 16 = 9 and doc_id % 5 = 0 then repeat(coalesce(text, '') || ' kata ', 200)
+    else [{_S}][(doc_id // 5) % 11 % {len(SENTENCES)} + 1] || repeat(' Baris isi biasa tanpa hal lain.', 6) || chr(10) || 'Baris akhir ' || doc_id end as text from documents)"""
+_LINES = r"list_transform(string_split(text, chr(10)), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g')))"
+_VALUES = r"list_transform(regexp_extract_all(l, '(^|[^0-9])([0-9]{{1,3}}([.,][0-9]{{1,4}})?)\s*%', 2), lambda v: replace(v, ',', '.')::double)".replace("{{", "{").replace("}}", "}")
+_ABOUT = rf"list_filter({_LINES}, lambda l: length(l) <= 1200 and regexp_matches(l, '(?i){filings.OWNERSHIP}') and len({_VALUES}) >= 2 and list_max({_VALUES}) - list_min({_VALUES}) >= 0.10)"
+_FOUND = ", ".join(f"case when regexp_matches(coalesce(text, ''), '(?is){p}') then '{n}' end" for n, p in filings.SIGNALS)
+SIGNALS_SQL = f"list_sort(list_filter([{_FOUND}, case when len({_ABOUT}) > 0 then 'ownership-percentage-delta' end], lambda x: x is not null))"
+
+
+def _evidence(spark, d):
+    group = F.floor(F.col("doc_id") / 5)
+    dealt = F.element_at(F.array(*map(F.lit, SENTENCES)), (group % 11 % len(SENTENCES) + 1).cast("int"))
+    body = F.concat(dealt, F.lit(" Baris isi biasa tanpa hal lain." * 6 + "\nBaris akhir "), F.col("doc_id").cast("string"))
+    first = F.col("doc_id") % 5 == 0
+    text = F.when(group % 16 == 3, F.lit(None).cast("string")).when((group % 16 == 5) & first, "pendek").when((group % 16 == 9) & first, F.repeat(F.concat(F.coalesce("text", F.lit("")), F.lit(" kata ")), F.lit(200))).otherwise(body)
+    title = F.when(group % 8 == 7, "Lain-lain").otherwise("Laporan  Bulanan Registrasi Pemegang Efek")
+    return V.load(spark, d, "documents").select("doc_id", group.alias("announcement_id"), title.alias("title"), text.alias("text"), F.col("doc_id").alias("ordinal"))
+
+
+@query(rf"""with {EVIDENCE_SQL}, s as (select doc_id, {SIGNALS_SQL} as signals, {_ABOUT}[1] as l from ev)
+select doc_id, array_to_string(signals, ',') as signals, round(list_max({_VALUES}) - list_min({_VALUES}), 6) as delta from s""")
 def line_signals(spark, d):
-    lines = F.split("text", "\n")
-    return V.load(spark, d, "documents").select("doc_id", F.size(lines).cast("bigint").alias("n_lines"), F.size(F.filter(lines, lambda s: F.contains(s, F.lit("@")))).cast("bigint").alias("n_marked"))
+    rows = _evidence(spark, d).withColumn("m", filings.percent_delta(F.col("text")))
+    return rows.select("doc_id", F.array_join(filings.signals(F.col("text")), ",").alias("signals"), F.round(F.col("m.high") - F.col("m.low"), 6).alias("delta"))
 
 
-@query("""
-with r as (select source as announcement_id, case when cast(substr(source, 4) as integer) % 2 = 0 then 'Laporan Bulanan Registrasi Pemegang Efek' else 'Lain' end as title, text from documents),
-g as (select announcement_id, max(title) as title, sum(length(text)) as total, count(*) as documents from r group by announcement_id)
-select announcement_id, 'full' as mode, case when title = 'Lain' then 'not a supported routine disclosure' when total > 70000 then 'routine evidence exceeds direct-analysis size guard' else 'other' end as reason, total::bigint as total, documents from g""")
-def triage_route(spark, d):
-    docs = V.load(spark, d, "documents")
-    title = F.when(F.substring("source", 4, 9).cast("int") % 2 == 0, "Laporan Bulanan Registrasi Pemegang Efek").otherwise("Lain")
-    rows = docs.select(F.col("source").alias("announcement_id"), title.alias("title"), "text", F.col("doc_id").alias("ordinal"))
-    # Sizes decide first: only groups within the guard gather their texts.
-    sizes = rows.groupBy("announcement_id").agg(F.max("title").alias("title"), F.sum(F.length("text")).alias("total"), F.count(F.lit(1)).alias("documents"))
-    large = sizes.where("total > 70000 or title = 'Lain'")
-    reason = F.when(F.col("title") == "Lain", "not a supported routine disclosure").otherwise("routine evidence exceeds direct-analysis size guard")
-    done = large.select("announcement_id", F.lit("full").alias("mode"), reason.alias("reason"), "total", "documents")
-    rest = filings.triage(rows.join(large, "announcement_id", "left_anti"))
-    return done.unionByName(rest.select("announcement_id", "mode", "reason", "total", "documents"))
+_T = filings.TRIAGE
+TRIAGE_SQL = rf"""{EVIDENCE_SQL},
+g as (select announcement_id, max(title) as title, coalesce(sum(length(text)), 0) as total, count(text) as documents, min(length(trim(regexp_replace(text, '^\s+|\s+$', '', 'g')))) as least, string_agg(text, chr(10) order by doc_id) as text from ev group by announcement_id),
+f as (select *, regexp_matches(title, '(?i)\blaporan\s+bulanan\s+registrasi\s+pemegang\s+efek\b') as routine, {SIGNALS_SQL} as found from g),
+triaged as (select announcement_id, total::bigint as total, documents,
+  case when not routine or documents = 0 or total > 70000 or least < 120 or len(found) > 0 then 'full' else 'routine_direct' end as mode,
+  case when not routine then '{_T["other"]}' when documents = 0 then '{_T["none"]}' when total > 70000 then '{_T["large"]}' when least < 120 then '{_T["sparse"]}' when len(found) > 0 then '{_T["signals"]}' else '{_T["direct"]}' end as reason,
+  case when not routine then [] when documents = 0 then ['no-evidence'] when total > 70000 then ['large-evidence'] when least < 120 then ['sparse-evidence'] else found end as signals from f)"""
 
 
-@query(f"""
-with m as (select o_orderkey as id, o_orderstatus as expected_status, 'T' || o_custkey as ticker, o_orderkey % 3 as declared from orders),
-c as (select o_orderkey as id, case when o_orderkey % 10 = 0 then 'X' else o_orderstatus end as status, 't' || (case when o_orderkey % 14 = 0 then 0 else o_custkey end) as ticker, o_orderkey % 3 + case when o_orderkey % 22 = 0 then 1 else 0 end as declared, o_orderkey % 9 <> 0 as scope from orders where o_orderkey % 6 <> 0)
-select m.id as disclosure_id, case when c.id is null then 'disclosure_missing' else array_to_string(list_filter([case when upper(m.ticker) <> upper(c.ticker) then 'ticker_mismatch' end, case when m.expected_status <> c.status then 'status_mismatch' end,
-  case when not c.scope then 'out_of_scope' end, case when m.declared <> c.declared then 'attachment_count_mismatch' end], lambda x: x is not null), ',') end as reasons from m left join c using (id)""")
-def manifest_mismatch(spark, d):
-    k, o = F.col("o_orderkey"), V.load(spark, d, "orders")
-    same = [F.lit(None).cast("string").alias("expected_external_id"), F.lit(None).cast("timestamp").alias("expected_updated_at"), F.array().cast("array<string>").alias("expected_attachment_hashes")]
-    manifest = o.select(k.alias("disclosure_id"), F.col("o_orderstatus").alias("expected_status"), F.concat(F.lit("T"), "o_custkey").alias("ticker"), (k % 3).alias("declared_attachment_count"), *same)
-    current = o.where(k % 6 != 0).select(
-        k.alias("disclosure_id"), F.when(k % 10 == 0, "X").otherwise(F.col("o_orderstatus")).alias("processing_status"), F.concat(F.lit("t"), F.when(k % 14 == 0, 0).otherwise(F.col("o_custkey"))).alias("ticker"),
-        (k % 3 + (k % 22 == 0).cast("int")).alias("declared_attachment_count"), (k % 9 != 0).alias("is_stock_scope"), F.lit(None).cast("string").alias("external_id"), F.lit(None).cast("timestamp").alias("updated_at"), F.array().cast("array<string>").alias("attachment_hashes"),
+@query(f"with {TRIAGE_SQL} select announcement_id, mode, reason, array_to_string(signals, ',') as signals, total, documents from triaged")
+def triage_route(spark, d):
+    return filings.triage(_evidence(spark, d)).withColumn("signals", F.array_join("signals", ","))
+
+
+@query(f"""with {TRIAGE_SQL}, o as (select *, announcement_id % 3 = 0 and mode = 'routine_direct' as over_ from triaged)
+select announcement_id, case when over_ then 'full' else mode end as mode, case when over_ then '{_T["failed"]}' else reason end as reason, array_to_string(case when over_ then list_append(signals, 'extraction-failure') else signals end, ',') as signals from o""")
+def triage_after_failures(spark, d):
+    rows = filings.after_failures(filings.triage(_evidence(spark, d)), F.when(F.col("announcement_id") % 3 == 0, 2).otherwise(0))
+    return rows.select("announcement_id", "mode", "reason", F.array_join("signals", ",").alias("signals"))
+
+
+#: Recovery records, rows of the store and their files, dealt from orders by number so that each difference and step occurs.
+RECOVERY_SQL = f"""
+m as (select o_orderkey as k, 'd' || o_orderkey as disclosure_id, ['DISCOVERED', 'EXTRACTING', 'PARTIAL'][o_orderkey % 3 + 1] as expected_status, o_orderdate as expected_updated_at, 'x' || o_orderkey as expected_external_id, 'T' || o_custkey as ticker,
+  ['A', 'B', 'C', 'D', 'E', 'F'][o_orderkey % 6 + 1] as bucket, o_orderkey % 4 = 1 as recovery_allowed, (o_orderkey // 7) % 4 as declared, [sha256('f' || o_orderkey || '-0'), sha256('f' || o_orderkey || '-1')][1:(o_orderkey // 7) % 3] as hashes from orders),
+c as (select k as row_key, 'd' || k as row_id, case when k % 40 = 1 then 'other' else 'd' || k end as disclosure_id, case when k % 41 = 0 then 'y' else expected_external_id end as external_id, case when k % 43 = 0 then 'Z' else lower(ticker) end as ticker, case when k % 47 = 0 then 'elsewhere' else 'idx-website' end as source_id,
+  case when k % 37 = 0 then 'READY' else expected_status end as processing_status, case when k % 53 = 0 then expected_updated_at + interval 1 second else expected_updated_at end as updated_at, k % 59 <> 0 as is_stock_scope, declared + case when k % 61 = 0 then 1 else 0 end as declared, case when k % 67 = 0 then list_reverse(hashes) else list_transform(hashes, lambda h: upper(h)) end as hashes, k % 13 = 0 as analysis_present
+  from m where k % 31 <> 0),
+j as (select m.*, c.row_id is null as gone, case when c.row_id is null then ['{recovery.MISSING}'] else list_filter([
+  case when c.disclosure_id <> m.disclosure_id then '{recovery.MISMATCHES[0]}' end, case when c.external_id <> m.expected_external_id then '{recovery.MISMATCHES[1]}' end, case when upper(c.ticker) <> upper(m.ticker) then '{recovery.MISMATCHES[2]}' end,
+  case when c.source_id <> 'idx-website' then '{recovery.MISMATCHES[3]}' end, case when c.processing_status <> m.expected_status then '{recovery.MISMATCHES[4]}' end, case when c.updated_at <> m.expected_updated_at then '{recovery.MISMATCHES[5]}' end,
+  case when not c.is_stock_scope then '{recovery.MISMATCHES[6]}' end, case when c.declared <> m.declared then '{recovery.MISMATCHES[7]}' end, case when list_transform(c.hashes, lambda h: lower(h)) <> m.hashes then '{recovery.MISMATCHES[8]}' end], lambda x: x is not null) end as reasons, coalesce(c.analysis_present, false) as analysed
+  from m left join c on c.row_key = m.k)"""
+#: Files of a record: none, one or two, with states by number.
+FILES_SQL = """
+n as (select o_orderkey as k, unnest(range(o_orderkey // 11 % 3)) as i from orders),
+f as (select k, i, case when k % 71 = 0 and i = 1 then 'u' || k || '-0' else 'u' || k || '-' || i end as source_url, k % 73 = 0 as foreign_, sha256('f' || k || '-' || i) as sha256, case when (k + i) % 5 = 4 then 'PENDING' else 'DOWNLOADED' end as download_status,
+  case when (k + i) % 5 in (3, 4) then 'PENDING' else 'EXTRACTED' end as extraction_status, case when (k + i) % 7 <> 6 then 'ref' end as extracted_text_ref, case when k % 3 = 0 then null when k % 3 = 1 then true else k % 2 = 0 end as local_exists, case when k % 79 = 0 then sha256('bad') else sha256('f' || k || '-' || i) end as local_sha256 from n)"""
+
+
+def _recovery(spark, d):
+    o, k = V.load(spark, d, "orders"), F.col("o_orderkey")
+    pick = lambda names, n: F.element_at(F.array(*map(F.lit, names)), (n + 1).cast("int"))
+    digest = lambda i: F.sha2(F.concat(F.lit("f"), k.cast("string"), F.lit(f"-{i}")).cast("binary"), 256)
+    seventh = F.floor(k / 7)
+    hashes = F.slice(F.array(digest(0), digest(1)), F.lit(1), (seventh % 3).cast("int"))
+    declared = (seventh % 4).cast("int")
+    own = F.concat(F.lit("d"), k.cast("string"))
+    manifest = o.select(
+        own.alias("disclosure_id"), pick(("DISCOVERED", "EXTRACTING", "PARTIAL"), k % 3).alias("expected_status"), F.col("o_orderdate").alias("expected_updated_at"), F.concat(F.lit("x"), k.cast("string")).alias("expected_external_id"),
+        F.concat(F.lit("T"), "o_custkey").alias("ticker"), pick("ABCDEF", k % 6).alias("bucket"), (k % 4 == 1).alias("recovery_allowed"), declared.alias("declared_attachment_count"), hashes.alias("expected_attachment_hashes"),
+    )
+    current = o.where(k % 31 != 0).select(
+        own.alias("row_id"), F.when(k % 40 == 1, "other").otherwise(own).alias("disclosure_id"), F.when(k % 41 == 0, "y").otherwise(F.concat(F.lit("x"), k.cast("string"))).alias("external_id"),
+        F.when(k % 43 == 0, "Z").otherwise(F.concat(F.lit("t"), "o_custkey")).alias("ticker"), F.when(k % 47 == 0, "elsewhere").otherwise(recovery.SOURCE).alias("source_id"),
+        F.when(k % 37 == 0, "READY").otherwise(pick(("DISCOVERED", "EXTRACTING", "PARTIAL"), k % 3)).alias("processing_status"), F.when(k % 53 == 0, F.expr("o_orderdate + interval 1 second")).otherwise(F.col("o_orderdate")).alias("updated_at"),
+        (k % 59 != 0).alias("is_stock_scope"), (declared + (k % 61 == 0).cast("int")).alias("declared_attachment_count"),
+        F.when(k % 67 == 0, F.reverse(hashes)).otherwise(F.transform(hashes, F.upper)).alias("attachment_hashes"), (k % 13 == 0).alias("analysis_present"),
     )
-    return recovery.mismatches(manifest, current).select("disclosure_id", F.array_join("reasons", ",").alias("reasons"))
+    i = F.col("i")
+    name = F.concat(F.lit("f"), k.cast("string"), F.lit("-"), i.cast("string"))
+    files = o.where(F.floor(k / 11) % 3 > 0).select("o_orderkey", F.explode(F.expr("sequence(0, cast(floor(o_orderkey / 11) % 3 - 1 as int))")).alias("i"))
+    files = files.select(
+        own.alias("row_id"), F.when(k % 73 == 0, "other").otherwise(own).alias("disclosure_id"), F.concat(F.lit("u"), k.cast("string"), F.lit("-"), F.when((k % 71 == 0) & (i == 1), 0).otherwise(i).cast("string")).alias("source_url"),
+        F.sha2(name.cast("binary"), 256).alias("sha256"), F.when((k + i) % 5 == 4, "PENDING").otherwise("DOWNLOADED").alias("download_status"), F.when((k + i) % 5 >= 3, "PENDING").otherwise("EXTRACTED").alias("extraction_status"),
+        F.when((k + i) % 7 != 6, "ref").alias("extracted_text_ref"), F.when(k % 3 == 1, True).when(k % 3 == 2, k % 2 == 0).alias("local_exists"), F.when(k % 79 == 0, F.sha2(F.lit("bad").cast("binary"), 256)).otherwise(F.sha2(name.cast("binary"), 256)).alias("local_sha256"),
+    )
+    return manifest, current, files
 
 
-@query(f"""
-with {V.SUMS}, f as (select announcement_id as id, count(*) as n_files, count(*) filter (where version <> 'R') as down, count(*) filter (where version = 'N') as out_ from sums group by announcement_id)
-select o_orderkey as disclosure_id, case when o_orderkey % 31 = 0 then 'PRECONDITION_FAILED' when o_orderkey % 23 = 0 then 'HELD' when o_orderkey % 11 = 0 then 'NOOP' when o_orderkey % 4 = 0 then 'METADATA_PROCESS_RESUME'
- when coalesce(n_files, 0) = 0 or coalesce(down, 0) < o_orderkey % 4 then 'ATTACHMENT_DOWNLOAD' when out_ < down then 'EXTRACTION_RESUME' when out_ = o_orderkey % 4 then 'AI_ONLY_RETRY' else 'MANUAL_REVIEW' end as action
-from orders left join f on o_orderkey = f.id""")
+@query(f"with {RECOVERY_SQL} select disclosure_id, array_to_string(reasons, '; ') as reasons from j")
+def manifest_mismatch(spark, d):
+    manifest, current, _ = _recovery(spark, d)
+    return recovery.mismatches(manifest, current).select("disclosure_id", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query(f"""with {RECOVERY_SQL}, {FILES_SQL},
+s as (select f.*, len(j.hashes) >= j.declared as whole_, list_contains(j.hashes, f.local_sha256) as known_local, list_contains(j.hashes, f.sha256) as known, download_status = 'DOWNLOADED' and extraction_status = 'EXTRACTED' as done from f join j using (k)),
+w as (select *, case when done and coalesce(local_exists, false) and local_sha256 <> sha256 then source_url || ': local cache hash mismatch' when done and coalesce(local_exists, false) and whole_ and not known_local then source_url || ': cache hash is not in manifest' end as wrong from s),
+v as (select *, done and case when local_exists is null then extracted_text_ref is not null and (not whole_ or known) else local_exists and wrong is null end as valid from w),
+t as (select k, count(*) as nf, count(*) filter (where foreign_) as nforeign, count(distinct source_url) as nu, count(*) filter (where valid) as nv, count(*) filter (where not valid and download_status = 'DOWNLOADED' and coalesce(local_exists, false)) as ns, list_sort(list(distinct wrong) filter (where wrong is not null)) as wrongs from v group by k),
+a as (select j.*, coalesce(nf, 0) as nf, coalesce(nv, 0) as nv, coalesce(ns, 0) as ns, coalesce(wrongs, []) as wrongs, list_filter([case when nforeign > 0 then '{recovery.FILES[0]}' end, case when nf > j.declared then '{recovery.FILES[1]}' end, case when nu <> nf then '{recovery.FILES[2]}' end], lambda x: x is not null) as bad from j left join t using (k)),
+b as (select *, greatest(declared - nv - ns, 0) + nf - nv - ns as needed, bucket in ('E', 'F') and not recovery_allowed as held from a),
+x as (select *, case when len(reasons) > 0 then 'PRECONDITION_FAILED' when held then 'HELD' when len(bad) > 0 then 'PRECONDITION_FAILED' when analysed then 'ALREADY_READY' when len(wrongs) > 0 then 'PRECONDITION_FAILED' else 'READY' end as outcome from b),
+y as (select *, case outcome when 'PRECONDITION_FAILED' then 'MANUAL_REVIEW' when 'HELD' then 'HELD' when 'ALREADY_READY' then 'NOOP' else case when nv > 0 and needed = 0 then 'AI_ONLY_RETRY' when needed > 0 then 'ATTACHMENT_DOWNLOAD' when ns > 0 then 'EXTRACTION_RESUME' when expected_status = 'EXTRACTING' then 'METADATA_PROCESS_RESUME' when nf > 0 then 'EXTRACTION_RESUME' else 'ATTACHMENT_DOWNLOAD' end end as action from x),
+z as (select *, case when outcome = 'READY' and action in ('ATTACHMENT_DOWNLOAD', 'METADATA_PROCESS_RESUME') then needed else 0 end as fetched from y)
+select disclosure_id, outcome, action, array_to_string(case when len(reasons) > 0 then reasons when held then ['bucket ' || bucket || ' requires explicit recovery_allowed=true'] when len(bad) > 0 then bad when analysed then ['{recovery.ANALYSED}'] else wrongs end, '; ') as reasons,
+  fetched::bigint as attachments_needed, case when outcome = 'READY' then nf + fetched else 0 end::bigint as attachments_considered, case when outcome = 'READY' then nv else 0 end::bigint as files_reused,
+  case when action = 'AI_ONLY_RETRY' then nv when outcome = 'READY' then nf + fetched else 0 end::bigint as ai_documents, case when outcome = 'READY' then 1 else 0 end::integer as analyses from z""")
 def recovery_action(spark, d):
-    v = F.col("version")
-    files = V.summaries(spark, d).select("announcement_id", F.when(v != "R", "DOWNLOADED").alias("download_status"), F.lit("x").alias("sha256"), F.when(v == "N", "EXTRACTED").alias("extraction_status"), F.lit("x").alias("extracted_text_hash"))
-    facts = recovery.file_facts(files, "announcement_id")
-    k = F.col("o_orderkey")
-    rows = V.load(spark, d, "orders").join(facts, k == facts.announcement_id, "left").fillna(0, ["n_files", "n_downloaded", "n_extracted"])
-    return rows.select(k.alias("disclosure_id"), recovery.action(k % 23 == 0, k % 31 == 0, k % 11 == 0, F.col("n_files"), k % 4, F.col("n_downloaded"), F.col("n_extracted")).alias("action"))
+    out = recovery.preflight(*_recovery(spark, d))
+    n = lambda c: F.col(c).cast("bigint").alias(c)
+    return out.select("disclosure_id", "outcome", "action", F.array_join("reasons", "; ").alias("reasons"), n("attachments_needed"), n("attachments_considered"), n("files_reused"), n("ai_documents"), "analyses")
 
 
 @query("""
-with g as (select user_id as run, count(*) as total, count(*) filter (where event_type <> 'error' and event_id % 3 <> 0) as ready, count(*) filter (where event_id % 3 = 0) as failed from events group by user_id)
-select run, case when run % 13 = 0 then 'PARTIAL' when total > 0 and failed = total then 'FAILED' when ready < total then 'PARTIAL' else 'SUCCESS' end as status from g""")
+with g as (select user_id as run, count(*) filter (where event_id % 211 = 0) as errors, count(*) filter (where event_id % 97 = 0) as partial, user_id % 3 <> 0 as proved, user_id % 4 <> 0 as allowed, user_id % 5 = 0 as deadline, user_id % 2 = 0 as limited from events group by user_id)
+select run, case when errors = 0 and partial = 0 and proved and allowed then 'COMPLETE' else 'PARTIAL' end as status,
+  case when errors > 0 or partial > 0 then case when deadline then 'AI_RUN_DEADLINE' when limited then 'AI_RATE_LIMITED' else 'SOURCE_PROCESSING_PARTIAL' end when not proved then 'SOURCE_COVERAGE_UNPROVEN' when not allowed then 'SOURCE_COVERAGE_NOT_AUTHORIZED' end as error_code,
+  case when errors = 0 then 'COMPLETE' when partial > 0 or allowed then 'PARTIAL' else 'FAILED' end as terminal from g""")
 def run_status(spark, d):
-    bad = F.col("event_id") % 3 == 0
-    rows = V.load(spark, d, "events").groupBy(F.col("user_id").alias("run")).agg(F.count(F.lit(1)).alias("total"), F.count_if((F.col("event_type") != "error") & ~bad).alias("ready"), F.count_if(bad).alias("failed"))
-    return rows.select("run", recovery.outcome(F.col("total"), F.col("ready"), F.col("failed"), F.col("run") % 13 != 0).alias("status"))
+    rows = V.load(spark, d, "events").groupBy(F.col("user_id").alias("run")).agg(F.count_if(F.col("event_id") % 211 == 0).alias("errors"), F.count_if(F.col("event_id") % 97 == 0).alias("partial"))
+    u = F.col("run")
+    status, code = recovery.outcome(F.col("errors"), F.col("partial"), u % 3 != 0, u % 4 != 0, u % 5 == 0, u % 2 == 0)
+    return rows.select("run", status.alias("status"), code.alias("error_code"), recovery.terminal_status(F.col("errors") == 0, F.col("partial"), (u % 4 != 0).cast("int"), F.lit(0)).alias("terminal"))
+
+
+@query("""
+with r as (select event_id, case when event_id % 6 = 0 then ' boom ' when event_id % 6 = 1 then ' ' end as error, case when event_id % 5 = 0 then 'short' when event_id % 5 = 1 then null else repeat('a', 64) end as sha, case when event_id % 4 <> 0 then event_id end as size, case when event_id % 3 <> 0 then 'h' end as text_hash from events)
+select event_id, case when sha = repeat('a', 64) and size is not null then 'DOWNLOADED' else 'PENDING' end as download, case when text_hash is not null and coalesce(trim(error), '') = '' then 'EXTRACTED' when coalesce(trim(error), '') <> '' then 'FAILED' else 'PENDING' end as extraction from r""")
+def file_statuses(spark, d):
+    k = F.col("event_id")
+    down, out = recovery.file_status(F.when(k % 6 == 0, " boom ").when(k % 6 == 1, " "), F.when(k % 5 == 0, "short").when(k % 5 > 1, "a" * 64), F.when(k % 4 != 0, k), F.when(k % 3 != 0, "h"))
+    return V.load(spark, d, "events").select("event_id", down.alias("download"), out.alias("extraction"))
 
 
 @query("""
@@ -185,7 +282,18 @@ def chunk_documents(spark, d):
     return rows.select("doc_id", "chunk_index", F.length("chunk").alias("n_chars"), F.md5(F.col("chunk").cast("binary")).alias("digest"))
 
 
-@query()
+CHUNKS_SQL = """c as (
+  select doc_id, 0 as n, 0 as pos, case when length(text) > 2000 then case when 2000 - strpos(reverse(left(text, 2000)), chr(10)) > 1000 and strpos(reverse(left(text, 2000)), chr(10)) > 0 then 2000 - strpos(reverse(left(text, 2000)), chr(10)) else 2000 end else length(text) end as stop, text from (select doc_id, coalesce(text, '') as text from documents)
+  union all
+  select doc_id, n + 1, stop, case when length(text) - stop > 2000 then case when strpos(reverse(substr(text, stop + 1, 2000)), chr(10)) > 0 and 2000 - strpos(reverse(substr(text, stop + 1, 2000)), chr(10)) > 1000 then stop + 2000 - strpos(reverse(substr(text, stop + 1, 2000)), chr(10)) else stop + 2000 end else length(text) end, text from c where stop < length(text))"""
+_STUB = r"left(string_split(trim(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '. ')[1], 80)"
+
+
+@query(f"""
+with recursive {CHUNKS_SQL}, p as (select doc_id, n, substr(text, pos + 1, stop - pos) as t from c),
+d as (select doc_id, coalesce(string_agg(case when regexp_matches(t, '\\S') then {_STUB.format('t')} end, ' ' order by n), '') as t from p group by doc_id),
+a as (select doc_id, case when regexp_matches(t, '\\S') then {_STUB.format('t')} else '' end as t from d)
+select lang || (doc_id % 500) as ticker, count(*)::integer as n, coalesce(string_agg(case when regexp_matches(t, '\\S') then {_STUB.format('t')} end, ' ' order by doc_id), '') as summary from a join documents using (doc_id) group by 1""")
 def three_level_reduce(spark, d):
     parts = reduce.chunks(V.load(spark, d, "documents").select(F.concat(F.lit("doc:"), "doc_id").alias("url"), "text"), "url", "text", 2000)
     docs = V.attachments(spark, d).select("url", F.col("doc_id").alias("announcement_id"))
@@ -194,13 +302,15 @@ def three_level_reduce(spark, d):
 
 
 @query("""
-with g as (select conv_id, count(*) as n, max(text) as t from conversations group by conv_id), f as (select conv_id, n, left(sha256(t), 16) as fingerprint from g)
-select conv_id, n, case when n = 0 then 'skipped' when conv_id % 3 = 0 then 'hit' when n = 1 then 'promoted' else 'rebuild' end as decision from f""")
+with g as (select o_custkey as k, count(*) filter (where o_orderkey % 3 = 0) as n, sha256('[' || string_agg('{"o_orderkey":' || o_orderkey || '}', ',' order by o_orderkey) || ']') as fingerprint from orders group by o_custkey)
+select k, n, case when n = 0 then 'skipped' when k % 4 = 0 then 'hit' when n = 1 then 'promoted' else 'rebuild' end as decision from g""")
 def cache_decisions(spark, d):
-    rows = V.load(spark, d, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.max("text").alias("t"))
-    rows = rows.select("conv_id", "n", T.short_hash(F.col("t")).alias("fingerprint"))
-    stored = rows.select("conv_id", F.when(F.col("conv_id") % 3 == 0, F.col("fingerprint")).otherwise("stale").alias("fingerprint"))
-    return reduce.cache_decision(rows, stored, ["conv_id"], "n").select("conv_id", "n", "decision")
+    orders = V.load(spark, d, "orders").withColumnRenamed("o_custkey", "k")
+    prints = reduce.fingerprint(orders, ["k"], ["o_orderkey"], ["o_orderkey"])
+    rows = orders.groupBy("k").agg(F.count_if(F.col("o_orderkey") % 3 == 0).alias("n")).join(prints, "k")
+    # What is stored: the right fingerprint for some, an older one for others, none for the rest.
+    stored = prints.where("k % 4 < 2").select("k", F.when(F.col("k") % 4 == 0, F.col("fingerprint")).otherwise("stale").alias("fingerprint"))
+    return reduce.cache_decision(rows, stored, ["k"], "n").select("k", "n", "decision")
 
 
 _STOP = ", ".join(f"'{w}'" for w in audit.STOP)
@@ -214,23 +324,40 @@ p as (select c.conv_id, c.claim_id, s.turn as source_id, len(list_intersect(c.t,
 r as (select *, row_number() over (partition by conv_id, claim_id order by score desc, source_id desc) as rank, max(score) over (partition by conv_id, claim_id) as best from p),
 b as (select conv_id, claim_id, string_agg(source_id::varchar, ',' order by rank) as ids, max(score) as score from r where rank <= 2 and best >= 0.2 and (rank = 1 or score >= greatest(0.2, best - 0.08)) group by all),
 n as (select conv_id, count(*) as n, min(turn) as only_ from conversations group by conv_id)
-select c.conv_id, c.claim_id, case when n.n = 1 then 'deterministic_single_announcement' when b.ids is not null then 'inferred_from_saved_summaries' else 'unresolved' end as attribution,
-  case when n.n = 1 then only_::varchar else b.ids end as source_ids, round(case when n.n = 1 then 1.0 else b.score end, 6) as score from c join n using (conv_id) left join b using (conv_id, claim_id)""")
+select c.conv_id, c.claim_id, case when c.conv_id % 5 = 0 then 'exact_model_reference' when c.conv_id % 5 = 1 and c.claim_id % 4 = 2 then 'unresolved' when n.n = 1 then 'deterministic_single_announcement' when b.ids is not null then 'inferred_from_saved_summaries' else 'unresolved' end as attribution,
+  case when c.conv_id % 5 = 0 then only_ || ',7' when c.conv_id % 5 = 1 and c.claim_id % 4 = 2 then '' when n.n = 1 then only_::varchar else b.ids end as source_ids,
+  round(case when c.conv_id % 5 = 0 or (c.conv_id % 5 = 1 and c.claim_id % 4 = 2) then null when n.n = 1 then 1.0 else b.score end, 6) as score from c join n using (conv_id) left join b using (conv_id, claim_id)""")
 def claim_traces(spark, d):
     conv = V.load(spark, d, "conversations")
-    claims = conv.where("turn % 2 = 0").select("conv_id", F.col("turn").alias("claim_id"), F.col("text").alias("claim"), F.lit(None).cast("array<bigint>").alias("exact_ids"))
+    # Some claims name their sources, some name none that is there; the others are traced.
+    first = conv.groupBy("conv_id").agg(F.min("turn").alias("first"))
+    named = F.when(F.col("conv_id") % 5 == 0, F.array("first", F.lit(7).cast("bigint"))).when((F.col("conv_id") % 5 == 1) & (F.col("turn") % 4 == 2), F.array().cast("array<bigint>"))
+    claims = conv.where("turn % 2 = 0").join(first, "conv_id").select("conv_id", F.col("turn").alias("claim_id"), F.col("text").alias("claim"), named.alias("exact_ids"))
     sources = conv.select("conv_id", F.col("turn").alias("source_id"), "text")
     out = audit.claim_traces(claims, sources, "conv_id")
     return out.select("conv_id", "claim_id", "attribution", F.array_join(F.col("source_ids").cast("array<string>"), ",").alias("source_ids"), F.round("score", 6).alias("score"))
 
 
-@query("""
-with e as (select doc_id, text, trim(substr(text, length(text) // 2 + 1, 60)) as ev from documents where length(text) > 200)
-select doc_id, case when strpos(lower(text), lower(ev)) > 0 then 'exact_text' else 'other' end as match, (length(left(text, strpos(lower(text), lower(ev)) - 1)) - length(replace(left(text, strpos(lower(text), lower(ev)) - 1), chr(10), '')) + 1)::integer as line from e where not regexp_matches(ev, '^\\s|\\s$')""")
+#: Evidence of documents: cut from the text, the same with other blanks, foreign, blank or none; marks of pages and sheets stand in the text.
+LOCATE_SQL = r"""
+with t as (select doc_id, '===== PAGE 1 =====' || chr(10) || left(coalesce(text, ''), length(coalesce(text, '')) // 3) || chr(10) || '===== PAGE 2 =====' || chr(10) || substr(coalesce(text, ''), length(coalesce(text, '')) // 3 + 1) || case when doc_id % 2 = 0 then chr(10) || '===== SHEET: Neraca =====' || chr(10) || 'Jumlah aset lancar ' || doc_id else '' end as t, coalesce(text, '') as text from documents),
+e as (select doc_id, t, case doc_id % 6 when 0 then '  Jumlah ASET lancar ' || doc_id || ' ' when 1 then substr(text, length(text) // 2 + 1, 60) when 2 then 'jumlah   aset' || chr(10) || 'lancar ' || doc_id when 3 then 'kalimat yang tidak ada di mana pun juga' when 4 then '  ' end as ev from t),
+n as (select *, lower(trim(regexp_replace(ev, '^\s+|\s+$', '', 'g'))) as wanted, left(trim(regexp_replace(lower(ev), '\s+', ' ', 'g')), 80) as start, trim(regexp_replace(lower(t), '\s+', ' ', 'g')) as flat from e),
+p as (select *, case when wanted <> '' then strpos(lower(t), wanted) else 0 end as pos from n), b as (select *, left(t, pos - 1) as before from p)
+select doc_id, case when coalesce(wanted, '') = '' then null when pos > 0 then 'exact_text' when length(start) >= 20 and strpos(flat, start) > 0 then 'normalized_text' else 'not_located' end as match,
+  case when pos > 0 then length(before) - length(replace(before, chr(10), '')) + 1 end::integer as line, case when pos > 0 then regexp_extract_all(before, '===== PAGE (\d+) =====', 1)[-1] end::integer as page, case when pos > 0 then trim(regexp_extract_all(before, '===== SHEET: (.*?) =====', 1)[-1]) end as sheet from b"""
+
+
+@query(LOCATE_SQL)
 def evidence_locator(spark, d):
-    docs = V.load(spark, d, "documents").where(F.length("text") > 200)
-    rows = docs.select("doc_id", "text", F.trim(F.expr("substr(text, length(text) div 2 + 1, 60)")).alias("ev")).where(~F.col("ev").rlike(r"^\s|\s$"))
-    return rows.select("doc_id", audit.locate(F.col("text"), F.col("ev")).alias("l")).select("doc_id", "l.match", "l.line")
+    text, key = F.coalesce("text", F.lit("")), F.col("doc_id").cast("string")
+    third = F.floor(F.length(text) / 3).cast("int")
+    sheet = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("\n===== SHEET: Neraca =====\nJumlah aset lancar "), key)).otherwise("")
+    whole = F.concat(F.lit("===== PAGE 1 =====\n"), F.left(text, third), F.lit("\n===== PAGE 2 =====\n"), F.substr(text, third + 1), sheet)
+    n = F.col("doc_id") % 6
+    evidence = F.when(n == 0, F.concat(F.lit("  Jumlah ASET lancar "), key, F.lit(" "))).when(n == 1, F.substr(text, F.floor(F.length(text) / 2).cast("int") + 1, F.lit(60)))
+    evidence = evidence.when(n == 2, F.concat(F.lit("jumlah   aset\nlancar "), key)).when(n == 3, "kalimat yang tidak ada di mana pun juga").when(n == 4, "  ")
+    return V.load(spark, d, "documents").select("doc_id", audit.locate(whole, evidence).alias("l")).select("doc_id", "l.match", "l.line", "l.page", "l.sheet")
 
 
 @query("""
@@ -245,14 +372,44 @@ def process_timeline(spark, d):
     return audit.timeline(("announced", announced, "o_orderdate"), ("audited", audited, "ts"), ("shipped", shipped, "l_shipdate")).withColumnRenamed("at", "happened_at")
 
 
-@query("""
-with g as (select n_regionkey, list('N ' || n_name order by n_name) as facts from nation group by n_regionkey)
-select r_name as ticker, '# ' || r_name || chr(10) || chr(10) || '## Material facts' || chr(10) || array_to_string(list_transform(facts, lambda x: '- ' || x), chr(10)) as block from region join g on r_regionkey = n_regionkey""")
-def share_render(spark, d):
+_SHARE = f"""
+with g as (select n_regionkey, list('N ' || n_name order by n_name) as facts, list(n_name order by n_name) as names, count(*) as n from nation group by n_regionkey),
+b as (select r_name as ticker, '---' || chr(10) || chr(10) || '## ' || r_name || chr(10) || chr(10) || case when r_regionkey <> 1 then '**Announcements:** ' || n || chr(10) || chr(10) else '' end
+  || case when r_regionkey <> 2 then '### Overview' || chr(10) || chr(10) || 'Region ' || r_name || chr(10) || chr(10) else '' end
+  || '### Timeline' || chr(10) || chr(10) || '- **' || names[1] || ' · ' || names[2] || ':** ' || names[3] || chr(10) || '- **Announcement:** ' || names[4] || chr(10) || chr(10)
+  || '### Material changes' || chr(10) || chr(10) || array_to_string(list_transform(facts, lambda x: '- ' || x), chr(10)) || chr(10) || chr(10)
+  || '### Key financial figures' || chr(10) || chr(10) || '- **Figure:** 5 (2027)' || chr(10) || '- **' || names[1] || ':** 6' || chr(10) || chr(10)
+  || '### Analytical scenarios' || chr(10) || chr(10) || '- **Scenario** [high]: rises' || chr(10) || '  - Basis: ' || names[1] || '; ' || names[2] || chr(10) || '  - Caveats: none' || chr(10) as block from region join g on r_regionkey = n_regionkey)
+"""
+
+
+def _companies(spark, d):
     nation, region = V.load(spark, d, "nation"), V.load(spark, d, "region")
-    facts = nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.concat(F.lit("N "), "n_name"))).alias("material_facts"))
-    rows = region.join(facts, region.r_regionkey == facts.n_regionkey).select(F.col("r_name").alias("ticker"), "material_facts", F.array().cast("array<string>").alias("limitations"))
-    return audit.share_blocks(rows, ["material_facts", "limitations"])
+    facts = nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("names"))
+    rows = region.join(facts, region.r_regionkey == facts.n_regionkey)
+    n, null = F.col("names"), F.lit(None).cast("string")
+    event = lambda at, title, summary: F.struct(at.alias("announced_at"), title.alias("title"), summary.alias("summary"))
+    figure = lambda m, v, p: F.struct(m.alias("metric"), v.alias("value"), p.alias("period"))
+    none = F.array().cast("array<string>")
+    scenario = F.struct(F.lit("").alias("classification"), F.lit("high").alias("confidence"), null.alias("topic"), F.lit(" rises ").alias("analysis"), F.array(n[0], F.lit(" "), n[1]).alias("basis"), none.alias("assumptions"), F.array(F.lit("none")).alias("caveats"))
+    return rows.select(
+        F.col("r_name").alias("ticker"), F.when(F.col("r_regionkey") != 1, F.size("names")).alias("announcement_count"), F.when(F.col("r_regionkey") != 2, F.concat(F.lit("Region "), "r_name", F.lit("  "))).alias("overview"),
+        F.array(event(n[0], n[1], n[2]), event(null, F.lit(" "), n[3]), event(null, null, null)).alias("timeline"), F.transform(n, lambda x: F.concat(F.lit("N "), x)).alias("material_changes"),
+        F.array(figure(null, F.lit("5"), F.lit("2027")), figure(n[0], F.lit("6"), null), figure(n[1], null, null)).alias("key_financial_figures"), F.array(scenario).alias("analytical_scenarios"), none.alias("limitations"),
+    )
+
+
+SHARED_SECTIONS = ["limitations", "overview", "analytical_scenarios", "timeline", "material_changes", "key_financial_figures"]
+
+
+@query(_SHARE + "select ticker, block from b")
+def share_render(spark, d):
+    return audit.share_blocks(_companies(spark, d), SHARED_SECTIONS)
+
+
+@query(_SHARE + f"""select '# {audit.TITLE}' || chr(10) || chr(10) || '**Window:** a → b' || chr(10) || '**Companies:** ' || count(*) || chr(10) || chr(10) || '> {audit.NOTICE}' || chr(10) || chr(10) || rtrim(string_agg(block, chr(10) order by ticker), chr(10)) || chr(10) as markdown from b""")
+def share_document(spark, d):
+    return audit.share_document(_companies(spark, d), "a", "b", SHARED_SECTIONS)
 
 
 @query("""
@@ -264,10 +421,10 @@ def upsert_rows(spark, d):
     return R.upsert(labels, batch, ["doc_id"])
 
 
-@query("with p as (select doc_id, doc_id % 5 as toxic from labels where doc_id % 3 = 0) select l.doc_id, l.quality, coalesce(p.toxic, l.toxic)::integer as toxic from labels l left join p using (doc_id)")
+@query("with p as (select doc_id, case when doc_id % 2 = 0 then doc_id % 5 end as toxic from labels where doc_id % 3 = 0) select l.doc_id, l.quality, case when p.doc_id is not null then p.toxic else l.toxic end::integer as toxic from labels l left join p using (doc_id)")
 def patch_rows(spark, d):
     labels = V.load(spark, d, "labels").select("doc_id", "quality", "toxic")
-    changes = labels.where("doc_id % 3 = 0").select("doc_id", (F.col("doc_id") % 5).cast("int").alias("toxic"))
+    changes = labels.where("doc_id % 3 = 0").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id") % 5).cast("int").alias("toxic"))
     return R.patch(labels, changes, ["doc_id"]).withColumn("toxic", F.col("toxic").cast("int"))
 
 
@@ -282,20 +439,30 @@ def publish_batches(spark, d):
     return export.batches(V.load(spark, d, "events"), ["user_id"], ["ts", "event_id"], 10).select("event_id", "batch")
 
 
-@query("with f as (select user_id, event_id, lag(event_type) over (partition by user_id order by ts, event_id) as prior, event_type from events) select event_id, case when event_type in ('queued', 'running') then 'interrupted' else event_type end as status, prior is not distinct from event_type as repeated from f")
+@query("""
+with f as (select user_id, event_id, ts, ['queued', 'running', 'completed', 'failed', 'interrupted'][event_id % 5 + 1] as status from events), g as (select *, lag(status) over (partition by user_id order by ts, event_id) as prior from f)
+select event_id, case when status in ('queued', 'running') then 'interrupted' else status end as status, prior is not distinct from status as repeated from g""")
 def interrupted_runs(spark, d):
-    prior = F.lag("event_type").over(R.Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return V.load(spark, d, "events").select("event_id", state.interrupted(F.col("event_type")).alias("status"), prior.eqNullSafe(F.col("event_type")).alias("repeated"))
+    status = F.element_at(F.array(*map(F.lit, ("queued", "running", "completed", "failed", "interrupted"))), (F.col("event_id") % 5 + 1).cast("int"))
+    rows = V.load(spark, d, "events").withColumn("status", status)
+    prior = F.lag("status").over(R.Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return rows.select("event_id", state.interrupted(F.col("status")).alias("status"), prior.eqNullSafe(F.col("status")).alias("repeated"))
 
 
-@query("with r as (select user_id as k, ts as s, ts + interval 6 hour as e from events), q as (select user_id as k, min(ts) as a, min(ts) + interval 3 hour as b from events group by user_id) select k, true as proved from q where exists (select 1 from r where r.k = q.k and r.s <= q.a and q.b <= r.e)")
+@query("""with r as (select user_id as k, ts as s, ts + interval 6 hour as e from events), q as (select user_id as k, min(ts) as a, min(ts) + case when user_id % 2 = 0 then interval 3 hour else interval 3 day end as b from events group by user_id),
+m as (select *, case when s <= max(e) over (partition by k order by s, e rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh from r), i as (select *, sum(fresh) over (partition by k order by s, e rows unbounded preceding) as island from m), u as (select k, min(s) as s, max(e) as e from i group by k, island)
+select k, exists (select 1 from u where u.k = q.k and u.s <= q.a and q.b <= u.e) as proved from q""")
 def window_proof(spark, d):
     ev = V.load(spark, d, "events").select(F.col("user_id").alias("k"), "ts")
-    requests = ev.groupBy("k").agg(F.min("ts").alias("a")).withColumn("b", F.expr("a + interval 3 hours"))
-    return state.proves(ev.select("k", F.col("ts").alias("s"), F.expr("ts + interval 6 hours").alias("e")), requests, "k").where("proved").select("k", "proved")
+    requests = ev.groupBy("k").agg(F.min("ts").alias("a")).withColumn("b", F.expr("a + if(k % 2 = 0, interval 3 hours, interval 72 hours)"))
+    return state.proves(ev.select("k", F.col("ts").alias("s"), F.expr("ts + interval 6 hours").alias("e")), requests, "k").select("k", "proved")
 
 
-@query()
+@query(r"""
+with t as (select page_id, regexp_replace(html, '(?is)<!--.*?-->|<(script|style)\b.*?</(script|style)\s*>', '<x>', 'g') as h from pages),
+d as (select page_id, array_to_string(list_transform(list_filter(string_split_regex(h, '<[^>]*>'), lambda x: x <> ''), lambda x: replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', chr(160)), '&amp;', '&')), chr(10)) as t from t),
+n as (select page_id, regexp_replace(regexp_replace(regexp_replace(t, '[ \t]+', ' ', 'g'), '\n{4,}', chr(10) || chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') as t from d)
+select page_id, length(t)::integer as n_chars, md5(t) as digest from n""")
 def html_text(spark, d):
     rows = extract.html_pages(V.load(spark, d, "pages"))
     return rows.select("page_id", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
@@ -303,14 +470,9 @@ def html_text(spark, d):
 
 @query("select event_id, event_type from events")
 def stream_dedupe(spark, d):
-    """Events read twice as a stream: each comes out once."""
-    import uuid
-
+    """Events read twice as a stream, the second time as a source reads an overlap again: each comes out once."""
     path = f"{d}/events.parquet"
     events = spark.read.parquet(path)
     stream = streams.read_events(spark, path.replace("events.parquet", "events*.parquet"), events.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
-    twice = stream.unionByName(stream)
-    name = f"deduped_{uuid.uuid4().hex}"
-    q = streams.dedupe_stream(twice, "event_id", "ts").select("event_id", "event_type").writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    once = streams.dedupe_stream(stream.unionByName(stream), "event_id", "ts").select("event_id", "event_type")
+    return streams.run_to_table(once, "deduped")

@@ -60,44 +60,89 @@ def docx_text(data: bytes) -> str:
     return normalise("\n".join(lines))
 
 
-def sheet_priority(title: str) -> int:
-    """Statements first, then general information, notes, and all else."""
-    t = title.lower()
-    groups = (("balance", "income", "cash flow", "neraca", "laba rugi", "arus kas", "financial position"), ("general", "umum", "info"), ("note", "catatan"))
-    return next((k for k, names in enumerate(groups) if any(n in t for n in names)), 3)
+#: Terms by which sheets are told apart, in titles first and then in what a sheet begins with, and the names of the four ranks.
+TAXONOMY_TERMS = ("inlinexbrl", "inline xbrl", "token", "hidden", "taxonomy", "schema", "xbrl", "contexts", "units")
+PRIMARY_TERMS = (
+    "statement of financial position", "financial position", "balance sheet", "posisi keuangan",
+    "income statement", "profit or loss", "profit and loss", "laba rugi", "pendapatan",
+    "cash flow", "arus kas", "changes in equity", "perubahan ekuitas",
+    "statement of comprehensive income", "penghasilan komprehensif",
+)
+SUPPORTING_TERMS = ("notes", "catatan", "segment", "segmen", "context")
+RANKS = ("PRIMARY", "GENERAL", "SUPPORTING", "TAXONOMY")
+#: Rows and values at the beginning of a sheet that its rank may rest on.
+SAMPLE_ROWS, SAMPLE_VALUES = 25, 80
+
+
+def _rank(text: str, order: tuple[tuple[int, tuple[str, ...]], ...]) -> int | None:
+    return next((rank for rank, terms in order if any(t in text for t in terms)), None)
+
+
+def sheet_priority(title: str, sample: list[str]) -> int:
+    """0 for statements, 1 for all else, 2 for notes and segments, 3 for taxonomy sheets: by the title, or by the first values if that tells nothing."""
+    by_title = _rank(title.strip().lower(), ((3, TAXONOMY_TERMS), (0, PRIMARY_TERMS), (2, SUPPORTING_TERMS)))
+    if by_title is not None:
+        return by_title
+    by_values = _rank(" | ".join(sample), ((0, PRIMARY_TERMS), (3, TAXONOMY_TERMS), (2, SUPPORTING_TERMS)))
+    return 1 if by_values is None else by_values
+
+
+def _cell(c: ElementTree.Element, m: str, shared: list[str]) -> str:
+    """A cell's stored value as text; a formula without one is shown as such."""
+    v, f, kind = c.find(f"{m}v"), c.find(f"{m}f"), c.get("t")
+    if kind == "inlineStr":
+        return "".join(t.text or "" for t in c.iter(f"{m}t"))
+    if v is None or v.text is None:
+        return f"[FORMULA_NO_CACHED_VALUE {c.get('r')}: ={f.text}]" if f is not None and f.text else ""
+    if kind == "s":
+        return shared[int(v.text)]
+    if kind == "b":
+        return str(v.text == "1")
+    if kind in (None, "n") and re.fullmatch(r"[+-]?[0-9.]+(?:[eE][+-]?[0-9]+)?", v.text):
+        return str(float(v.text)) if re.search("[.eE]", v.text) else str(int(v.text))
+    return v.text
+
+
+def _rows(root: ElementTree.Element, m: str, shared: list[str]) -> list[tuple[int, list[str]]]:
+    """(number, cells without blank ones at the end) of the rows that aren't blank."""
+    out, number = [], 0
+    for row in root.iter(f"{m}row"):
+        number = int(row.get("r") or number + 1)
+        cells: list[str] = []
+        for c in row.findall(f"{m}c"):
+            column = 0
+            for ch in re.match(r"[A-Z]*", c.get("r") or "")[0]:
+                column = column * 26 + ord(ch) - 64
+            cells += [""] * (column - 1 - len(cells))
+            cells.append(_cell(c, m, shared))
+        while cells and not cells[-1].strip():
+            cells.pop()
+        if cells:
+            out.append((number, cells))
+    return out
 
 
 def xlsx_text(data: bytes, cap: int = CELLS) -> str:
-    """Sheets by priority and name; rows as ROW n | cell | cell without trailing blanks, up to a cap on cells."""
+    """Sheets by rank and title; rows as ROW n | cell | cell, up to a cap on cells over all sheets."""
     m = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
     rel = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = set(z.namelist())
         shared = [] if "xl/sharedStrings.xml" not in names else ["".join(t.text or "" for t in s.iter(f"{m}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).findall(f"{m}si")]
         paths = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        sheets = [(s.get("name"), paths[s.get(rel)]) for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{m}sheet")]
-        out, used = [], 0
-        for name, path in sorted(sheets, key=lambda s: (sheet_priority(s[0]), s[0].lower())):
-            out.append(f"===== SHEET: {name} =====")
-            root = ElementTree.fromstring(z.read("xl/" + path.lstrip("/").removeprefix("xl/")))
-            for row in root.iter(f"{m}row"):
-                cells: list[str] = []
-                for c in row.findall(f"{m}c"):
-                    column = 0
-                    for ch in re.match(r"[A-Z]*", c.get("r") or "")[0]:
-                        column = column * 26 + ord(ch) - 64
-                    cells += [""] * (column - 1 - len(cells))
-                    v, f = c.find(f"{m}v"), c.find(f"{m}f")
-                    text = shared[int(v.text)] if c.get("t") == "s" and v is not None else "".join(t.text or "" for t in c.iter(f"{m}t")) if c.get("t") == "inlineStr" else v.text if v is not None and v.text else f"={f.text}" if f is not None else ""
-                    cells.append(text)
-                while cells and not cells[-1].strip():
-                    cells.pop()
-                if not cells:
-                    continue
-                if used + len(cells) > cap:
-                    return normalise("\n".join([*out, "[TRUNCATED]"]))
-                used += len(cells)
-                out.append(" | ".join([f"ROW {row.get('r')}", *cells]))
+        sheets = []
+        for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{m}sheet"):
+            rows = _rows(ElementTree.fromstring(z.read("xl/" + paths[s.get(rel)].lstrip("/").removeprefix("xl/"))), m, shared)
+            first = [c.strip().lower() for n, cells in rows if n <= SAMPLE_ROWS for c in cells if c.strip()][:SAMPLE_VALUES]
+            sheets.append((sheet_priority(s.get("name"), first), s.get("name").strip().lower(), s.get("name"), rows))
+    out, used = [], 0
+    for rank, _, name, rows in sorted(sheets, key=lambda s: s[:2]):
+        out.append(f"\n\n===== SHEET: {name} =====\nSHEET PRIORITY: {RANKS[rank]}")
+        for number, cells in rows:
+            used += len(cells)
+            if used > cap:
+                return normalise("\n".join([*out, "\n[TRUNCATED: spreadsheet cell limit reached after priority ordering]"]))
+            out.append(" | ".join([f"ROW {number}", *cells]))
     return normalise("\n".join(out))
 
 

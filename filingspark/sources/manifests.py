@@ -37,14 +37,15 @@ def shard_report(rows: DataFrame) -> DataFrame:
     return out.withColumn("complete", F.col("raw") >= F.col("reported"))
 
 
-def strategy(n_days: int, whole: bool, probed: bool, all_days: bool) -> str:
-    """How a window was read."""
-    return "pagination" if whole else "wide-page-probe" if probed else "date-shards" if all_days else "date-shards-partial"
+def read_manifest(spark: SparkSession, path: str, start: str, end: str, attest: bool = False, version: str | None = None) -> tuple[DataFrame, bool]:
+    """(disclosures in the closed window by time and id, complete).
 
-
-def read_manifest(spark: SparkSession, path: str, start: str, end: str, attest: bool = False) -> tuple[DataFrame, bool]:
-    """(disclosures in the closed window by time and id, complete). Bad manifests are an error; only `attest` trusts their completeness."""
+    Bad manifests, and those of another schema version than the one asked for, are an error; only `attest`
+    trusts their completeness.
+    """
     raw = spark.read.schema(MANIFEST).json(path, multiLine=True, mode="FAILFAST")
+    if version is not None and (other := raw.where(~F.col("schemaVersion").eqNullSafe(F.lit(version))).limit(1).count()):
+        raise ValueError(f"manifest: {other} of another schemaVersion than {version}")
     rows = raw.select("schemaVersion", F.explode("disclosures").alias("d")).select("d.*")
     zoned = F.col("announcedAt").rlike(r"(?i)(z|[+-]\d{2}:?\d{2})$")
     bad_path = F.exists("attachments", lambda a: F.startswith(a["path"], F.lit("/")) | a["path"].rlike(r"(^|/)\.\.(/|$)"))
@@ -64,14 +65,6 @@ def verify_files(attachments: DataFrame, files: DataFrame) -> DataFrame:
     return attachments.join(have, "path", "left").withColumn("status", F.when(F.col("_h").isNull(), "missing").when(F.col("sha256").isNotNull() & (F.lower("sha256") != F.col("_h")), "mismatch").otherwise("ok")).drop("_h")
 
 
-def reference_tickers(payload: DataFrame, column: str, least: int = 1) -> DataFrame:
-    """Distinct tickers in a JSON payload of any usual shape: lists or objects of codes, at any depth; fewer than `least` is none."""
-    code = F.explode(F.array_distinct(F.regexp_extract_all(column, F.lit(r'"((?:[A-Za-z0-9]|-){2,8})"'), F.lit(1)))).alias("code")
-    keys = ("ticker", "code", "symbol", "kode", "kodeemiten", "kode_emiten", "data", "items", "results", "stocks", "name")
-    found = payload.select(code).select(F.upper("code").alias("ticker")).where(F.translate("ticker", "-", "").rlike("^[A-Z0-9]+$")).where(~F.lower("ticker").isin(*keys)).distinct()
-    return found if least <= 1 or found.count() >= least else found.limit(0)
-
-
 def successful_coverage(reports: DataFrame) -> DataFrame:
     """(scope, s, e) that reports prove: complete, not a no-op or reducer run, no filter, no cap; ends stop at the poll snapshot."""
     good = "status = 'completed' and scrape_complete and not coalesce(noop, false) and coalesce(mode, 'run') = 'run' and keyword is null and max_announcements is null and s <= e"
@@ -97,14 +90,25 @@ class PagedReader(DataSourceReader):
         self.path = options["path"]
 
     def partitions(self) -> list[InputPartition]:
-        import glob
+        from pyarrow import fs
 
-        return [InputPartition(p) for p in sorted(glob.glob(f"{self.path}/*.json"))]
+        files, folder = _files(self.path)
+        found = files.get_file_info(fs.FileSelector(folder))
+        prefix = self.path.split("://")[0] + "://" if "://" in self.path else ""
+        return [InputPartition(prefix + f.path) for f in sorted(found, key=lambda f: f.path) if f.path.endswith(".json")]
 
     def read(self, partition: InputPartition):
         import json
 
-        with open(partition.value, encoding="utf-8") as f:
-            page = json.load(f)
+        files, path = _files(partition.value)
+        with files.open_input_stream(path) as f:
+            page = json.loads(f.read())
         for k, reply in enumerate(page.get("Replies") or []):
             yield partition.value, k, page.get("ResultCount"), json.dumps(reply, ensure_ascii=False)
+
+
+def _files(path: str):
+    """(file system, path in it): that of the URL's scheme, or the local one."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)

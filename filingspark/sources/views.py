@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 #: Headlines dealt to announcements by number, so that rule chains meet every rule.
 TITLES = (
-    "Paparan Publik Bulanan Oktober 2026",
-    "Laporan Keuangan Triwulan III 2026",
-    "Pembagian  Dividen Interim",
-    "Metode Hak Tagih",
-    "Buy Back Saham",
-    "Surat Berharga Sukuk",
-    "Perubahan Anggota Direksi",
-    "RUPSLB Tahun 2026",
-    "Koreksi Laporan Keuangan",
-    "Kegiatan Registrasi Pemegang Efek",
-    "Peristiwa Biasa",
-    "Penyampaian Bukti Iklan Informasi rencana penggabungan usaha (Merger)",
+    "Paparan Publik Tahunan Mei 2027",
+    "Laporan Keuangan Tengah Tahun 2027",
+    "Jadwal  Dividen Tunai",
+    "Penjelasan Hak Tagih Perseroan",
+    "Rencana Buy Back Tahap Dua",
+    "Jatuh Tempo Sukuk Ijarah",
+    "Pengunduran Diri Direksi",
+    "Panggilan RUPSLB Juni 2027",
+    "Koreksi Prospektus Ringkas",
+    "Daftar Registrasi Pemegang Efek",
+    "Kabar Lain Perseroan",
+    "Bukti Iklan rancangan penggabungan usaha dua anak perusahaan",
     "Pemeringkatan Efek oleh Pefindo",
     "Perubahan Kepemilikan Saham",
     "Pencatatan Saham Tambahan",

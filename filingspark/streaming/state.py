@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +41,20 @@ def commit_batches(stream: DataFrame, target: str, checkpoint: str, whole: Calla
 def tail(events: DataFrame, cursor: int, seq: str = "seq") -> DataFrame:
     """Events after a cursor."""
     return events.where(F.col(seq) > cursor)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that the driver and all executors share."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if not folder and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(folder or tempfile.mkdtemp(prefix='filingspark-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def run_to_table(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream over what is there into files of the shared folder, with its state beside them, and read them back."""
+    folder = shared_folder(stream.sparkSession, name)
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")

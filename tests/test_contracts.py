@@ -21,7 +21,7 @@ def test_titles_sections_provenance(spark):
     one = spark.range(1)
     null = F.lit(None).cast("string")
     assert one.select(*contracts.title_of(F.lit(" "), F.lit("S "), null, F.lit("T"))).first()[:] == ("S", "subject")
-    assert one.select(*contracts.title_of(null, null, null, F.lit("T"))).first()[:] == ("Disclosure T", "synthetic")
+    assert one.select(*contracts.title_of(null, null, null, F.lit("T"))).first()[:] == ("IDX disclosure T", "synthetic")
     known = ("a", "b", "c")
     arr = lambda *x: F.array(*map(F.lit, x))
     assert one.select(contracts.sections(arr("c", "a", "c"), known)).first()[0] == ["a", "c"]
@@ -69,13 +69,15 @@ def test_collect(spark):
 
 def test_render(spark):
     one = spark.range(1)
-    t, v = F.lit("a {{ x }} {{y}} {{z}}"), F.create_map(F.lit("x"), F.lit("{{y}}"), F.lit("y"), F.lit("2"))
-    assert one.select(X.render(t, v)).first()[0] == "a {{y}} 2 "
+    t, v = F.lit(" a {x} {Y_1} {z} {9}"), F.create_map(F.lit("x"), F.lit("{Y_1}"), F.lit("Y_1"), F.lit(None).cast("string"))
+    assert one.select(X.render(t, v)).first()[0] == "a {Y_1}  {z} {9}"
+    with pytest.raises(Exception, match="missing values: w"):
+        one.select(X.render(t, v, F.array(F.lit("x"), F.lit("w")))).collect()
     problems = one.select(X.placeholder_problems(t, F.array(F.lit("x"), F.lit("w")))).first()[0]
-    assert sorted(problems.unknown) == ["y", "z"] and problems.missing == ["w"]
-    text = "# Head\n- item **b**\n```\n# code\n```\nend"
-    assert one.select(X.plain_markdown(F.lit(text))).first()[0] == "HEAD\n• item b\n# code\nend"
-    assert one.select(X.mime(F.lit(".pdf")), X.mime(F.lit(".x"))).first()[:] == ("application/pdf", "application/octet-stream")
+    assert problems.unknown == ["Y_1", "z"] and problems.missing == ["w"]
+    text = "# Head\n### sub `x`\n- item **b** __c__\n> quote\n```\n# **code**\n```\nend\n\n"
+    assert one.select(X.plain_markdown(F.lit(text))).first()[0] == "HEAD\nsub x\n- item b __c__\nquote\n# **code**\nend\n"
+    assert one.select(X.mime(F.lit("a.pdf")), X.mime(F.lit("b.x")), X.mime(F.lit("b.x"), F.lit(" t/u "))).first()[:] == ("application/pdf", "application/octet-stream", "t/u")
     assert X.camel("announced_at_utc") == "announcedAtUtc"
     assert one.select(X.backoff(F.lit(3), 2.0, 60.0), X.backoff(F.lit(30), 2.0, 60.0), X.backoff(F.lit(1), 2.0, 60.0, F.lit(9.0))).first()[:] == (8.0, 60.0, 9.0)
 

@@ -80,10 +80,10 @@ def test_boundaries_and_daily_windows(spark):
 
 
 TITLES = {
-    "Paparan Publik Bulanan Oktober 2026": "PUBLIC_EXPOSE",
+    "Paparan Publik Tahunan Mei 2027": "PUBLIC_EXPOSE",
     "Laporan Keuangan Triwulan III 2026": "FINANCIAL_REPORT",
     "Pembagian Dividen Interim": "DIVIDEND",
-    "Metode Hak Tagih": "RIGHTS_ISSUE",
+    "Penjelasan Hak Tagih Perseroan": "RIGHTS_ISSUE",
     "Buy Back Saham": "BUYBACK",
     "Surat Berharga Sukuk": "BOND",
     "Perubahan Anggota Direksi": "MANAGEMENT_CHANGE",
@@ -91,7 +91,7 @@ TITLES = {
     "Koreksi Laporan Keuangan": "CORRECTION",
     "Kegiatan Registrasi Pemegang Efek": "ROUTINE_REPORT",
     "Peristiwa Biasa": "ROUTINE_REPORT",
-    "Penyampaian Bukti Iklan Informasi rencana penggabungan usaha (Merger)": "MERGER",
+    "Bukti Iklan rancangan penggabungan usaha dua anak perusahaan": "MERGER",
 }
 
 
@@ -124,12 +124,12 @@ def test_taxonomy(spark):
 
 
 BUNDLES = [
-    ("Laporan Keuangan Interim", ["Pernyataan Direksi.pdf", "Checklist.pdf", "FinancialStatement.xlsx", "instance.zip", "inlineXBRL.zip", "LK PJAA 30 Juni 2026.pdf"], [2, 5]),
+    ("Laporan Keuangan Interim", ["Pernyataan Direksi.pdf", "Checklist.pdf", "FinancialStatement.xlsx", "instance.zip", "inlineXBRL.zip", "LK ABCD 31 Maret 2027.pdf"], [2, 5]),
     ("Laporan Keuangan Interim", ["Checklist LK.pdf", "FinancialStatement.xlsx", "a.zip", "Laporan Keuangan TW II 2026.pdf", "management statement.pdf"], [1, 3]),
     ("Keterbukaan", ["main.pdf", "lampiran.xlsx", "bundle.zip"], [0, 1]),
     ("Financial Statements", ["FinancialStatement.xlsx", "FinancialStatement.pdf", "LK X.pdf", "checklist.pdf"], [0, 2]),
     ("Financial Statements", ["FinancialStatement.xlsx", "FinancialStatement.pdf"], [0, 1]),
-    ("Financial Statements", ["FinancialStatement.xlsx", "FinancialStatement.pdf", "LKTT Q2 2026_Srsn.pdf", "x.zip"], [0, 2]),
+    ("Financial Statements", ["FinancialStatement.xlsx", "FinancialStatement.pdf", "LKTT Q1 2027_final.pdf", "x.zip"], [0, 2]),
     ("Financial Statements", ["opaque.pdf"], [0]),
 ]
 
@@ -233,16 +233,35 @@ def test_coverage_commits_all_gaps_or_none(spark):
 
 
 def test_recovery(spark):
-    schema = "disclosure_id string, expected_status string, expected_updated_at timestamp, expected_external_id string, ticker string, declared_attachment_count int, expected_attachment_hashes array<string>"
-    manifest = spark.createDataFrame([("a", "PARTIAL", day(1), "e", "BBRI", 1, ["h"]), ("b", "PARTIAL", day(1), "e", "BBRI", 1, ["h"]), ("c", "PARTIAL", day(1), "e", "X", 1, [])], schema)
-    current = spark.createDataFrame([("a", "e", "bbri", "PARTIAL", day(1), True, 1, ["h"]), ("b", "e2", "BBRI", "READY", day(2), False, 2, [])], "disclosure_id string, external_id string, ticker string, processing_status string, updated_at timestamp, is_stock_scope boolean, declared_attachment_count int, attachment_hashes array<string>")
-    out = {r.disclosure_id: r.reasons for r in recovery.mismatches(manifest, current).collect()}
-    assert out["a"] == [] and out["c"] == ["disclosure_missing"]
-    assert out["b"] == ["external_id_mismatch", "status_mismatch", "updated_at_mismatch", "out_of_scope", "attachment_count_mismatch", "attachment_hash_mismatch"]
+    schema = "disclosure_id string, expected_status string, expected_updated_at timestamp, expected_external_id string, ticker string, bucket string, recovery_allowed boolean, declared_attachment_count int, expected_attachment_hashes array<string>"
+    record = lambda i, bucket="A", n=1, status="PARTIAL", allowed=False: (i, status, day(1), "e", "BBRI", bucket, allowed, n, ["h"] * min(n, 1))
+    manifest = spark.createDataFrame([record("a"), record("b"), record("c"), record("d"), record("e", "E"), record("f", "F", allowed=True), record("g", n=2), record("h", n=0, status="EXTRACTING"), record("i")], schema)
+    row = lambda i, n=1, done=False, **k: (i, i, "e", k.get("ticker", "bbri"), k.get("source", recovery.SOURCE), k.get("status", "PARTIAL"), day(1), k.get("scope", True), n, k.get("hashes", ["H"] * min(n, 1)), done)
+    current = spark.createDataFrame(
+        [row("a"), ("b", "z", "e2", "X", "other", "READY", day(2), False, 2, [], False), row("d", done=True), row("e"), row("f"), row("g", 2), row("h", 0, status="EXTRACTING"), row("i")],
+        "row_id string, disclosure_id string, external_id string, ticker string, source_id string, processing_status string, updated_at timestamp, is_stock_scope boolean, declared_attachment_count int, attachment_hashes array<string>, analysis_present boolean",
+    )
+    file = lambda i, url, text="ref", down="DOWNLOADED", out="EXTRACTED", there=None, local=None: (i, i, url, "h", down, out, text, there, local)
+    files = spark.createDataFrame(
+        [file("a", "u"), file("f", "u", down="PENDING"), file("g", "u"), file("g", "v", None, out="PENDING", there=True, local="h"), file("i", "u", there=True, local="x")],
+        "row_id string, disclosure_id string, source_url string, sha256 string, download_status string, extraction_status string, extracted_text_ref string, local_exists boolean, local_sha256 string",
+    )
+    found = {r.disclosure_id: r.reasons for r in recovery.mismatches(manifest, current).collect()}
+    assert found["a"] == [] and found["c"] == [recovery.MISSING] and found["b"] == list(recovery.MISMATCHES)
+    out = {r.disclosure_id: (r.outcome, r.action, r.attachments_needed, r.ai_documents) for r in recovery.preflight(manifest, current, files).collect()}
+    assert out["a"] == ("READY", "AI_ONLY_RETRY", 0, 1)
+    assert out["b"][:2] == out["c"][:2] == ("PRECONDITION_FAILED", "MANUAL_REVIEW")
+    assert out["d"][:2] == ("ALREADY_READY", "NOOP") and out["e"][:2] == ("HELD", "HELD")
+    assert out["f"] == ("READY", "ATTACHMENT_DOWNLOAD", 2, 3)
+    assert out["g"] == ("READY", "EXTRACTION_RESUME", 0, 2)
+    assert out["h"][:2] == ("READY", "METADATA_PROCESS_RESUME")
+    assert out["i"][:2] == ("PRECONDITION_FAILED", "MANUAL_REVIEW")
     cap = recovery.first_cap(spark.createDataFrame([(5, 1), (6, 1)], "requests int, attachments int"), {"requests": 10, "attachments": 1}).first()
     assert cap.exceeded == "requests"
-    status = spark.range(1).select(recovery.outcome(F.lit(2), F.lit(1), F.lit(1), F.lit(True)), recovery.outcome(F.lit(2), F.lit(0), F.lit(2), F.lit(True)), recovery.outcome(F.lit(2), F.lit(2), F.lit(0), F.lit(True))).first()
-    assert tuple(status) == ("PARTIAL", "FAILED", "SUCCESS")
+    yes, no = F.lit(True), F.lit(False)
+    runs = [(0, 0, yes, yes, no, no), (1, 0, yes, yes, yes, yes), (0, 1, yes, yes, no, yes), (1, 0, no, no, no, no), (0, 0, no, yes, no, no), (0, 0, yes, no, no, no)]
+    got = [tuple(spark.range(1).select(*recovery.outcome(F.lit(e), F.lit(p), *rest)).first()) for e, p, *rest in runs]
+    assert got == [("COMPLETE", None), ("PARTIAL", "AI_RUN_DEADLINE"), ("PARTIAL", "AI_RATE_LIMITED"), ("PARTIAL", "SOURCE_PROCESSING_PARTIAL"), ("PARTIAL", "SOURCE_COVERAGE_UNPROVEN"), ("PARTIAL", "SOURCE_COVERAGE_NOT_AUTHORIZED")]
 
 
 def test_chunks_join_to_the_text(spark):
@@ -258,6 +277,23 @@ def test_chunks_join_to_the_text(spark):
     assert {r.url: r.chunk_count for r in rows} == {"u": 3, "v": 1}
 
 
+def test_compatibility_forms_are_tokens(spark):
+    df = spark.createDataFrame([("Ｆｕｌｌ ﬁle x²",), ("Plain-1",), (None,)], "t string")
+    assert [r[0] for r in df.select(dedup.tokens(F.col("t"))).collect()] == [["full", "file", "x2"], ["plain", "1"], []]
+
+
+def test_copies_give_way_to_the_first_kept_one(spark):
+    """The first of three equal files gives way to another text; the second is then kept, the third gives way to it."""
+    pairs = spark.createDataFrame([("g", 2, 1, "near_duplicate", 0.99)], "announcement_id string, later int, earlier int, category string, similarity double")
+    same = spark.createDataFrame([("g", 2, "s"), ("g", 3, "s"), ("g", 4, "s")], "announcement_id string, later int, digest string")
+    assert sorted((r.later, r.earlier, r.category) for r in dedup.resolve(pairs, same).collect()) == [(2, 1, "near_duplicate"), (4, 3, "exact_duplicate")]
+
+
+def test_long_chains_resolve(spark):
+    pairs = spark.createDataFrame([("g", k + 1, k, "near_duplicate", 0.99) for k in range(1, 500)], "announcement_id string, later int, earlier int, category string, similarity double")
+    assert sorted(r.later for r in dedup.resolve(pairs).collect()) == list(range(2, 501, 2))
+
+
 def test_cache_decisions(spark):
     rows = spark.createDataFrame([("a", "f", 2), ("b", "f", 1), ("c", "f", 3), ("d", "f", 0)], "t string, fingerprint string, n int")
     stored = spark.createDataFrame([("a", "f"), ("c", "old")], "t string, fingerprint string")
@@ -268,16 +304,19 @@ def test_evidence_positions(spark):
     text = "intro\n===== PAGE 2 =====\nLaba bersih naik tajam\npada kuartal"
     df = spark.createDataFrame([(text, "LABA bersih naik"), (text, "laba bersih naik tajam pada kuartal"), (text, "absent"), (text, "")], "t string, e string")
     out = [tuple(r[0]) for r in df.select(audit.locate(F.col("t"), F.col("e"))).collect()]
-    assert out == [("exact_text", 3, 2), ("normalized_text", None, None), ("not_located", None, None), (None, None, None)]
+    assert out == [("exact_text", 3, 2, None), ("normalized_text", None, None, None), ("not_located", None, None, None), (None, None, None, None)]
 
 
 def test_share_blocks_and_sinks(spark, tmp_path):
-    df = spark.createDataFrame([("BIRD", ["b"], []), ("ANTM", ["a1", "a2"], [])], "ticker string, material_facts array<string>, limitations array<string>")
-    out = {r.ticker: r.block for r in audit.share_blocks(df, ["material_facts", "limitations"]).collect()}
-    assert out["ANTM"] == "# ANTM\n\n## Material facts\n- a1\n- a2"
-    export.export_share(df, str(tmp_path / "share"), ["material_facts"])
+    df = spark.createDataFrame([("BIRD", 1, ["b"], []), ("ANTM", None, ["a1", " ", "a2"], [])], "ticker string, announcement_count int, corporate_actions array<string>, limitations array<string>")
+    out = {r.ticker: r.block for r in audit.share_blocks(df, ["limitations", "corporate_actions"]).collect()}
+    assert out["ANTM"] == "---\n\n## ANTM\n\n### Corporate actions\n\n- a1\n- a2\n"
+    assert out["BIRD"].startswith("---\n\n## BIRD\n\n**Announcements:** 1\n\n### Corporate actions")
+    whole = audit.share_document(df, "2027-01-01", "2027-01-02", ["corporate_actions"]).first()[0]
+    assert whole.startswith(f"# {audit.TITLE}\n\n**Window:** 2027-01-01 → 2027-01-02\n**Companies:** 2\n\n> {audit.NOTICE}\n\n---\n\n## ANTM\n")
+    export.export_share(df, str(tmp_path / "share"), "2027-01-01", "2027-01-02", ["corporate_actions"])
     text = "".join(p.read_text() for p in sorted((tmp_path / "share").glob("part-*")))
-    assert text.index("ANTM") < text.index("BIRD")
+    assert text.rstrip() == whole.rstrip()
     export.export_companies(df, str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).count() == 2
     assert export.migrate(df.select("ticker"), "ticker string, added int").columns == ["ticker", "added"]
@@ -289,4 +328,4 @@ def test_text_functions(spark):
     out = [tuple(r) for r in df.select(T.ticker(F.col("t")), T.suffix(F.col("f")), allowed, T.iso_date(F.col("d")).cast("string")).collect()]
     assert out == [("BBRI", ".pdf", True, None), ("UNKNOWN", "", False, "2026-02-28"), ("UNKNOWN", "", False, None)]
     one = spark.range(1)
-    assert one.select(T.truncate(F.lit("abcdef"), 4), T.byte_size(F.lit(2048)), T.byte_size(F.lit(5)), T.joined(F.array().cast("array<string>"))).first()[:] == ("abc…", "2.0 KB", "5 B", None)
+    assert one.select(T.truncate(F.lit("abcdef"), 4), T.byte_size(F.lit(2048)), T.byte_size(F.lit(5)), T.joined(F.array().cast("array<string>"))).first()[:] == ("abc…", "2.0 KiB", "5 B", None)

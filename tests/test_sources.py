@@ -6,7 +6,7 @@ import zipfile
 
 import pytest
 
-from filingspark.sources import extract, manifests
+from filingspark.sources import extract, manifests, snapshots
 from filingspark.streaming import state as streams
 
 
@@ -37,8 +37,9 @@ def test_docx_and_xlsx():
         z.writestr("xl/_rels/workbook.xml.rels", rels)
         z.writestr("xl/s1.xml", sheet('<c r="B1"><f>1+1</f></c>'))
         z.writestr("xl/s2.xml", sheet('<c r="A1" t="inlineStr"><is><t>Assets</t></is></c><c r="B1"><v>1000</v></c><c r="Z1"/>'))
-    assert extract.xlsx_text(out.getvalue()) == "===== SHEET: Balance =====\nROW 1 | Assets | 1000\n===== SHEET: Other =====\nROW 1 | | =1+1"
-    assert "[TRUNCATED]" in extract.xlsx_text(out.getvalue(), cap=2)
+    assert extract.xlsx_text(out.getvalue()) == "===== SHEET: Balance =====\nSHEET PRIORITY: GENERAL\nROW 1 | Assets | 1000\n\n\n===== SHEET: Other =====\nSHEET PRIORITY: GENERAL\nROW 1 | | [FORMULA_NO_CACHED_VALUE B1: =1+1]"
+    assert extract.sheet_priority("1410000", ["laporan", "arus kas"]) == 0 and extract.sheet_priority("Balance Sheet tokens", []) == 3 and extract.sheet_priority("Catatan", ["arus kas"]) == 2
+    assert "[TRUNCATED: spreadsheet cell limit" in extract.xlsx_text(out.getvalue(), cap=2)
 
 
 def test_archives(spark):
@@ -83,8 +84,16 @@ def test_pages_and_reports(spark, tmp_path):
     assert report == {"x": True, "y": False}
     spark.dataSource.register(manifests.PagedSource)
     assert spark.read.format("paged").load(str(tmp_path)).count() == 4
-    payload = spark.createDataFrame([('{"data": [{"code": "bbri"}, {"code": "AB-W"}], "note": "x y z"}',)], "p string")
-    assert {r.ticker for r in manifests.reference_tickers(payload, "p").collect()} >= {"BBRI", "AB-W"}
+    assert spark.read.format("paged").load(f"file://{tmp_path}").count() == 4
+
+
+def test_reference_lists(spark):
+    texts = ['{"data": [{"code": "bbri"}, {"code": "AB-W"}, {"name": "none"}], "note": "x y z"}', '["abcd", {"Kode_Emiten": "", "symbol": " ef "}, 7, "toolongcode"]', '{"Results": {"items": ["zz"]}}', '{"aa": {"x": 1}, "bb": {"ticker": "cc"}, "n": 2}', "nope", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    out = {}
+    for r in snapshots.reference_tickers(rows, "t", "k").collect():
+        out.setdefault(r.k, set()).add(r.ticker)
+    assert out == {0: {"BBRI", "AB-W"}, 1: {"ABCD", "EF"}, 2: {"ZZ"}, 3: {"AA", "CC"}}
 
 
 def test_files_are_verified(spark):
