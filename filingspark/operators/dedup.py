@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import unicodedata
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .tables import settled
+
 #: Texts with fewer tokens are never near duplicates; lengths must be alike; shingles of a long text are taken by stride.
 MIN_TOKENS, LENGTH_RATIO, NEAR, WIDTH, CAP = 120, 0.94, 0.985, 5, 6000
 
@@ -165,23 +166,12 @@ def resolve(pairs: DataFrame, same: DataFrame | None = None) -> DataFrame:
     return dealt.mapInArrow(run, pairs.schema)
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """df in a table of its own, in the folder that executors share."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="filingspark-"))
-    return df.checkpoint()
-
-
 def deduplicate(items: DataFrame, near: float = NEAR) -> DataFrame:
     """announcement_id, url, keep, category, duplicate_of_url, similarity for every item.
 
     An item is compared with kept items only, first hit wins: one that is like a suppressed item only is kept.
     """
-    rows = _settled(features(items))
+    rows = settled(features(items))
     chosen = resolve(near_pairs(rows, near), copies(rows))
     names = rows.select("announcement_id", F.col("rank").alias("earlier"), F.col("url").alias("duplicate_of_url"))
     chosen = chosen.join(names, ["announcement_id", "earlier"]).select("announcement_id", F.col("later").alias("rank"), "category", "duplicate_of_url", "similarity")

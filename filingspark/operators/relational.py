@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .tables import settled
+
 
 def latest(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
     """The first row of each key in the given order."""
@@ -49,7 +51,8 @@ def append_ids(log: DataFrame, new: DataFrame, id_name: str, *order: Column) ->
     Rows are ranked inside ranges of the order, whose sizes then shift them: no task sees all rows.
     """
     start = log.agg(F.coalesce(F.max(id_name), F.lit(0))).first()[0]
-    rows = new.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    # The ranges are kept in a table: both uses see the same ones, even if an executor is lost between them.
+    rows = settled(new.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     sizes = rows.groupBy("_p").count()
     before = sizes.withColumn("_b", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_b")

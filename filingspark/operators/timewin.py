@@ -59,12 +59,22 @@ def contained(rows: DataFrame, at: str, merged: DataFrame, keys: list[str], how:
 
 
 def range_counts(points: DataFrame, at: str, ranges: DataFrame, range_id: str) -> DataFrame:
-    """(range_id, n): how many points each range (range_id, s, e) holds, by day buckets; ranges without one count 0."""
-    days = ranges.select(range_id, "s", "e", F.explode(day_buckets(F.col("s"), F.col("e"))).alias("_day"))
-    # Points are summed by instant before they meet the ranges.
-    sums = points.groupBy(F.col(at).alias("_at")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_day", F.to_date("_at"))
-    found = days.join(sums, "_day").where(F.col("_at").between(F.col("s"), F.col("e"))).groupBy(range_id).agg(F.sum("_n").alias("n"))
-    return ranges.select(range_id).join(found, range_id, "left").select(range_id, F.coalesce("n", F.lit(0)).alias("n"))
+    """(range_id, n): how many points each range (range_id, s, e) holds, both ends included.
+
+    Points and both ends of each range are put in order hour by hour; the points up to an end, less those
+    before a start, are the range's. No range meets its points, so many long ranges cost no more than short ones.
+    """
+    none = F.lit(None).cast(dict(ranges.dtypes)[range_id])
+    sums = points.groupBy(F.col(at).alias("_at")).agg(F.count(F.lit(1)).alias("_n")).select("_at", "_n", F.lit(1).alias("_kind"), none.alias(range_id))
+    end = lambda c, kind: ranges.select(F.col(c).alias("_at"), F.lit(0).cast("bigint").alias("_n"), F.lit(kind).alias("_kind"), range_id)
+    rows = sums.unionByName(end("s", 0)).unionByName(end("e", 2)).withColumn("_hour", F.date_trunc("hour", "_at"))
+    hours = rows.groupBy("_hour").agg(F.sum("_n").alias("_n"))  # one row an hour of the whole time
+    past = Window.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select("_hour", F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_hour").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_sum", F.sum("_n").over(inside)).where("_kind <> 1").join(hours, "_hour")
+    reached = F.col("_before") + F.col("_sum")
+    return rows.groupBy(range_id).agg(F.sum(F.when(F.col("_kind") == 2, reached).otherwise(-reached)).alias("n"))
 
 
 def boundary(text: Column, is_end: bool = False, zone: str = ZONE) -> Column:

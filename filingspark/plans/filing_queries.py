@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..operators import dedup, reduce, relational as R, rules, telemetry, timewin
+from ..operators.tables import settled
 from ..sources import views as V
 from .registry import query
 
@@ -222,7 +223,7 @@ near as (select a.announcement_id, a.url as later, b.url as earlier,
 
 @query(f"with {FEATURES_SQL} select later, earlier, round(similarity, 6) as similarity from near where similarity >= 0.7")
 def near_dup_pairs(spark, d):
-    rows = dedup._settled(dedup.features(V.attachments(spark, d)))
+    rows = settled(dedup.features(V.attachments(spark, d)))
     pairs = dedup.near_pairs(rows, 0.7)
     names = lambda n: rows.select("announcement_id", F.col("rank").alias(n), F.col("url").alias(f"{n}_url"))
     pairs = pairs.join(names("later"), ["announcement_id", "later"]).join(names("earlier"), ["announcement_id", "earlier"])

@@ -242,9 +242,14 @@ IDS = "with g as (select user_id, list('e' || event_id order by ts, event_id) as
 
 @query(f"{IDS} select user_id, len(ids) as n, array_to_string(ids[greatest(1, len(ids) - 19):], ',') as seen from g")
 def seen_state(spark, d):
-    rows = V.load(spark, d, "events").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id"))), lambda x: F.concat(F.lit("e"), x["event_id"])).alias("ids"))
-    none = F.array().cast("array<string>")
-    return rows.select("user_id", F.size("ids").cast("bigint").alias("n"), F.array_join(state.remember(none, F.col("ids"), 20), ",").alias("seen"))
+    events = V.load(spark, d, "events")
+    # Two batches of twenty are gathered, the second one overlapping the first; what is older is never remembered.
+    back = F.row_number().over(R.Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc()))
+    late = events.select("user_id", "ts", "event_id", back.alias("back")).where("back <= 30")
+    ids = lambda test: F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("ts", "event_id")))), lambda x: F.concat(F.lit("e"), x["event_id"]))
+    rows = late.groupBy("user_id").agg(ids(F.col("back") > 10).alias("old"), ids(F.col("back") <= 20).alias("new"))
+    rows = rows.join(events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id")
+    return rows.select("user_id", "n", F.array_join(state.remember(F.col("old"), F.col("new"), 20), ",").alias("seen"))
 
 
 @query(f"""{IDS}, p as (select user_id, ids[1:10] as seen, ids[6:30] as new, list_filter(ids, lambda x: cast(substr(x, 2) as bigint) % (user_id % 5 + 1) = 0) as done from g)
