@@ -54,10 +54,16 @@ def work_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clean() -> None:
-    """Remove the work tables of this driver."""
-    while _made:
-        spark, path = _made.pop()
+def tables() -> int:
+    """How many work tables there are; those made later can be removed from there on."""
+    return len(_made)
+
+
+def clean(first: int = 0, last: int | None = None) -> None:
+    """Remove the work tables of this driver, or those from the first to before the last, once nothing reads them any more."""
+    gone = _made[first:last]
+    del _made[first:last]
+    for spark, path in reversed(gone):
         try:
             hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
