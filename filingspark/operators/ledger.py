@@ -111,16 +111,15 @@ def library_windows(windows: DataFrame, announcements: DataFrame, summaries: Dat
     meets each of its points: instants and both ends of every range are ranked together, once.
     """
     from .gates import limited
+    from .timewin import range_counts
 
     rows = windows.groupBy("start_at", "end_at").agg(F.count(F.lit(1)).alias("company_count"), F.max("updated_at").alias("updated_at"), F.array_sort(F.collect_list("ticker")).alias("tickers"))
-    rows = limited(rows, n, F.col("updated_at").desc(), "start_at", "end_at")
-    points = announcements.groupBy(F.col("announced_at").alias("at")).agg(F.count(F.lit(1)).alias("n"))
-    summed = summaries.join(announcements.select("announcement_id", "announced_at"), "announcement_id").groupBy(F.col("announced_at").alias("at")).agg(F.count(F.lit(1)).alias("m"))
-    points = points.join(summed, "at", "left").select("at", "n", F.coalesce("m", F.lit(0)).alias("m"))
-    # The windows are at most n, so they are broadcast to the points.
-    found = points.join(F.broadcast(rows.select("start_at", "end_at")), F.col("at").between(F.col("start_at"), F.col("end_at")))
-    found = found.groupBy("start_at", "end_at").agg(F.sum("n").alias("announcement_count"), F.sum("m").alias("announcement_summary_count"))
-    return rows.join(found, ["start_at", "end_at"], "left").fillna(0, ["announcement_count", "announcement_summary_count"])
+    rows = limited(rows, n, F.col("updated_at").desc(), "start_at", "end_at").withColumn("_id", F.concat_ws("|", "start_at", "end_at"))
+    ranges = rows.select("_id", F.col("start_at").alias("s"), F.col("end_at").alias("e"))
+    summed = summaries.join(announcements.select("announcement_id", "announced_at"), "announcement_id")
+    for points, name in ((announcements, "announcement_count"), (summed, "announcement_summary_count")):
+        rows = rows.join(range_counts(points, "announced_at", ranges, "_id").withColumnRenamed("n", name), "_id")
+    return rows.drop("_id")
 
 
 def company_library(windows: DataFrame, n: int = 2000) -> DataFrame:
