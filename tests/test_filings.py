@@ -235,15 +235,15 @@ def test_coverage_commits_all_gaps_or_none(spark):
 def test_recovery(spark):
     schema = "disclosure_id string, expected_status string, expected_updated_at timestamp, expected_external_id string, ticker string, bucket string, recovery_allowed boolean, declared_attachment_count int, expected_attachment_hashes array<string>"
     record = lambda i, bucket="A", n=1, status="PARTIAL", allowed=False: (i, status, day(1), "e", "BBRI", bucket, allowed, n, ["h"] * min(n, 1))
-    manifest = spark.createDataFrame([record("a"), record("b"), record("c"), record("d"), record("e", "E"), record("f", "F", allowed=True), record("g", n=2), record("h", n=0, status="EXTRACTING"), record("i")], schema)
+    manifest = spark.createDataFrame([record("a"), record("b"), record("c"), record("d"), record("e", "E"), record("f", "F", allowed=True), record("g", n=2), record("h", n=0, status="EXTRACTING"), record("i"), record("j")], schema)
     row = lambda i, n=1, done=False, **k: (i, i, "e", k.get("ticker", "bbri"), k.get("source", recovery.SOURCE), k.get("status", "PARTIAL"), day(1), k.get("scope", True), n, k.get("hashes", ["H"] * min(n, 1)), done)
     current = spark.createDataFrame(
-        [row("a"), ("b", "z", "e2", "X", "other", "READY", day(2), False, 2, [], False), row("d", done=True), row("e"), row("f"), row("g", 2), row("h", 0, status="EXTRACTING"), row("i")],
+        [row("a"), ("b", "z", "e2", "X", "other", "READY", day(2), False, 2, [], False), row("d", done=True), row("e"), row("f"), row("g", 2), row("h", 0, status="EXTRACTING"), row("i"), row("j")],
         "row_id string, disclosure_id string, external_id string, ticker string, source_id string, processing_status string, updated_at timestamp, is_stock_scope boolean, declared_attachment_count int, attachment_hashes array<string>, analysis_present boolean",
     )
     file = lambda i, url, text="ref", down="DOWNLOADED", out="EXTRACTED", there=None, local=None: (i, i, url, "h", down, out, text, there, local)
     files = spark.createDataFrame(
-        [file("a", "u"), file("f", "u", down="PENDING"), file("g", "u"), file("g", "v", None, out="PENDING", there=True, local="h"), file("i", "u", there=True, local="x")],
+        [file("a", "u"), file("f", "u", down="PENDING"), file("g", "u"), file("g", "v", None, out="PENDING", there=True, local="h"), file("i", "u", there=True, local="x"), file("j", "u", None, out="PENDING", there=True, local="h")],
         "row_id string, disclosure_id string, source_url string, sha256 string, download_status string, extraction_status string, extracted_text_ref string, local_exists boolean, local_sha256 string",
     )
     found = {r.disclosure_id: r.reasons for r in recovery.mismatches(manifest, current).collect()}
@@ -253,7 +253,7 @@ def test_recovery(spark):
     assert out["b"][:2] == out["c"][:2] == ("PRECONDITION_FAILED", "MANUAL_REVIEW")
     assert out["d"][:2] == ("ALREADY_READY", "NOOP") and out["e"][:2] == ("HELD", "HELD")
     assert out["f"] == ("READY", "ATTACHMENT_DOWNLOAD", 2, 3)
-    assert out["g"] == ("READY", "EXTRACTION_RESUME", 0, 2)
+    assert out["g"] == ("READY", "AI_ONLY_RETRY", 0, 1) and out["j"] == ("READY", "EXTRACTION_RESUME", 0, 1)
     assert out["h"][:2] == ("READY", "METADATA_PROCESS_RESUME")
     assert out["i"][:2] == ("PRECONDITION_FAILED", "MANUAL_REVIEW")
     cap = recovery.first_cap(spark.createDataFrame([(5, 1), (6, 1)], "requests int, attachments int"), {"requests": 10, "attachments": 1}).first()
