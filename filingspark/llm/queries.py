@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing
+from . import licenses, mixing, top_k
+from .conversations import conversation_repair
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .hmm import lm_scores
@@ -14,6 +15,7 @@ from .pii import pii_digest
 from .simhash import simhash_components
 from .token_counts import token_counts
 from .toxicity import toxicity
+from .variants import variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,8 +102,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair(table(spark, sf_dir, "conversations"))
+
+
+NUMBERED = (op1_mixing, op2_decontamination, op3_language_id, op4_toxicity, op5_exact_dedup, op6_lm_scores, op7_pii, op8_licenses, op9_token_counts, op10_simhash, op11_top_k, op12_variants, op13_conversation_repair)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_decontamination, op3_language_id, op4_toxicity, op5_exact_dedup, op6_lm_scores, op7_pii, op8_licenses, op9_token_counts, op10_simhash)}
+    return {f.__name__: f for f in NUMBERED}
 
 
 EXACT_DEDUP = r"""
@@ -154,4 +171,4 @@ select doc_id, domain, lang, source, epoch::integer, n_tokens, least(n_tokens, r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing_sql(), "op5_exact_dedup": EXACT_DEDUP, "op8_licenses": licenses.oracle_sql()}
+    return {"op1_mixing": mixing_sql(), "op5_exact_dedup": EXACT_DEDUP, "op8_licenses": licenses.oracle_sql(), "op11_top_k": top_k.ORACLE}
