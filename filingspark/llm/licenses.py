@@ -110,8 +110,12 @@ VERBS = ("licensed under", "released under", "distributed under", "available und
 COMMONS = (("BY", "attribution"), ("BY-SA", "attribution-sharealike"), ("BY-NC", "attribution-noncommercial"), ("BY-ND", "attribution-noderivatives"), ("BY-NC-SA", "attribution-noncommercial-sharealike"), ("BY-NC-ND", "attribution-noncommercial-noderivatives"))
 
 #: Marks of comments and lists at the beginning of a line, and of comments at its end.
-BEGIN = r"""(^|\n) *(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|!+|<!--|"+ |- |[0-9]{1,2}[.)] |rem |dnl ) *)+"""
+MARKS = r"""(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|!+|<!--|"+ |- |[0-9]{1,2}[.)] |rem |dnl ) *"""
+BEGIN = rf"(^|\n) *(?:{MARKS})+"
 CLOSE = r" *(?:\*+/|-->) *(\n|$)"
+#: The same one mark after the other and from a run's beginning only, for Java's matcher: a repeated group recurses there, and a run would be tried from each of its places.
+NEXT_MARK = rf"(?:^|(?<=\n)|\G) *{MARKS}"
+LAST_MARK = r" ?(?:(?<!\*)\*+/|-->) ?(\n|$)"
 #: Characters that normalisation drops: all but ASCII letters and digits and some marks.
 NOISE = r"""[^a-z0-9 .,;:/()"'\n-]+"""
 #: A full stop that ends a sentence, and an empty line.
@@ -168,7 +172,8 @@ KNOWN, RULES = dictionary()
 def normalised(text: Column) -> Column:
     """Lower case, marks and decoration dropped, single spaces; line breaks stay and null is empty."""
     t = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\t\r\f\x0B]+", " ")
-    t = F.regexp_replace(F.regexp_replace(t, BEGIN, "$1"), CLOSE, "$1")
+    t = F.regexp_replace(t, " +", " ")
+    t = F.regexp_replace(F.regexp_replace(t, NEXT_MARK, ""), LAST_MARK, "$1")
     t = F.regexp_replace(F.regexp_replace(t, NOISE, ""), " +", " ")
     return F.regexp_replace(t, r" ?\n ?", "\n")
 

@@ -30,6 +30,8 @@ SEPARATORS = " ._-"
 AS_LETTER, DROP, SEPARATOR_DROP, SEPARATOR_KEEP, SHORTEN = 1.5, 9.0, 0.5, 1.5, 1.0
 #: Bytes of spans, their readings and what Python needs to hold them, that a worker remembers.
 MEMO, ENTRY = 32 << 20, 200
+#: Characters of a span that are decoded together.
+PART = 1 << 16
 
 N = 28  # boundary, a to z, any other letter
 _CLASS = np.zeros(256, np.uint8)
@@ -44,18 +46,31 @@ _SEPARATOR = np.isin(np.arange(256), [ord(c) for c in SEPARATORS])
 #: Letters as they are in lower case, all else as spaces.
 _PLAIN = bytes(int(_LOWER[i]) if _LETTER[i] else 32 for i in range(256))
 _ONE = rb"(?:[a-zA-Z0-9@$!|+*]|[\xc2-\xf4][\x80-\xbf]+)"
-_SPACED = re.compile(rb"(?<!\S)" + _ONE + rb"(?:[ ._-]+" + _ONE + rb")+(?![^\s.,;:!?])")
+_CHAIN = re.compile(_ONE + rb"(?:[ ._-]+" + _ONE + rb")*+")
+_RUN = re.compile(r"(.)\1*+", re.S)
 _TOKEN = re.compile(rb"\S+")
 SEGMENT = 1 << 20
 
 
+def classes(text: bytes) -> np.ndarray:
+    """The class of each character, as the lattice reads it: a letter beyond ASCII is one character, whatever its bytes."""
+    if text.isascii():
+        return _CLASS[np.frombuffer(text, np.uint8)]
+    code = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    out = _CLASS[np.minimum(code, 127)]
+    other = np.flatnonzero(code > 127)
+    found, place = np.unique(code[other], return_inverse=True)
+    out[other] = np.array([_class(chr(c)) if chr(c).isalpha() else 0 for c in found.tolist()], np.uint8)[place]
+    return out
+
+
 def trigram_counts(text: bytes) -> np.ndarray:
     """Counts of character triples; text is read as classes, with a boundary at each end."""
     out = np.zeros(N**3, np.int64)
-    for at in range(0, len(text) + 1, SEGMENT):
-        c = _CLASS[np.frombuffer((b" " if at == 0 else b"") + text[max(0, at - 2 + (at == 0) * 2) : at + SEGMENT] + (b" " if at + SEGMENT >= len(text) else b""), np.uint8)].astype(np.int32)
-        if len(c) > 2:
-            out += np.bincount(c[:-2] * (N * N) + c[1:-1] * N + c[2:], minlength=N**3)
+    whole = np.concatenate([np.zeros(1, np.uint8), classes(text), np.zeros(1, np.uint8)])
+    for at in range(0, len(whole) - 2, SEGMENT):
+        c = whole[at : at + SEGMENT + 2].astype(np.int32)
+        out += np.bincount(c[:-2] * (N * N) + c[1:-1] * N + c[2:], minlength=N**3)
     return out
 
 
@@ -75,7 +90,7 @@ class CharacterModel:
     def decode(self, span: bytes) -> bytes:
         """The cheapest reading of a span, in lower case; words are parted by spaces."""
         if (found := self.seen.get(span)) is None:
-            found = viterbi(lattice(span.decode("utf-8", "replace").lower()), self.costs).encode()
+            found = b"".join(viterbi(steps, self.costs).encode() for steps in lattices(span.decode("utf-8", "replace").lower()))
             size = 2 * len(span) + ENTRY
             if self.held + size > MEMO:
                 self.seen.clear()
@@ -86,6 +101,15 @@ class CharacterModel:
         return found
 
 
+def lattices(span: str) -> Iterator[list[list[tuple[str, float]]]]:
+    """The lattice of a span; that of a very long one in parts, each decoded alone, so that paths stay small."""
+    at = 0
+    while at < len(span):
+        end = _RUN.match(span, min(at + PART, len(span)) - 1).end()  # not inside a run
+        yield lattice(span[at:end])
+        at = end
+
+
 def lattice(span: str) -> list[list[tuple[str, float]]]:
     """For each run of one character, the strings it may stand for, with the channel's cost."""
     out = []
@@ -142,6 +166,28 @@ class _Path:
         return False
 
 
+def spaced_end(text: bytes, i: int) -> tuple[int, int]:
+    """(end, end of the chain): where single characters spaced apart from i on end before a space, a stop or the end, at the second or later; i if nowhere.
+
+    No other end of the chain is looked at twice: what begins further on in it ends there too or nowhere.
+    """
+    m = _CHAIN.match(text, i)
+    if not m:
+        return i, i
+    j = m.end()
+    while True:
+        k = j - 1
+        while text[k] & 0xC0 == 0x80:
+            k -= 1
+        if k <= i:
+            return i, m.end()
+        if j == len(text) or text[j] in b" \t\n\r\x0b\x0c.,;:!?":
+            return j, m.end()
+        while text[k - 1] in b" ._-":
+            k -= 1
+        j = k
+
+
 def suspects(text: bytes) -> list[tuple[int, int]]:
     """All spans that a lattice can rewrite, in order, apart from each other: tokens with a sign beside a letter or
     sign, a mark inside or a letter twice, and single characters spaced apart by any number of separators."""
@@ -158,14 +204,14 @@ def suspects(text: bytes) -> list[tuple[int, int]]:
     hits |= (at(sign, 0) & at(some, 1)) | (at(some, 0) & at(sign, 1))
     hits |= at(some, -1) & at(mark, 0) & ~at(space, 0) & ~at(space, 1)
     spaced = at(space, -1) & ~at(space, 0) & (at(mark, 1) | (at(b, 0) >= 192))
-    out, end = [], 0
+    out, end, tried = [], 0, 0
     for i in np.flatnonzero(hits | spaced).tolist():
         if i < end:
             continue
-        if spaced[i] and (m := _SPACED.match(text, i)):
-            s, e = m.span()
-        else:
-            s = i
+        s = e = i
+        if spaced[i] and i >= tried:
+            e, tried = spaced_end(text, i)
+        if e == i:
             while s > end and text[s - 1] not in b" \t\n\r\x0b\x0c":
                 s -= 1
             e = _TOKEN.match(text, s).end()
@@ -174,19 +220,36 @@ def suspects(text: bytes) -> list[tuple[int, int]]:
     return out
 
 
-_TRIM = re.compile(rb"^[\"'(\[]+|[\"')\].,;:?!]+$|([^\w\s])\1{2,}$")
+_BEFORE, _AFTER = b"\"'([", b"\"')].,;:?!"
+_MARK = ~_SPACE & ~np.isin(np.arange(256), [ord(c) for c in "0123456789_abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+
+
+def trimmed(token: bytes) -> bytes:
+    """Without brackets, quotes and stops at its ends, and without a mark at its end that is there three times or more."""
+    token = token.lstrip(_BEFORE)
+    while token:
+        less = token.rstrip(_AFTER)
+        if less and _MARK[less[-1]]:
+            shorter = less.rstrip(less[-1:])
+            if len(less) - len(shorter) > 2:
+                less = shorter
+        if len(less) == len(token):
+            break
+        token = less
+    return token
 
 
 def restore(text: bytes, model: CharacterModel) -> bytes:
-    """The text with its suspect spans decoded; marks at their ends go first."""
+    """The text with its suspect spans decoded, marks at their ends first taken off.
+
+    A span stays beside its reading: a plain word that a lattice misreads (a name, a word of another language) still counts.
+    """
     spans = suspects(text)
     if not spans:
         return text
     out, end = [], 0
     for s, e in spans:
-        core = text[s:e]
-        while (cut_ := _TRIM.sub(b"", core)) != core:
-            core = cut_
+        core = trimmed(text[s:e])
         out += [text[end:s], model.decode(core), b" ", core, b" "]
         end = e
     return b"".join([*out, text[end:]])

@@ -15,6 +15,9 @@ from filingspark.llm.common import hash_mod
 from .conftest import WORDS, make_docs, sentence
 
 
+TRIM = re.compile(rb"^[\"'(\[]+|[\"')\].,;:?!]+$|([^\w\s])\1{2,}$")
+
+
 def shingles(text, width=5):
     w = text.lower().split()
     return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
@@ -118,7 +121,7 @@ def test_toxicity_scores_of_the_whole_query(spark):
         text, end = texts[r.doc_id], 0
         for s, e in toxicity.suspects(text):
             core = text[s:e]
-            while (less := toxicity._TRIM.sub(b"", core)) != core:
+            while (less := TRIM.sub(b"", core)) != core:
                 core = less
             read = toxicity.viterbi(toxicity.lattice(core.decode().lower()), characters.costs).encode()
             restored += [text[end:s], read, b" ", core, b" "]
