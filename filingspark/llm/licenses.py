@@ -113,9 +113,9 @@ COMMONS = (("BY", "attribution"), ("BY-SA", "attribution-sharealike"), ("BY-NC",
 MARKS = r"""(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|!+|<!--|"+ |- |[0-9]{1,2}[.)] |rem |dnl ) *"""
 BEGIN = rf"(^|\n) *(?:{MARKS})+"
 CLOSE = r" *(?:\*+/|-->) *(\n|$)"
-#: The same one mark after the other and from a run's beginning only, for Java's matcher: a repeated group recurses there, and a run would be tried from each of its places.
-NEXT_MARK = rf"(?:^|(?<=\n)|\G) *{MARKS}"
-LAST_MARK = r" ?(?:(?<!\*)\*+/|-->) ?(\n|$)"
+#: The same for Java's matcher, which calls itself for each round of a group unless that is possessive, and would try a run of stars from each of its places.
+BEGIN_ONCE = BEGIN + "+"
+CLOSE_ONCE = r" ?(?:(?<!\*)\*+/|-->) ?(\n|$)"
 #: Characters that normalisation drops: all but ASCII letters and digits and some marks.
 NOISE = r"""[^a-z0-9 .,;:/()"'\n-]+"""
 #: A full stop that ends a sentence, and an empty line.
@@ -173,7 +173,7 @@ def normalised(text: Column) -> Column:
     """Lower case, marks and decoration dropped, single spaces; line breaks stay and null is empty."""
     t = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\t\r\f\x0B]+", " ")
     t = F.regexp_replace(t, " +", " ")
-    t = F.regexp_replace(F.regexp_replace(t, NEXT_MARK, ""), LAST_MARK, "$1")
+    t = F.regexp_replace(F.regexp_replace(t, BEGIN_ONCE, "$1"), CLOSE_ONCE, "$1")
     t = F.regexp_replace(F.regexp_replace(t, NOISE, ""), " +", " ")
     return F.regexp_replace(t, r" ?\n ?", "\n")
 
