@@ -232,8 +232,8 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 ORACLE = """
-with x as (select vec_id, list_transform(embedding, e -> floor(1024 * e::double)::bigint) as v from embeddings
-  where vec_id is not null and embedding is not null and len(list_filter(embedding, e -> e is null or not isfinite(e))) = 0),
+with x as (select vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0),
 c as (select vec_id, unnest(v) as value, unnest(range(1, len(v) + 1)) as place from x),
 q as (select * from c where vec_id % 100 = 0),
 s as (select q.vec_id as query_id, c.vec_id, sum(q.value * c.value)::bigint as score from q join c on q.place = c.place and q.vec_id <> c.vec_id group by all),
