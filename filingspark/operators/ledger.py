@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .relational import last_value, latest, upsert
+from .store import Store
+from .tables import settled
 
 #: Events that a run keeps once it has more than so many.
 RING, KEPT = 5000, 4000
@@ -23,6 +26,15 @@ def upsert_attachments(base: DataFrame, batch: DataFrame) -> tuple[DataFrame, Da
     return upsert(base, batch, ["url"]), flips
 
 
+def write_attachments(store: Store, batch: DataFrame) -> DataFrame:
+    """upsert_attachments() into a store of attachments by url: only the buckets of the batch's urls are read and written. Returns the announcements that flipped."""
+    batch = settled(last_value(batch, ["url"], "_batch").drop("_batch").withColumn("duplicate_of", F.lit(None).cast("string")))
+    before = store.matching(batch).select("url", F.col("selected").alias("_was"))
+    flips = settled(batch.join(before, "url").where(F.col("selected") != F.col("_was")).select("announcement_id").distinct())
+    store.upsert(batch)
+    return flips
+
+
 def delete_scope(rows: DataFrame, scopes: DataFrame, key: str) -> DataFrame:
     """rows without those of the given scopes."""
     return rows.join(scopes.select(key).distinct(), key, "left_anti")
@@ -66,23 +78,15 @@ def attachment_state(wanted: DataFrame, attachments: DataFrame) -> DataFrame:
 
 def ring(events: DataFrame, key: str, seq: str) -> DataFrame:
     """The events that a run still holds: it drops to its last KEPT each time it has more than RING."""
-    n = F.max(seq).over(_by(key))
+    n = F.max(seq).over(Window.partitionBy(key))
     # The first trim comes with event RING + 1, each later one after RING - KEPT + 1 more.
     trims = F.when(n > RING, F.floor((n - RING - 1) / (RING - KEPT + 1)) + 1).otherwise(0)
     last_trim = RING + 1 + (trims - 1) * (RING - KEPT + 1)
     return events.withColumn("_from", F.when(trims > 0, last_trim - KEPT + 1).otherwise(0)).where(F.col(seq) >= F.col("_from")).drop("_from")
 
 
-def _by(key: str):
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy(key)
-
-
 def tail_lines(lines: DataFrame, key: str, number: str, text: str, n: int, schema: str) -> DataFrame:
     """The last n lines of each file, parsed; what isn't JSON of the schema is passed over."""
-    from pyspark.sql.window import Window
-
     last = F.row_number().over(Window.partitionBy(key).orderBy(F.col(number).desc()))
     rows = lines.withColumn("_n", last).where(F.col("_n") <= n).drop("_n")
     return rows.withColumn("event", F.from_json(text, schema, {"mode": "PERMISSIVE"})).where(F.col("event").isNotNull() & F.json_object_keys(text).isNotNull()).drop(text)
@@ -150,8 +154,6 @@ def refinement_plan(announcements: DataFrame, attachments: DataFrame, cached: Da
     cached: (url, has_file, has_text). ready: every selected source of the announcement is there as a file or
     a text; otherwise no model is called for any of them.
     """
-    from pyspark.sql.window import Window
-
     from . import filings
     from .rules import any_phrase
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scans import Scan, numbered
 from .tables import settled
 
 
@@ -92,22 +93,20 @@ def top_two(scores: DataFrame, key: list[str], score: str, item: str, least: flo
 
 def running_cap(rows: DataFrame, key: list[str], order: list[str], amount: str, cap: int) -> DataFrame:
     """status of each row against a budget: done until the first row that would exceed it, that one over, all later deferred."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_sum", F.sum(amount).over(w))
-    over = F.sum((F.col("_sum") > cap).cast("int")).over(w)
-    return rows.withColumn("_over", over).withColumn("status", F.when(F.col("_over") == 0, "done").when(F.col("_over") == 1, "over").otherwise("deferred")).drop("_sum", "_over")
+    scan = Scan(rows, key, order).running("_sum", F.col(amount)).settle().running("_over", (F.col("_sum") > cap).cast("int"))
+    return scan.done().withColumn("status", F.when(F.col("_over") == 0, "done").when(F.col("_over") == 1, "over").otherwise("deferred")).drop("_sum", "_over")
 
 
 def breaker(rows: DataFrame, key: list[str], order: list[str], failed: Column) -> DataFrame:
     """status: done before the first failure, failed at it, deferred after."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_f", F.sum(failed.cast("int")).over(w)).withColumn("_first", failed & (F.col("_f") == 1))
-    return rows.withColumn("status", F.when(F.col("_f") == 0, "done").when(F.col("_first"), "failed").otherwise("deferred")).drop("_f", "_first")
+    rows = Scan(rows, key, order).running("_f", failed.cast("int")).done()
+    return rows.withColumn("status", F.when(F.col("_f") == 0, "done").when(failed & (F.col("_f") == 1), "failed").otherwise("deferred")).drop("_f")
 
 
 def round_robin(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """turn: each key's first row, then each key's second, and so on."""
-    return rows.withColumn("turn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    rows = numbered(rows, [key], order, "turn")
+    return rows.withColumn("turn", F.col("turn").cast("int"))
 
 
 def weighted_order(rows: DataFrame, stage: str, weights: dict[str, int], order: list[str]) -> DataFrame:

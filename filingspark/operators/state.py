@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import Store
+from .tables import settled
 from .timewin import merge_intervals
 
 #: Ids that a checkpoint remembers.
@@ -33,6 +35,15 @@ def commit_coverage(store: DataFrame, gaps: DataFrame, runs: DataFrame) -> DataF
     return merge_intervals(store.select("scope", "s", "e").unionByName(gaps.join(whole, "scope", "left_semi").select("scope", "s", "e")), "scope")
 
 
+def save_coverage(store: Store, gaps: DataFrame, runs: DataFrame) -> list[int]:
+    """commit_coverage() into a store of ranges by scope: the ranges of scopes whose run was whole are replaced, no others are read. Returns the buckets written."""
+    scopes = runs.where("complete and errors = 0 and not filtered").select("scope").distinct()
+    added = gaps.join(scopes, "scope", "left_semi").select("scope", "s", "e")
+    scopes = settled(added.select("scope").distinct())
+    there = store.matching(scopes).join(scopes, "scope", "left_semi")
+    return store.replace(scopes, merge_intervals(there.unionByName(added), "scope"))
+
+
 def proves(ranges: DataFrame, requests: DataFrame, key: str) -> DataFrame:
     """requests (key, a, b) with `proved`: one merged range holds the whole request."""
     merged = merge_intervals(ranges, key)

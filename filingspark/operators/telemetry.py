@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .scans import Scan
+
+#: Rows of a key that are summed up together first.
+BLOCK = 1000
 
 
 def stage_timing(events: DataFrame, stage: str, elapsed: str) -> DataFrame:
@@ -28,10 +34,21 @@ def ordered_fold(df: DataFrame, key: str, order: str, values: list[str], zero: C
 
 
 def ewma(df: DataFrame, key: str, order: list[str], value: str, new: float = 0.22) -> DataFrame:
-    """(key, ewma): 0.22 of each value and 0.78 of the state; a state of 0 or less takes the value."""
-    low = F.greatest(F.lit(0.0), F.col(value))
-    df = df.select(key, F.struct(*order).alias("_o"), low.alias("_v"))
-    return ordered_fold(df, key, "_o", ["_v"], F.lit(0.0), lambda acc, x: F.when(acc <= 0, x["_v"]).otherwise(new * x["_v"] + (1 - new) * acc)).withColumnRenamed("state", "ewma")
+    """(key, ewma): `new` of each value and the rest of the state; a state of 0 or less takes the value.
+
+    Values below 0 count as 0, so the state is 0 up to the first value above 0, which it takes, and above 0 from
+    there on. Each later value then adds its part, less by the same factor for each row after it: a sum, over blocks
+    of rows first, which needs no fold over a key's rows. (A fold in floating point would fall to 0 after some 3,000 values of 0.)
+    """
+    low = F.greatest(F.lit(0.0), F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
+    scan = Scan(df.select(key, F.struct(*order).alias("_order"), low.alias("_v")), [key], ["_order"])
+    rows = scan.running("_place", F.lit(1)).running("_above", (F.col("_v") > 0).cast("int")).done()
+    part = F.when((F.col("_above") == 1) & (F.col("_v") > 0), F.col("_v")).otherwise(new * F.col("_v"))
+    end = (F.floor((F.col("_place") - 1) / BLOCK) + 1) * BLOCK
+    kept = lambda n: F.pow(F.lit(1 - new), n)
+    blocks = rows.groupBy(key, end.alias("_end")).agg(F.sum(part * kept(end - F.col("_place"))).alias("_sum"), F.max("_place").alias("_last"))
+    n = F.max("_last").over(Window.partitionBy(key))
+    return blocks.withColumn("_n", n).groupBy(key).agg(F.sum(F.col("_sum") * kept(F.col("_n") - F.col("_end"))).alias("ewma"))
 
 
 def latency(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scans import Scan
+
 #: The zone that boundaries without one are read in.
 ZONE = "Asia/Jakarta"
 
@@ -19,11 +21,11 @@ def in_window(df: DataFrame, at: str, start: str, end: str) -> DataFrame:
 def merge_intervals(ranges: DataFrame, key: str, start: str = "s", end: str = "e") -> DataFrame:
     """Islands of each key: ranges that overlap or touch become one. Ranges that end before they start are an error."""
     ranges = ranges.select(key, start, F.when(F.col(end) < F.col(start), F.raise_error(F.lit("a range ends before it starts"))).otherwise(F.col(end)).alias(end))
-    order = Window.partitionBy(key).orderBy(start, end)
-    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = ranges.withColumn("_new", F.when(reached.isNull() | (F.col(start) > reached), 1).otherwise(0))
-    marked = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(key, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+    scan = Scan(ranges, [key], [start, end]).running("_reached", F.col(end), F.max, before=True).settle()
+    fresh = F.col("_reached").isNull() | (F.col(start) > F.col("_reached"))
+    # An island is known by its first start, the largest one so far that nothing before reaches.
+    rows = scan.running("_island", F.when(fresh, F.col(start)), F.max).done("_reached")
+    return rows.groupBy(key, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
 def subtract_intervals(requests: DataFrame, merged: DataFrame, key: str) -> DataFrame:
@@ -39,23 +41,23 @@ def subtract_intervals(requests: DataFrame, merged: DataFrame, key: str) -> Data
     return middle.unionByName(tail.where("lo < hi or (lo = hi and c = 0)").drop("c"))
 
 
-def day_buckets(start: Column, end: Column) -> Column:
-    """The days that a range touches."""
-    return F.sequence(F.to_date(start), F.to_date(end))
-
-
-def contained(rows: DataFrame, at: str, merged: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Semi or anti join of rows with the ranges (keys, s, e) that hold their instant.
+def contained(rows: DataFrame, at: str, ranges: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join of rows with the ranges (keys, s, e) that hold their instant, both ends included.
 
-    Ranges are listed under each day they touch, so that this is an equi join by day, not a nested loop.
-    Merged ranges are apart, so a row meets few of a day's.
+    One sweep over points and starts in order: a point is held if the furthest end of the ranges that have started
+    is not before it. A range is one row however long it is. A null key or instant is in no range.
     """
-    days = merged.select(*keys, "s", "e", F.explode(day_buckets(F.col("s"), F.col("e"))).alias("_day")).alias("r")
-    rows = rows.withColumn("_day", F.to_date(at)).alias("l")
-    on = F.col("l._day") == F.col("r._day")
-    for k in keys:
-        on = on & (F.col(f"l.{k}") == F.col(f"r.{k}"))
-    return rows.join(days, on & F.col(f"l.{at}").between(F.col("r.s"), F.col("r.e")), how).drop("_day")
+    names = rows.columns
+    kind = dict(rows.dtypes)[at]
+    points = rows.select(F.struct(*names).alias("_row"), *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_end"))
+    none = F.lit(None).cast(points.schema["_row"].dataType)
+    starts = ranges.select(none.alias("_row"), *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("s").cast(kind).alias("_at"), F.lit(0).alias("_kind"), F.col("e").cast(kind).alias("_end"))
+    own = [f"_key{i}" for i in range(len(keys))]
+    scan = Scan(starts.unionByName(points), own, ["_at", "_kind"]).running("_reached", F.col("_end"), F.max)
+    held = F.coalesce(F.col("_reached") >= F.col("_at"), F.lit(False))
+    for k in own:
+        held = held & F.col(k).isNotNull()
+    return scan.done().where((F.col("_kind") == 1) & (held if how == "left_semi" else ~held)).select("_row.*")
 
 
 def range_counts(points: DataFrame, at: str, ranges: DataFrame, range_id: str) -> DataFrame:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..operators import dedup, reduce, relational as R, rules, telemetry, timewin
+from ..operators.scans import numbered
 from ..operators.tables import settled
 from ..sources import views as V
 from .registry import query
@@ -370,8 +370,8 @@ def fair_order(spark, d):
 
 @query(f"with {V.AUDIT}, s as (select *, row_number() over (partition by scope order by started_at, audit_id) as seq from audit) select scope, audit_id, cast(seq as integer) as seq from s where seq > 20")
 def event_cursor(spark, d):
-    rows = V.audits(spark, d).withColumn("seq", F.row_number().over(Window.partitionBy("scope").orderBy("started_at", "audit_id")))
-    return rows.where("seq > 20").select("scope", "audit_id", "seq")
+    rows = numbered(V.audits(spark, d), ["scope"], ["started_at", "audit_id"], "seq")
+    return rows.where("seq > 20").select("scope", "audit_id", F.col("seq").cast("int").alias("seq"))
 
 
 @query(r"""select doc_id, length(regexp_replace(regexp_replace(regexp_replace(text, '[ \t]+', ' ', 'g'), '\n{4,}', chr(10) || chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) as n,

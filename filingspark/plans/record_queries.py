@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import render as X, text as T, values as U
 from ..operators import collect, contracts, gates, ledger, reduce, relational as R, rules, schema, state, timewin
+from ..operators.store import Store
 from ..sources import paging, snapshots, views as V
+from ..streaming.state import shared_folder
 from .filing_queries import PLAIN_TITLE, _SIG
 from .registry import query
 
@@ -310,8 +312,10 @@ def attachment_upsert(spark, d):
     base = docs.select(*row(k, k % 2 == 0), F.lit("old").alias("duplicate_of"))
     # Each batch row comes twice, the last one holds.
     batch = docs.select(*row(k * 2, k % 3 == 0), F.lit(1).alias("_batch")).unionByName(docs.select(*row(k * 2, k % 3 != 0), F.lit(0).alias("_batch")))
-    out, flips = ledger.upsert_attachments(base, batch)
-    return out.join(flips.withColumn("flipped", F.lit(True)), "announcement_id", "left").select("url", "announcement_id", "selected", "duplicate_of", F.coalesce("flipped", F.lit(False)).alias("flipped"))
+    store = Store(spark, shared_folder(spark, "attachments"), ["url"], "url string, announcement_id bigint, selected boolean, duplicate_of string", 16)
+    store.upsert(base)
+    flips = ledger.write_attachments(store, batch)
+    return store.read().join(flips.withColumn("flipped", F.lit(True)), "announcement_id", "left").select("url", "announcement_id", "selected", "duplicate_of", F.coalesce("flipped", F.lit(False)).alias("flipped"))
 
 
 INVALID_SQL = """

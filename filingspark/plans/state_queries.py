@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, export, filings, recovery, reduce, relational as R, rules, state
+from ..operators import audit, export, filings, recovery, reduce, relational as R, rules, state, timewin
+from ..operators.store import Store
 from ..sources import extract, views as V
 from ..streaming import state as streams
 from .registry import query
@@ -273,7 +274,10 @@ def coverage_commit(spark, d):
     store = ev.where("event_id % 2 = 0").select("scope", F.col("ts").alias("s"), F.expr("ts + interval 1 hour").alias("e"))
     gaps = ev.where("event_id % 2 = 1").select("scope", F.col("ts").alias("s"), F.expr("ts + interval 2 hours").alias("e"))
     runs = ev.select("scope").distinct().select("scope", (F.col("scope") % 3 != 0).alias("complete"), F.lit(0).alias("errors"), F.lit(False).alias("filtered"))
-    return state.commit_coverage(store, gaps, runs)
+    kept = Store(spark, streams.shared_folder(spark, "coverage"), ["scope"], ", ".join(f"{n} {t}" for n, t in store.dtypes), 16)
+    kept.replace(store.select("scope").distinct(), timewin.merge_intervals(store, "scope"))
+    state.save_coverage(kept, gaps, runs)
+    return kept.read()
 
 
 @query("""
@@ -423,14 +427,20 @@ select doc_id, quality, toxic from labels where doc_id not in (select doc_id fro
 def upsert_rows(spark, d):
     labels = V.load(spark, d, "labels").select("doc_id", "quality", "toxic")
     batch = labels.select((F.col("doc_id") * 2).alias("doc_id"), (F.col("quality") + 10).alias("quality"), "toxic")
-    return R.upsert(labels, batch, ["doc_id"])
+    store = Store(spark, streams.shared_folder(spark, "labels"), ["doc_id"], "doc_id bigint, quality int, toxic int", 16)
+    store.upsert(labels)
+    store.upsert(batch)
+    return store.read()
 
 
 @query("with p as (select doc_id, case when doc_id % 2 = 0 then doc_id % 5 end as toxic from labels where doc_id % 3 = 0) select l.doc_id, l.quality, case when p.doc_id is not null then p.toxic else l.toxic end::integer as toxic from labels l left join p using (doc_id)")
 def patch_rows(spark, d):
     labels = V.load(spark, d, "labels").select("doc_id", "quality", "toxic")
     changes = labels.where("doc_id % 3 = 0").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id") % 5).cast("int").alias("toxic"))
-    return R.patch(labels, changes, ["doc_id"]).withColumn("toxic", F.col("toxic").cast("int"))
+    store = Store(spark, streams.shared_folder(spark, "labels"), ["doc_id"], "doc_id bigint, quality int, toxic int", 16)
+    store.upsert(labels)
+    store.patch(changes)
+    return store.read()
 
 
 @query("select o_orderkey, (row_number() over (order by o_orderdate, o_orderkey) + (select max(event_id) from events))::bigint as audit_id from orders")
