@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import claim_tokens, strings
 from .relational import top_two
+from .scans import numbered
 
 #: Words that don't count in claims.
 STOP = ("yang", "dan", "atau", "dari", "pada", "untuk", "dengan", "dalam", "ini", "itu", "the", "and", "for", "from", "with", "this", "that", "sebagai", "akan", "telah", "oleh", "serta", "atas", "ke", "di", "a", "an", "of", "to", "is", "are")
@@ -71,6 +72,55 @@ def timeline(*parts: tuple[str, DataFrame, str]) -> DataFrame:
     return out.withColumn("place", F.row_number().over(Window.partitionBy("scope").orderBy("at", "kind", "ref")))
 
 
+EVENT = "scope string, at timestamp_ntz, stage string, label string, announcement_id string, url string, status string, elapsed double, prompt_tokens bigint, completion_tokens bigint, audit_id bigint, end_at timestamp_ntz"
+
+
+def process(announcements: DataFrame, attachments: DataFrame, companies: DataFrame, calls: DataFrame) -> DataFrame:
+    """What happened to each company's rows, of all eight kinds, with `place` by time within the scope (ties by stage, label, ids).
+
+    announcements: scope, announcement_id, title, announced_at, fetched_at, summary_at; attachments: scope, announcement_id, url,
+    filename, downloaded_at, extracted_at, summary_at; companies: scope, ticker, updated_at; calls of the model: scope, audit_id,
+    stage, filename, announcement_id, status, started_at, finished_at, elapsed, prompt_tokens, completion_tokens. The first two events
+    of an announcement, a company's and a call's are there even without a time, which comes first; others need one.
+    """
+    empty = announcements.sparkSession.createDataFrame([], EVENT)
+
+    def events(rows: DataFrame, at: str, stage: Column | str, label: Column | str, always: bool, **more: str) -> DataFrame:
+        rows = rows if always else rows.where(F.col(at).isNotNull())
+        stage = F.lit(stage) if isinstance(stage, str) else stage
+        label = F.col(label) if isinstance(label, str) else label
+        cols = {"scope": F.col("scope"), "at": F.col(at), "stage": stage, "label": label} | {n: F.col(c) for n, c in more.items()}
+        return rows.select(*[cols[f.name].cast(f.dataType).alias(f.name) if f.name in cols else F.lit(None).cast(f.dataType).alias(f.name) for f in empty.schema])
+
+    one, file = {"announcement_id": "announcement_id"}, {"announcement_id": "announcement_id", "url": "url"}
+    companies = companies.withColumn("label", F.concat("ticker", F.lit(" company digest")))
+    named = calls.join(companies.select(F.col("scope").alias("_s"), "ticker"), F.col("scope") == F.col("_s"), "left")
+    parts = [
+        events(announcements, "announced_at", "idx-announced", "title", True, **one),
+        events(announcements, "fetched_at", "metadata-saved", "title", True, **one),
+        events(attachments, "downloaded_at", "downloaded", "filename", False, **file),
+        events(attachments, "extracted_at", "extracted", "filename", False, **file),
+        events(attachments, "summary_at", "document-summary", "filename", False, **file),
+        events(announcements, "summary_at", "announcement-summary", "title", False, **one),
+        events(companies, "updated_at", "company-summary", "label", True),
+        events(named, "started_at", F.concat(F.lit("llm-"), "stage"), F.coalesce(F.nullif("filename", F.lit("")), F.nullif("announcement_id", F.lit("")), "ticker"), True, status="status", elapsed="elapsed", prompt_tokens="prompt_tokens", completion_tokens="completion_tokens", audit_id="audit_id", end_at="finished_at"),
+    ]
+    for p in parts:
+        empty = empty.unionByName(p)
+    return numbered(empty, ["scope"], [F.col("at").asc_nulls_first(), "stage", "label", "announcement_id", "url", "audit_id"], "place")
+
+
+def prompt_status(companies: DataFrame, calls: DataFrame, legacy: str) -> DataFrame:
+    """companies (scope, prompt_version) with where the shown prompt comes from: `status`, and `audit_id` of the call that it is read from.
+
+    calls: scope, audit_id, stage, status, started_at. The last successful call of stage company is exact; without one the prompt is
+    rebuilt from the legacy template if that made the digest, else from the current one.
+    """
+    exact = calls.where("stage = 'company' and status = 'succeeded'").groupBy("scope").agg(F.max_by("audit_id", F.struct("started_at", "audit_id")).alias("audit_id"))
+    status = F.when(F.col("audit_id").isNotNull(), "exact_audit").when(F.coalesce(F.col("prompt_version") == legacy, F.lit(False)), "reconstructed_legacy_template").otherwise("reconstructed_current_template")
+    return companies.join(exact, "scope", "left").withColumn("status", status)
+
+
 #: The sections of a company digest in their order, with their headings; those shared unless others are asked for; title and notice.
 SECTIONS = {
     "overview": "Overview",

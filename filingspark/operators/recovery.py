@@ -177,6 +177,37 @@ def transitions(history: DataFrame, key: str, order: list[str], status: str) ->
     return history.withColumn("legal", start | F.coalesce(forward | end, F.lit(False)))
 
 
+#: What the message of a failed transport contains, what that of a request which the company reducer tries again contains, in lower case.
+TRANSPORT = ("timed out", "timeout", "network", "connection", "connecterror", "readerror", "writeerror", "name or service", "temporary failure", "nodename nor servname", "network is unreachable")
+REDUCER = ("openrouter request failed", "connecterror", "connection", "timed out", "timeout", "temporary failure", "network", "429", "502", "503", "504")
+PROVIDER = "openrouter request failed"
+
+
+def _holds(text: Column, needles: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for n in needles:
+        found = found | F.contains(text, F.lit(n))
+    return F.coalesce(found, F.lit(False))
+
+
+def transport_failure(text: Column) -> Column:
+    """Whether an error's message says that the network is at fault."""
+    return _holds(F.lower(text), TRANSPORT)
+
+
+def reduced_again(text: Column, from_summary: Column) -> Column:
+    """Whether the company reducer tries a request again: the message of a summary's error has one of its marks."""
+    return F.coalesce(from_summary, F.lit(False)) & _holds(F.lower(text), REDUCER)
+
+
+def retry_reason(text: Column, malformed: Column) -> Column:
+    """Why a request is tried again, first match: malformed_json, rate_limited, timeout, provider_error (a failed request whose message has a 5), structured_output_error."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    failed = F.contains(low, F.lit(PROVIDER)) & F.contains(low, F.lit("5"))
+    reasons = F.when(F.coalesce(malformed, F.lit(False)), "malformed_json").when(_holds(low, ("429", "rate limit", "throttl")), "rate_limited")
+    return reasons.when(_holds(low, ("timeout", "timed out")), "timeout").when(failed, "provider_error").otherwise("structured_output_error")
+
+
 def retryable(code: Column, text: Column) -> Column:
-    """429, 408, 5xx, or a transport failure by its text."""
-    return F.coalesce(code.isin(408, 429) | (code >= 500), F.lit(False)) | F.coalesce(text.rlike(r"(?i)timed? ?out|connection (?:reset|refused|aborted)|temporar|unavailable|rate limit"), F.lit(False))
+    """429, 408, 5xx, or a transport failure by its message."""
+    return F.coalesce(code.isin(408, 429) | (code >= 500), F.lit(False)) | transport_failure(text)

@@ -289,11 +289,11 @@ m as (select *, case when len(list_filter(tags, lambda x: x in ({_H}))) > 0 then
 @query(f"""with {TAGGED} select announcement_id, p as primary_category, array_to_string(list_concat([p], list_filter(tags, lambda x: x <> p)), ',') as tags, materiality,
  case when materiality = 'ROUTINE' then greatest(0.65, case when anchored then 0.75 when p = 'OTHER' then 0.45 else 0.6 end) else case when anchored then 0.75 when p = 'OTHER' then 0.45 else 0.6 end end::double as confidence from m""")
 def tag_materiality(spark, d):
-    # On a headline alone the category that it names first is the first of its tags: the rules run once.
-    rows = V.announcements(spark, d).select("announcement_id", rules.taxonomy_tags(F.col("title")).alias("tags"))
+    rows = V.announcements(spark, d).select("announcement_id", "title", rules.taxonomy_tags(F.col("title")).alias("tags"))
+    rows = rows.select("announcement_id", rules.headline(F.col("title")).isNotNull().alias("anchored"), rules.primary_first(F.col("title"), F.col("tags")).alias("tags"))
     rows = rows.withColumn("m", rules.tag_materiality(F.col("tags"), F.lit(None).cast("string")))
     p = F.col("tags")[0]
-    return rows.select("announcement_id", p.alias("primary_category"), F.array_join("tags", ",").alias("tags"), F.col("m").alias("materiality"), rules.confidence(p, p != "OTHER", F.col("m")).alias("confidence"))
+    return rows.select("announcement_id", p.alias("primary_category"), F.array_join("tags", ",").alias("tags"), F.col("m").alias("materiality"), rules.confidence(p, F.col("anchored"), F.col("m")).alias("confidence"))
 
 
 @query(f"with {V.AUDIT} select stage, count(*) as n, round(sum(elapsed), 3) as total, round(avg(elapsed), 3) as average, round(max(elapsed), 3) as longest from audit group by stage")
