@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..operators import audit, recovery, rules
-from ..sources import views as V
+from ..operators import audit, export, recovery, rules
+from ..operators.tables import settled
+from ..sources import shards, views as V
+from ..streaming.state import shared_folder
 from .filing_queries import PLAIN_TITLE
 from .registry import query
 
@@ -136,3 +139,65 @@ select co.scope, audit_id, case when audit_id is not null then 'exact_audit' whe
 def prompt_statuses(spark, d):
     _, _, companies, calls = _audit_tables(spark, d)
     return audit.prompt_status(companies, calls, "BUILDING").select("scope", "audit_id", "status")
+
+
+#: Days of events as shards of a paged source: pages of 50, dealt to three recordings; every fifth day reports one row more than it has.
+RECORDED = """it as (select strftime(ts, '%Y-%m-%d') as shard, event_id, row_number() over w - 1 as place, count(*) over (partition by strftime(ts, '%Y-%m-%d')) as n, extract(day from ts) as day from events window w as (partition by strftime(ts, '%Y-%m-%d') order by event_id))"""
+
+
+def _pages(spark, d):
+    day = F.date_format("ts", "yyyy-MM-dd")
+    w = Window.partitionBy("shard")
+    items = V.load(spark, d, "events").select(day.alias("shard"), "event_id", F.dayofmonth("ts").alias("day"))
+    items = items.withColumn("page", F.floor((F.row_number().over(w.orderBy("event_id")) - 1) / 50)).withColumn("n", F.count(F.lit(1)).over(w))
+    reported = F.col("n") + F.when(F.col("day") % 5 == 0, 1).otherwise(0)
+    pages = items.groupBy("shard", "day", "page", reported.alias("reported")).agg(F.array_sort(F.collect_list("event_id")).alias("ids"))
+    page = F.to_json(F.struct(F.transform("ids", lambda i: F.struct(i.alias("event_id"))).alias("Replies"), F.col("reported").alias("ResultCount")))
+    return pages.select(((F.col("page") + F.col("day")) % 3 + 1).cast("int").alias("seq"), "shard", page.alias("value"))
+
+
+@query(f"with {RECORDED} select shard, event_id from it where day % 5 <> 0")
+def incremental_pages(spark, d):
+    """Read in three runs of one stream, each after another recording: shards that were incomplete are planned anew until they are whole."""
+    folder = shared_folder(spark, "pages")
+    spark.dataSource.register(shards.ShardSource)
+    stream = lambda: spark.readStream.format("shards").load(f"{folder}/pages")
+    pages = settled(_pages(spark, d))
+    for k in (1, 2, 3):
+        pages.where(F.col("seq") == k).repartition("shard").write.mode("append").partitionBy("seq", "shard").text(f"{folder}/pages")
+        shards.read_recordings(stream(), f"{folder}/rows", f"{folder}/state")
+    rows = spark.read.schema("shard string, seq long, ordinal int, reported long, payload string").parquet(f"{folder}/rows")
+    return rows.select("shard", F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"))
+
+
+def _remote(batch: list[dict]) -> list[dict]:
+    """A remote that leaves some rows out of its answers and fails to commit some others."""
+    out = []
+    for r in batch:
+        k = int(r["external_id"][1:])
+        if k % 13:
+            out.append({"external_id": r["external_id"], "internal_id": f"i{k}", "status": "PARTIAL" if k % 17 == 0 else "READY"})
+    return out
+
+
+def _broken(batch: list[dict]) -> list[dict]:
+    if any(r["external_id"].endswith("77") for r in batch):
+        raise ConnectionError("the remote is gone")
+    return _remote(batch)
+
+
+@query("""select 'a' as run, 'x' || o_orderkey as external_id, case when o_orderkey % 13 <> 0 then 'i' || o_orderkey end as internal_id, case when o_orderkey % 13 = 0 or o_orderkey % 17 = 0 then 'PARTIAL' else 'READY' end as status, 'PARTIAL' as run_status from orders
+union all select 'b', 'x' || o_orderkey, null, 'FAILED', 'FAILED' from orders
+union all select 'c', 'x' || o_orderkey, 'i' || o_orderkey, 'READY', 'COMPLETE' from orders where o_orderkey % 13 <> 0 and o_orderkey % 17 <> 0""")
+def publish_outcomes(spark, d):
+    """Three runs: answers that leave rows out, a remote that breaks off, and one whose rows all arrive."""
+    folder = shared_folder(spark, "published")
+    orders = V.load(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("k"))
+    rows = export.batches(orders, ["k"], ["o_orderkey"], 10)
+    rows = settled(rows.select(F.concat_ws("-", "k", "batch").alias("batch"), F.concat(F.lit("x"), "o_orderkey").alias("external_id"), F.col("o_orderkey").cast("string").alias("payload"), "o_orderkey"))
+    out = None
+    for run, some, remote in (("a", rows, _remote), ("b", rows, _broken), ("c", rows.where("o_orderkey % 13 <> 0 and o_orderkey % 17 <> 0"), _remote)):
+        status = shards.publish(some, folder, run, remote)
+        one = shards.outcomes(some.select("external_id"), folder, run).select(F.lit(run).alias("run"), "external_id", "internal_id", "status", F.lit(status).alias("run_status"))
+        out = one if out is None else out.unionByName(one)
+    return out
