@@ -2,7 +2,8 @@
 
 Texts are sets of five-word shingles, each with a SimHash fingerprint. Texts of a similarity of 0.8 differ in
 about 10 of 64 bits, too many to deal them into shards by blocks of bits, so bands of MinHashes deal them. Each
-shard is a BK-tree with its smallest text as root: texts within the radius of the root are its candidates first.
+shard is a BK-tree with its smallest text as root: texts within the radius of a root are its candidates first, each
+for one of its roots, then for others that this has not joined it with.
 Only shards that this leaves in several components are searched further, with signatures of more MinHashes: first
 each text outside of the largest component for its likeliest partner, then for all that may be similar. A pair of
 candidates links only if the exact Jaccard similarity of its shingle sets reaches the threshold.
@@ -91,17 +92,23 @@ def sketch_udf(width: int):
     return sketches
 
 
-def similar_udf(width: int, threshold: float):
+def set_udf(width: int):
+    """The sorted hashes of a text's shingles, eight bytes each."""
+
+    @F.arrow_udf("binary")
+    def hashed(arr: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, width).tobytes() for t in texts(arr)], pa.binary())
+
+    return hashed
+
+
+def similar_udf(threshold: float):
+    """Whether two sets of sorted hashes are similar."""
+
     @F.arrow_udf("boolean")
-    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        last, own = None, None
-        for left, right in batches:
-            out = []
-            for u, v in zip(texts(left), texts(right), strict=True):
-                if u != last:
-                    last, own = u, shingle_set(u, width)
-                out.append(similarity(own, shingle_set(v, width)) >= threshold)
-            yield pa.array(out, pa.bool_())
+    def similar(left: pa.Array, right: pa.Array) -> pa.Array:
+        sets = ((np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64)) for u, v in zip(texts(left), texts(right), strict=True))
+        return pa.array([similarity(u, v) >= threshold for u, v in sets], pa.bool_())
 
     return similar
 
@@ -109,22 +116,22 @@ def similar_udf(width: int, threshold: float):
 def verified(pairs: DataFrame, docs: DataFrame, width: int, threshold: float) -> DataFrame:
     """The pairs (u, v) whose texts in docs (fp, text) are similar.
 
-    Only texts of pairs are moved. A text of many pairs is copied for each PAIRS of them, so that no task gets
-    all of one; texts are never broadcast.
+    Only texts of pairs are read, and hashed once; what moves are their sorted hashes. Those of a text of many pairs are
+    copied for each PAIRS of them, so that no task gets all of one; they are never broadcast.
     """
     pairs = cut(pairs.distinct(), "near_pairs")
     ends = pairs.groupBy(F.col("u").alias("fp")).count().unionByName(pairs.groupBy(F.col("v").alias("fp")).count())
     ends = cut(ends.groupBy("fp").agg(F.sum("count").alias("n_pairs")), "near_ends")
     held = docs.join(_small(ends), "fp").groupBy("fp", "n_pairs").agg(F.any_value("text").alias("text"))
-    held = cut(held.withColumn("slices", F.expr(f"cast(ceil(n_pairs / {PAIRS}) as int)")), "near_texts")
-    copies = held.select("fp", "text", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    held = cut(held.select("fp", set_udf(width)("text").alias("hashes"), F.expr(f"cast(ceil(n_pairs / {PAIRS}) as int)").alias("slices")), "near_sets")
+    copies = held.select("fp", "hashes", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
     often = _small(held.where("slices > 1").select("fp", "slices"))
     rows = pairs
     for end in ("v", "u"):
         rows = rows.join(often.withColumnRenamed("fp", end), end, "left")
         rows = rows.withColumn("slice", F.pmod(F.xxhash64("u", "v"), F.coalesce("slices", F.lit(1))).cast("int")).drop("slices")
-        rows = rows.join(copies.select(F.col("fp").alias(end), F.col("text").alias(f"text_{end}"), "slice"), [end, "slice"]).drop("slice")
-    return cut(rows.where(similar_udf(width, threshold)("text_u", "text_v")).select("u", "v"), "near_links")
+        rows = rows.join(copies.select(F.col("fp").alias(end), F.col("hashes").alias(f"set_{end}"), "slice"), [end, "slice"]).drop("slice")
+    return cut(rows.where(similar_udf(threshold)("set_u", "set_v")).select("u", "v"), "near_links")
 
 
 def _small(slim: DataFrame) -> DataFrame:
@@ -188,6 +195,15 @@ def _apart(members: DataFrame, edges: DataFrame, signatures: DataFrame, threshol
     return dealt.mapInArrow(_pairs_apart(RADIUS, threshold, best), "u bigint, v bigint")
 
 
+def _between(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The pairs (u, v) that edges don't join, directly or over others."""
+    stars = cut(settled(edges), "near_stars")
+    for end in ("u", "v"):
+        own = _small(stars.select(F.col("node").alias(f"node_{end}"), F.col("root").alias(f"root_{end}")))
+        pairs = pairs.join(own, F.col(end) == F.col(f"node_{end}"), "left").drop(f"node_{end}")
+    return pairs.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+
+
 def similar_edges(sketches: DataFrame, docs: DataFrame, width: int, threshold: float) -> DataFrame:
     """Edges (u, v) whose components are those of all similar pairs that share a shard and are within the radius.
 
@@ -200,8 +216,11 @@ def similar_edges(sketches: DataFrame, docs: DataFrame, width: int, threshold: f
     # Sets that differ more than this in size can't be similar.
     sizes = F.least("n", "first.n") >= F.greatest("n", "first.n") * threshold - 1e-9
     within = F.bit_count(F.col("print").bitwiseXOR(F.col("first.print"))) <= RADIUS
-    firsts = members.where((F.col("fp") != F.col("first.fp")) & sizes & within).selectExpr("first.fp as u", "fp as v")
-    edges = verified(firsts, docs, width, threshold)
+    firsts = cut(members.where((F.col("fp") != F.col("first.fp")) & sizes & within).selectExpr("first.fp as u", "fp as v").distinct(), "near_firsts")
+    # One root of each text first, the smallest: in a large group of copies that is the same one for most. Of the other
+    # roots only those in another component are compared.
+    edges = verified(firsts.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), docs, width, threshold)
+    edges = edges.unionByName(verified(_between(firsts, edges), docs, width, threshold))
     members = members.where("n_rows > 2").select("key", "fp", "n", "print", F.col("first.fp").alias("first"))
     # Signatures of the texts whose shards the roots leave open.
     stars = cut(settled(edges), "near_stars")
