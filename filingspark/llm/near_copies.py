@@ -92,23 +92,19 @@ def sketch_udf(width: int):
     return sketches
 
 
-def set_udf(width: int):
-    """The sorted hashes of a text's shingles, eight bytes each."""
-
-    @F.arrow_udf("binary")
-    def hashed(arr: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t, width).tobytes() for t in texts(arr)], pa.binary())
-
-    return hashed
-
-
-def similar_udf(threshold: float):
-    """Whether two sets of sorted hashes are similar."""
+def similar_udf(width: int, threshold: float):
+    """Whether two texts are similar. Texts move, not hashes: those don't compress, and moving them took more memory than hashing again."""
 
     @F.arrow_udf("boolean")
-    def similar(left: pa.Array, right: pa.Array) -> pa.Array:
-        sets = ((np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64)) for u, v in zip(texts(left), texts(right), strict=True))
-        return pa.array([similarity(u, v) >= threshold for u, v in sets], pa.bool_())
+    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        last, own = None, None
+        for left, right in batches:
+            out = []
+            for u, v in zip(texts(left), texts(right), strict=True):
+                if u != last:
+                    last, own = u, shingle_set(u, width)
+                out.append(similarity(own, shingle_set(v, width)) >= threshold)
+            yield pa.array(out, pa.bool_())
 
     return similar
 
@@ -116,22 +112,22 @@ def similar_udf(threshold: float):
 def verified(pairs: DataFrame, docs: DataFrame, width: int, threshold: float) -> DataFrame:
     """The pairs (u, v) whose texts in docs (fp, text) are similar.
 
-    Only texts of pairs are read, and hashed once; what moves are their sorted hashes. Those of a text of many pairs are
-    copied for each PAIRS of them, so that no task gets all of one; they are never broadcast.
+    Only texts of pairs are moved. A text of many pairs is copied for each PAIRS of them, so that no task gets
+    all of one; texts are never broadcast.
     """
     pairs = cut(pairs.distinct(), "near_pairs")
     ends = pairs.groupBy(F.col("u").alias("fp")).count().unionByName(pairs.groupBy(F.col("v").alias("fp")).count())
     ends = cut(ends.groupBy("fp").agg(F.sum("count").alias("n_pairs")), "near_ends")
     held = docs.join(_small(ends), "fp").groupBy("fp", "n_pairs").agg(F.any_value("text").alias("text"))
-    held = cut(held.select("fp", set_udf(width)("text").alias("hashes"), F.expr(f"cast(ceil(n_pairs / {PAIRS}) as int)").alias("slices")), "near_sets")
-    copies = held.select("fp", "hashes", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    held = cut(held.withColumn("slices", F.expr(f"cast(ceil(n_pairs / {PAIRS}) as int)")), "near_texts")
+    copies = held.select("fp", "text", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
     often = _small(held.where("slices > 1").select("fp", "slices"))
     rows = pairs
     for end in ("v", "u"):
         rows = rows.join(often.withColumnRenamed("fp", end), end, "left")
         rows = rows.withColumn("slice", F.pmod(F.xxhash64("u", "v"), F.coalesce("slices", F.lit(1))).cast("int")).drop("slices")
-        rows = rows.join(copies.select(F.col("fp").alias(end), F.col("hashes").alias(f"set_{end}"), "slice"), [end, "slice"]).drop("slice")
-    return cut(rows.where(similar_udf(threshold)("set_u", "set_v")).select("u", "v"), "near_links")
+        rows = rows.join(copies.select(F.col("fp").alias(end), F.col("text").alias(f"text_{end}"), "slice"), [end, "slice"]).drop("slice")
+    return cut(rows.where(similar_udf(width, threshold)("text_u", "text_v")).select("u", "v"), "near_links")
 
 
 def _small(slim: DataFrame) -> DataFrame:
