@@ -4,9 +4,11 @@ Texts are sets of five-word shingles, each with a SimHash fingerprint. Texts of
 about 10 of 64 bits, too many to deal them into shards by blocks of bits, so bands of MinHashes deal them. Each
 shard is a BK-tree with its smallest text as root: texts within the radius of a root are its candidates first, each
 for one of its roots, then for others that this has not joined it with.
-Only shards that this leaves in several components are searched further, with signatures of more MinHashes: first
-each text outside of the largest component for its likeliest partner, then for all that may be similar. A pair of
-candidates links only if the exact Jaccard similarity of its shingle sets reaches the threshold.
+Only shards that this leaves in several components are searched further, with the least LEAST hashes of each shingle
+set. Of texts with no more shingles than that these are the whole sets: the task that holds a shard compares them
+exactly and gives the edges that join what is similar, at most one a text. Of longer texts they are an estimate: first
+each text outside of the largest component is compared with its likeliest partner, then with all that may be similar.
+A pair of candidates links only if the exact Jaccard similarity of its shingle sets reaches the threshold.
 """
 
 from __future__ import annotations
@@ -30,17 +32,17 @@ RADIUS = 20
 BANDS, ROWS = 18, 4
 #: Texts of a tree at most, and queries that are put to it at once.
 SLICE = 4096
-#: MinHashes of a signature, a byte of each, and by how much the share of equal ones may fall short of the similarity:
+#: The least hashes of a set that are kept, and by how much the estimate from them may fall short of the similarity:
 #: 3.7 standard deviations, which 0.01 percent of pairs at 0.8 exceed.
-SIGNED, SHORT = 256, 0.0925
+LEAST, SHORT = 256, 0.0925
 #: Shingles of a text that are hashed at once.
 BLOCK = 2048
 #: Pairs of one text that meet in a task.
 PAIRS = 500
 
 _rng = np.random.default_rng(20240229)
-_ADD = _rng.integers(0, 1 << 64, max(BANDS * ROWS, SIGNED), dtype=np.uint64)
-_TIMES = _rng.integers(0, 1 << 64, max(BANDS * ROWS, SIGNED), dtype=np.uint64) | np.uint64(1)
+_ADD = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
+_TIMES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
@@ -73,15 +75,14 @@ def sketch(text: bytes, width: int = WIDTH) -> list[int]:
     return [len(hashes), int(own[0]), *keys.view(np.int64).tolist()]
 
 
-def signature_udf(width: int):
-    """A byte of each of SIGNED MinHashes, eight to a number."""
+def least_udf(width: int):
+    """The LEAST smallest hashes of the shingle set, sorted, eight bytes each; the whole set if it has no more."""
 
-    @F.arrow_udf("array<bigint>")
-    def sign(arr: pa.Array) -> pa.Array:
-        out = [(lowest(shingle_set(t, width), SIGNED) >> np.uint64(8)).astype(np.uint8).view(np.int64).tolist() for t in texts(arr)]
-        return pa.array(out, pa.list_(pa.int64()))
+    @F.arrow_udf("binary")
+    def least(arr: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, width)[:LEAST].tobytes() for t in texts(arr)], pa.binary())
 
-    return sign
+    return least
 
 
 def sketch_udf(width: int):
@@ -134,19 +135,61 @@ def _small(slim: DataFrame) -> DataFrame:
     return F.broadcast(slim) if slim.count() <= BROADCAST_ROWS else slim
 
 
+class Sets:
+    """The least hashes of some texts' shingle sets, and the similarity of one text to others of them."""
+
+    def __init__(self, least: list[bytes], n: np.ndarray):
+        sizes = np.array([len(x) // 8 for x in least])
+        _, places = np.unique(np.frombuffer(b"".join(least), np.uint64), return_inverse=True)
+        self.sizes, self.whole = sizes, n <= sizes
+        # Hashes as places among all of them, in the same order; what a shorter set lacks is a place of no hash.
+        none = int(places.max(initial=-1)) + 1
+        self.places = np.full((len(least), max(1, int(sizes.max(initial=0)))), none, np.int32)
+        self.places[np.arange(self.places.shape[1]) < sizes[:, None]] = places
+        # Up to here all hashes of a text are known.
+        self.known = np.where(self.whole, none, self.places[np.arange(len(least)), np.maximum(sizes, 1) - 1])
+        self.marked = np.zeros(none + 1, bool)
+
+    def similarity(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Jaccard similarity of the sets below what both texts know: exact if both are whole."""
+        own, theirs = self.places[one, : self.sizes[one]], self.places[others]
+        self.marked[own] = True
+        shared = self.marked[theirs].sum(1)
+        self.marked[own] = False
+        upto = np.minimum(self.known[one], self.known[others])
+        in_theirs = np.where(self.known[others] <= upto, self.sizes[others], (theirs <= upto[:, None]).sum(1))
+        joint = np.searchsorted(own, upto, "right") + in_theirs - shared
+        return np.where(joint, shared / np.maximum(joint, 1), 1.0)
+
+
 def _pairs_apart(radius: int, threshold: float, best: bool):
-    """Reads rows (key, left, right, fp, print, n, root, main, part, signature) sorted by the first three; yields pairs
-    (u, v) of texts of different roots that may be similar, one of them outside of the main root; with `best`, of each
-    such text the likeliest one only."""
+    """Reads rows (key, left, right, fp, print, n, root, main, part, least) sorted by the first three; yields pairs
+    (u, v, sure) of texts of different roots, one of them outside of the main root.
+
+    With `best`, sure pairs, which are similar and join all that the shard's whole sets join, and of each other text
+    the likeliest partner; else all pairs that may be similar of which a set isn't whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, left, right), rows in groups_of(batches, 3, 1 << 62):
+        held: dict[int, bytes] = {}
+
+        def numbered() -> Iterator[pa.RecordBatch]:
+            at = 0
+            for batch in batches:
+                held.update(enumerate(batch.column(9).to_pylist(), at))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:9], pa.array(range(at, at + batch.num_rows), pa.int64())], batch.schema.names)
+                at += batch.num_rows
+
+        for (_, left, right), rows in groups_of(numbered(), 3, 1 << 62):
             rows = rows[np.argsort(rows[:, 3], kind="stable")]
-            fp, prints, n, root, part = rows[:, 3], rows[:, 4].copy().view(np.uint64), rows[:, 5], rows[:, 6], rows[:, 8]
-            signed = np.ascontiguousarray(rows[:, 9:]).view(np.uint8)
-            outside = root != rows[:, 7]
+            sets = Sets([held.pop(k) for k in rows[:, 9].tolist()], rows[:, 5])
+            fp, prints, n, part = rows[:, 3], rows[:, 4].copy().view(np.uint64), rows[:, 5], rows[:, 8]
+            outside = rows[:, 6] != rows[:, 7]
+            # Components of the shard's texts, as places of one of them; they grow with the sure pairs.
+            _, first, root = np.unique(rows[:, 6], return_index=True, return_inverse=True)
+            root = first[root]
             likeliest: dict[int, tuple[float, int]] = {}
-            found: list[tuple[np.ndarray, np.ndarray]] = []
+            found: list[tuple[int, int, bool]] = []
             # Of two parts, all of one are the tree; those outside of the main root ask it, and the other way round.
             for tree, asking in ((left, right), (right, left))[: 1 + (left != right)]:
                 members, asks = np.flatnonzero(part == tree), np.flatnonzero((part == asking) & outside)
@@ -159,25 +202,32 @@ def _pairs_apart(radius: int, threshold: float, best: bool):
                     x = asks[near]
                     for y in members[order[ends[node] : ends[node + 1]]].tolist():
                         some = x[(root[x] != root[y]) & (np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * threshold - 1e-9)]
-                        share = (signed[some] == signed[y]).mean(1)
-                        some, share = some[share >= threshold - SHORT], share[share >= threshold - SHORT]
+                        some = some if best else some[~(sets.whole[some] & sets.whole[y])]
+                        if not len(some):
+                            continue
+                        share = sets.similarity(y, some)
+                        sure = sets.whole[some] & sets.whole[y]
+                        for k in some[sure & (share >= threshold)].tolist():
+                            if root[k] != root[y]:
+                                found.append((k, y, True))
+                                root[root == root[k]] = root[y]
+                        likely = ~sure & (share >= threshold - SHORT)
                         if best:
-                            for k, v in zip(some.tolist(), share.tolist(), strict=True):
+                            for k, v in zip(some[likely].tolist(), share[likely].tolist(), strict=True):
                                 likeliest[k] = max(likeliest.get(k, (0.0, -1)), (v, y))
-                        elif len(some):
-                            found.append((fp[some], np.full(len(some), fp[y])))
-            if likeliest:
-                found.append((fp[list(likeliest)], fp[[y for _, y in likeliest.values()]]))
+                        else:
+                            found += [(k, y, False) for k in some[likely].tolist()]
+            found += [(k, y, False) for k, (_, y) in likeliest.items()]
             if found:
-                u, v = (np.concatenate(side) for side in zip(*found, strict=True))
-                both = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
+                u, v, sure = (np.array(side) for side in zip(*found, strict=True))
+                u, v = np.minimum(fp[u], fp[v]), np.maximum(fp[u], fp[v])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(sure)], ["u", "v", "sure"])
 
     return run
 
 
-def _apart(members: DataFrame, edges: DataFrame, signatures: DataFrame, threshold: float, best: bool) -> DataFrame:
-    """Pairs (u, v) of members (key, fp, n, print, first, n_rows) that share a shard which edges leave in several components."""
+def _apart(members: DataFrame, edges: DataFrame, least: DataFrame, threshold: float, best: bool) -> DataFrame:
+    """Pairs (u, v, sure) of members (key, fp, n, print, first, n_rows) that share a shard which edges leave in several components."""
     stars = cut(settled(edges), "near_stars")
     rooted = members.join(stars, members.fp == stars.node, "left").select("key", "fp", "n", "print", "first", F.coalesce("root", "fp").alias("root"))
     rooted = cut(rooted, "near_rooted")
@@ -185,10 +235,10 @@ def _apart(members: DataFrame, edges: DataFrame, signatures: DataFrame, threshol
     parts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     parts = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("n_rows"), F.max(F.struct("size", "root"))["root"].alias("main")).where("parts > 1")
     others = attach_groups(rooted, cut(parts, "near_open"), "key").where("fp <> first").select("key", "fp", "print", "n", "root", "main")
-    others = cut(others.join(signatures, "fp"), "near_others")
-    rows = cells(others, ["key"], "fp", SLICE).select("key", "left", "right", "fp", "print", "n", "root", "main", "part", *[F.col("signature")[k].alias(f"s{k}") for k in range(SIGNED // 8)])
+    rows = cells(cut(others, "near_others"), ["key"], "fp", SLICE).join(least, "fp")
+    rows = rows.select("key", "left", "right", "fp", "print", "n", "root", "main", "part", "least")
     dealt = rows.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    return dealt.mapInArrow(_pairs_apart(RADIUS, threshold, best), "u bigint, v bigint")
+    return dealt.mapInArrow(_pairs_apart(RADIUS, threshold, best), "u bigint, v bigint, sure boolean")
 
 
 def _between(pairs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -218,14 +268,16 @@ def similar_edges(sketches: DataFrame, docs: DataFrame, width: int, threshold: f
     edges = verified(firsts.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), docs, width, threshold)
     edges = edges.unionByName(verified(_between(firsts, edges), docs, width, threshold))
     members = members.where("n_rows > 2").select("key", "fp", "n", "print", F.col("first.fp").alias("first"))
-    # Signatures of the texts whose shards the roots leave open.
+    # The least hashes of the texts whose shards the roots leave open.
     stars = cut(settled(edges), "near_stars")
     roots = members.join(stars, members.fp == stars.node, "left").groupBy("key").agg(F.count_distinct(F.coalesce("root", "fp")).alias("n")).where("n > 1")
     wanted = cut(members.join(_small(cut(roots.select("key"), "near_keys")), "key", "left_semi").select("fp").distinct(), "near_wanted")
-    signed = docs.join(_small(wanted), "fp", "left_semi").withColumn("signature", signature_udf(width)("text"))
-    signatures = cut(signed.groupBy("fp").agg(F.any_value("signature").alias("signature")), "near_signatures")
+    least = docs.join(_small(wanted), "fp", "left_semi").withColumn("least", least_udf(width)("text"))
+    least = cut(least.groupBy("fp").agg(F.any_value("least").alias("least")), "near_least")
     for best in (True, False):
-        edges = edges.unionByName(verified(_apart(members, edges, signatures, threshold, best), docs, width, threshold))
+        found = cut(_apart(members, edges, least, threshold, best), "near_apart")
+        edges = edges.unionByName(found.where("sure").select("u", "v"))
+        edges = edges.unionByName(verified(found.where("not sure").select("u", "v"), docs, width, threshold))
     return edges
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -164,18 +165,47 @@ def test_personal_data_of_other_forms(spark):
     assert right >= 0.9 * found and caught >= 0.6 * there
 
 
-def test_near_copies_signatures_lose_nothing_here():
-    """Signatures of texts at a similarity of 0.8 and more agree in enough of their bytes."""
+def altered(rng, w, most):
+    v = list(w)
+    for at in rng.sample(range(len(v)), rng.randrange(most + 1)):
+        v[at] = f"x{rng.randrange(10**6)}"
+    return v
+
+
+def test_least_hashes_are_exact_for_short_texts_and_lose_nothing_here():
     rng = random.Random(5)
-    for _ in range(60):
-        w = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([20, 120, 600]))]
-        v = list(w)
-        for at in rng.sample(range(len(v)), max(1, len(v) // 60)):
-            v[at] = "altered"
-        a, b = (near_copies.shingle_set(" ".join(x).encode()) for x in (w, v))
-        if near_copies.similarity(a, b) >= 0.8:
-            x, y = (near_copies.lowest(s, near_copies.SIGNED) >> np.uint64(8) for s in (a, b))
-            assert (x.astype(np.uint8) == y.astype(np.uint8)).mean() >= 0.8 - near_copies.SHORT
+    for n_words in (0, 3, 120, 255, 600, 3000):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n_words)]
+        sets = [near_copies.shingle_set(" ".join(altered(rng, base, n_words // 40)).encode()) for _ in range(12)]
+        own = near_copies.Sets([s[: near_copies.LEAST].tobytes() for s in sets], np.array([len(s) for s in sets]))
+        for i, s in enumerate(sets):
+            for t, whole, found in zip(sets, own.whole.tolist(), own.similarity(i, np.arange(len(sets))).tolist(), strict=True):
+                exact = near_copies.similarity(s, t)
+                assert found == exact if whole and own.whole[i] else abs(found - exact) <= near_copies.SHORT
+
+
+def test_an_open_shard_gives_a_tree_of_what_is_similar_not_its_pairs():
+    """A group of 300 short texts, many of them not quite similar: edges join what brute force joins, at most one a text."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    sets = [near_copies.shingle_set(" ".join(altered(rng, base, 6)).encode()) for _ in range(300)]
+    prints = np.array([near_copies.sketch(" ".join(base).encode())[1]] * len(sets))
+    n = len(sets)
+    columns = [np.zeros(n), np.zeros(n), np.zeros(n), np.arange(n), prints, np.array([len(s) for s in sets]), np.arange(n), np.zeros(n), np.zeros(n)]
+    names = ["key", "left", "right", "fp", "print", "n", "root", "main", "part", "least"]
+    batch = pa.RecordBatch.from_arrays([*[pa.array(c.astype(np.int64)) for c in columns], pa.array([s[: near_copies.LEAST].tobytes() for s in sets], pa.binary())], names)
+
+    def joined(edges):
+        root = list(range(n))
+        for u, v in edges:
+            root = [root[u] if r == root[v] else r for r in root]
+        return [root.index(r) for r in root]
+
+    edges = [(r["u"], r["v"]) for b in near_copies._pairs_apart(64, 0.8, True)(iter([batch[:100], batch[100:]])) for r in b.to_pylist()]
+    similar = [(u, v) for u in range(n) for v in range(u) if near_copies.similarity(sets[u], sets[v]) >= 0.8]
+    assert n < len(similar) < n * (n - 1) / 4 and len(edges) < n
+    assert joined(edges) == joined(similar)
+    assert not list(near_copies._pairs_apart(64, 0.8, False)(iter([batch])))
 
 
 def test_work_tables_are_removed(spark, edge_docs):
