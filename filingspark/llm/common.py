@@ -6,7 +6,6 @@ from __future__ import annotations
 import atexit
 import pickle
 import tempfile
-import time
 import uuid
 
 import numpy as np
@@ -71,32 +70,11 @@ def clean(first: int = 0, last: int | None = None) -> None:
             return
 
 
-_trimmed = [0.0]
-
-
-def trim(spark: SparkSession, seconds: float = 5.0) -> None:
-    """Give what the driver's JVM has freed back to the system, at most once in so many seconds.
-
-    Its threads allocate from many pools of the C library, which keep what has been freed; jobs of many
-    tasks let them grow. Java 17 on Linux has a command for this; elsewhere nothing happens.
-    """
-    if time.monotonic() - _trimmed[0] < seconds:
-        return
-    _trimmed[0] = time.monotonic()
-    try:
-        server = spark._jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
-        command = spark._jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
-        server.invoke(command, "systemTrimNativeHeap", None, None)
-    except Exception:  # this Java has no such command
-        _trimmed[0] = float("inf")
-
-
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back, so that what follows survives lost executors."""
     path = work_path(df.sparkSession, label)
     small_batches(df.sparkSession)
     df.write.parquet(path)
-    trim(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
