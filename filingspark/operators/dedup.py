@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import setjoin
 from .tables import settled
 
 #: Texts with fewer tokens are never near duplicates; lengths must be alike; shingles of a long text are taken by stride.
@@ -77,9 +78,7 @@ def duplicate_pairs(rows: DataFrame, near: float = NEAR) -> DataFrame:
     """(announcement_id, later, earlier, category, similarity): pairs of features (a table) in which the later could give way.
 
     Of files with equal digests each pairs with the first of them, which is kept if any of them is. Near ones
-    meet by group and suffix, and by a band of token counts: two counts whose ratio is at least LENGTH_RATIO
-    fall into the same or neighbouring bands, so that only texts of like length are paired. Pairs meet on ids
-    and counts alone; texts and shingles join them afterwards.
+    meet by group, suffix and what they share; texts and shingles join the pairs afterwards.
     """
     key = ["announcement_id", "sha256"]
     exact = rows.where("sha256 <> ''").select(*key, "rank")
@@ -89,16 +88,21 @@ def duplicate_pairs(rows: DataFrame, near: float = NEAR) -> DataFrame:
 
 
 def near_pairs(rows: DataFrame, near: float = NEAR) -> DataFrame:
-    """The near pairs of duplicate_pairs()."""
-    band = F.floor(F.log("n_tokens") / -F.log(F.lit(LENGTH_RATIO))).cast("int")
-    long = rows.where(F.col("n_tokens") >= MIN_TOKENS).select("announcement_id", "suffix", "rank", "n_tokens", "sha256", band.alias("band"))
-    later = long.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    earlier = long.select("announcement_id", "suffix", "band", F.col("rank").alias("earlier"), F.col("n_tokens").alias("n"), F.col("sha256").alias("other"))
-    close = F.least("n_tokens", "n") / F.greatest("n_tokens", "n") >= LENGTH_RATIO
-    pairs = later.join(earlier, ["announcement_id", "suffix", "band"]).where((F.col("earlier") < F.col("rank")) & close & ((F.col("sha256") != F.col("other")) | (F.col("sha256") == "")))
-    pairs = pairs.select("announcement_id", F.col("rank").alias("later"), "earlier")
-    side = lambda end, name: rows.select("announcement_id", F.col("rank").alias(end), F.struct("normalized", "digest", "shingles").alias(name))
+    """The near pairs of duplicate_pairs().
+
+    Shingle sets that are alike meet by the rarest of their shingles, texts within other texts (equal ones
+    among them) by the rarest of their anchors; only such pairs are compared.
+    """
+    group = ["announcement_id", "suffix"]
+    long = rows.where(F.col("n_tokens") >= MIN_TOKENS)
+    like = setjoin.alike(long, group, "rank", "shingles", near)
+    held = setjoin.within(long, group, "rank", "normalized", WIDTH)
+    held = held.select(*group, F.greatest("inside", "around").alias("later"), F.least("inside", "around").alias("earlier"))
+    pairs = like.unionByName(held).distinct().drop("suffix")
+    side = lambda end, name: rows.select("announcement_id", F.col("rank").alias(end), F.struct("normalized", "digest", "shingles", "n_tokens", "sha256").alias(name))
     found = pairs.join(side("later", "a"), ["announcement_id", "later"]).join(side("earlier", "b"), ["announcement_id", "earlier"])
+    close = F.least("a.n_tokens", "b.n_tokens") / F.greatest("a.n_tokens", "b.n_tokens") >= LENGTH_RATIO
+    found = found.where(close & ((F.col("a.sha256") != F.col("b.sha256")) | (F.col("a.sha256") == "")))
     found = found.withColumn("similarity", similarity("a", "b")).where(F.col("similarity") >= near)
     return found.select("announcement_id", "later", "earlier", F.lit("near_duplicate").alias("category"), "similarity")
 

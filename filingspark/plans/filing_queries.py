@@ -224,12 +224,22 @@ near as (select a.announcement_id, a.url as later, b.url as earlier,
 @query(f"with {FEATURES_SQL} select later, earlier, round(similarity, 6) as similarity from near where similarity >= 0.7")
 def near_dup_pairs(spark, d):
     rows = settled(dedup.features(V.attachments(spark, d)))
-    pairs = dedup.near_pairs(rows, 0.7)
+    return _named_pairs(rows, dedup.near_pairs(rows, 0.7))
+
+
+def _named_pairs(rows, pairs):
     names = lambda n: rows.select("announcement_id", F.col("rank").alias(n), F.col("url").alias(f"{n}_url"))
     pairs = pairs.join(names("later"), ["announcement_id", "later"]).join(names("earlier"), ["announcement_id", "earlier"])
     return pairs.select(F.col("later_url").alias("later"), F.col("earlier_url").alias("earlier"), F.round("similarity", 6).alias("similarity"))
 
 
+@query("with " + FEATURES_SQL.replace("from att)", "from (select * replace (left(url, 4) as announcement_id) from att))").replace("array_to_string(toks[i : i + 4], chr(31))", "hash(array_to_string(toks[i : i + 4], chr(31)))") + " select later, earlier, round(similarity, 6) as similarity from near where similarity >= 0.7")
+def near_dup_pairs_by_suffix(spark, d):
+    """All documents of a kind of file are one group."""
+    rows = settled(dedup.features(V.attachments(spark, d).withColumn("announcement_id", F.substring("url", 1, 4))))
+    return _named_pairs(rows, dedup.near_pairs(rows, 0.7))
+
+
 GREEDY = f"""
 with recursive {FEATURES_SQL},
 near_rank as (select n.announcement_id, x.rank as later, y.rank as earlier, n.similarity from near n join f x on x.url = n.later join f y on y.url = n.earlier),
