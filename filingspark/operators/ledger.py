@@ -76,6 +76,14 @@ def attachment_state(wanted: DataFrame, attachments: DataFrame) -> DataFrame:
     return wanted.join(attachments, "url", "left")
 
 
+def ring_start(last: int) -> int:
+    """The least sequence number that a run whose events are numbered from 1 to last still holds."""
+    if last <= RING:
+        return 0
+    trims = (last - RING - 1) // (RING - KEPT + 1)
+    return RING + 1 + trims * (RING - KEPT + 1) - KEPT + 1
+
+
 def ring(events: DataFrame, key: str, seq: str) -> DataFrame:
     """The events that a run still holds: it drops to its last KEPT each time it has more than RING."""
     n = F.max(seq).over(Window.partitionBy(key))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -11,7 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scans import numbered
+from .tables import settled
+
 CHUNK = 45_000
+#: Texts that a reducer is given at once.
+FAN_IN = 500
 
 
 def split_chunks(text: str, size: int = CHUNK) -> list[str]:
@@ -46,29 +52,73 @@ def stub(texts: list[str]) -> str:
     return " ".join(t.strip().split(". ")[0][:80] for t in texts if t and t.strip())
 
 
-def reduce_groups(rows: DataFrame, key: str, order: str, text: str, reducer: Callable[[list[str]], str] = stub) -> DataFrame:
-    """(key, n, summary): the reducer over each key's texts in order."""
+def reduce_groups(rows: DataFrame, key: str, order: str, text: str, reducer: Callable[[list[str]], str] = stub, fan_in: int = FAN_IN, check: Callable[[str], str | None] | None = None) -> DataFrame:
+    """(key, n, summary): the reducer over each key's texts in order, at most `fan_in` at a time; with check, also what it finds wrong with the summary, or null.
+
+    Of a key with more texts, each run of fan_in texts gives one; these are reduced in turn, run by run, until they
+    are few enough. Runs of one key lie in many tasks, so no task holds a whole group.
+    """
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in batches:
             yield pa.array([reducer(v) for v in arr.to_pylist()], pa.string())
 
-    groups = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("_g"))
-    return groups.select(key, F.size("_g").alias("n"), run(F.transform("_g", lambda x: x[text])).alias("summary"))
+    @F.arrow_udf("string")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for arr in batches:
+            yield pa.array([check(v) for v in arr.to_pylist()], pa.string())
 
+    def level(rows: DataFrame, *by: str) -> DataFrame:
+        groups = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_o", "_t"))).alias("_g"), F.sum("_n").alias("_n"))
+        return groups.select(*by, "_n", run(F.transform("_g", lambda x: x["_t"])).alias("_t"))
 
-def three_levels(chunk_rows: DataFrame, documents: DataFrame, announcements: DataFrame, reducer: Callable[[list[str]], str] = stub) -> DataFrame:
-    """(ticker, n, summary) from chunks (url, chunk_index, chunk), documents (url, announcement_id) and announcements (announcement_id, ticker, announced_at)."""
-    docs = reduce_groups(chunk_rows, "url", "chunk_index", "chunk", reducer).drop("n").join(documents, "url")
-    anns = reduce_groups(docs.withColumn("o", F.col("url")), "announcement_id", "o", "summary", reducer).drop("n").join(announcements, "announcement_id")
-    return reduce_groups(anns.withColumn("o", F.struct("announced_at", "announcement_id")), "ticker", "o", "summary", reducer)
+    rows = rows.select(key, F.col(order).alias("_o"), F.col(text).alias("_t"), F.lit(1).alias("_n"))
+    while (rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0) > fan_in:
+        placed = numbered(rows, [key], ["_o", "_t"], "_p").withColumn("_p", F.floor((F.col("_p") - 1) / fan_in))
+        rows = settled(level(placed, key, "_p").select(key, F.col("_p").alias("_o"), "_t", "_n"))
+    out = level(rows, key).select(key, F.col("_n").cast("int").alias("n"), F.col("_t").alias("summary"))
+    return out.withColumn("problem", found("summary")) if check else out
+
+
+def three_levels(chunk_rows: DataFrame, documents: DataFrame, announcements: DataFrame, reducer: Callable[[list[str]], str] = stub, fan_in: int = FAN_IN) -> DataFrame:
+    """(ticker, n, summary) from chunks (url, chunk_index, chunk), documents (url, announcement_id) and announcements (announcement_id, ticker, announced_at); each level is a table before the next reads it."""
+    docs = settled(reduce_groups(chunk_rows, "url", "chunk_index", "chunk", reducer, fan_in).drop("n").join(documents, "url"))
+    anns = settled(reduce_groups(docs.withColumn("o", F.col("url")), "announcement_id", "o", "summary", reducer, fan_in).drop("n").join(announcements, "announcement_id"))
+    return reduce_groups(anns.withColumn("o", F.struct("announced_at", "announcement_id")), "ticker", "o", "summary", reducer, fan_in)
 
 
 def fingerprint(rows: DataFrame, key: list[str], order: list[str], fields: list[str]) -> DataFrame:
-    """(key, fingerprint): SHA-256 of canonical JSON of each key's rows in order; fields sorted by name, nulls kept."""
-    body = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("_o"), F.struct(*sorted(fields)).alias("_f"))))
-    return rows.groupBy(*key).agg(body.alias("_b")).select(*key, F.sha2(F.to_json(F.transform("_b", lambda x: x["_f"]), {"ignoreNullFields": "false"}).cast("binary"), 256).alias("fingerprint"))
+    """(key, fingerprint): SHA-256 of canonical JSON of each key's rows in order; fields sorted by name, nulls kept.
+
+    Rows stream through in order, one at a time, with only the digest's state kept: no group is ever held as a whole.
+    """
+    json = lambda names: F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    wide = rows.select(*key, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*sorted(fields)).alias("_f"), json(key).alias("_k"), json(sorted(fields)).alias("_b"))
+    names = [f.name for f in rows.select(*key).schema]
+    schema = rows.select(*key).withColumn("fingerprint", F.lit("")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, first, sha = None, None, None
+        for batch in batches:
+            done: list[tuple] = []
+            for i, (k, body) in enumerate(zip(batch.column("_k").to_pylist(), batch.column("_b").to_pylist(), strict=True)):
+                if k == now:
+                    sha.update(b",")
+                else:
+                    if sha is not None:
+                        sha.update(b"]")
+                        done.append((*first, sha.hexdigest()))
+                    now, first, sha = k, [batch.column(n)[i].as_py() for n in names], hashlib.sha256(b"[")
+                sha.update(body.encode())
+            types = [batch.schema.field(n).type for n in names] + [pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in done], t) for c, t in enumerate(types)], names=[*names, "fingerprint"])
+        if sha is not None:
+            sha.update(b"]")
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([*first, sha.hexdigest()], types, strict=True)], names=[*names, "fingerprint"])
+
+    dealt = wide.repartition(*key).sortWithinPartitions("_k", *[f"_o{i}" for i in range(len(order))], "_f")
+    return dealt.select(*key, "_k", "_b").mapInArrow(run, schema)
 
 
 def cache_decision(rows: DataFrame, stored: DataFrame, key: list[str], n: str) -> DataFrame:

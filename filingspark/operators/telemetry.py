@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .scans import Scan
+from .tables import settled
 
 #: Rows of a key that are summed up together first.
 BLOCK = 1000
@@ -22,6 +25,26 @@ def stage_timing(events: DataFrame, stage: str, elapsed: str) -> DataFrame:
     )
 
 
+def observed(df: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], measures: dict[str, Column], sink: Callable[[dict], None] | None = None) -> tuple[DataFrame, list[dict]]:
+    """(rows, counts): the rows after all stages, in a table, and per stage its name, n and measures of what left it.
+
+    Counts are taken as the one run passes by, without a second pass. Each also goes to the sink; one that fails
+    breaks nothing. A stage after a limit or a shuffle that is read in part counts only what was read.
+    """
+    watches = []
+    for name, stage in stages:
+        watches.append((name, Observation(name)))
+        df = stage(df).observe(watches[-1][1], F.count(F.lit(1)).alias("n"), *[c.alias(m) for m, c in measures.items()])
+    rows = settled(df)
+    counts = [{"stage": name, **watch.get} for name, watch in watches]
+    for c in counts if sink else ():
+        try:
+            sink(c)
+        except Exception:  # whoever listens must not stop the run
+            continue
+    return rows, counts
+
+
 def slowest(timing: DataFrame, stage: str, n: int = 5) -> DataFrame:
     return timing.orderBy(F.col("total").desc(), stage).limit(n)
 
