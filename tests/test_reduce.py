@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from filingspark.operators import reduce, telemetry
+from filingspark.operators import reduce, scans, telemetry
 
 
 def test_levels_hold_few_texts_and_lose_none(spark):
@@ -23,6 +23,14 @@ def test_levels_hold_few_texts_and_lose_none(spark):
     assert empty.columns == ["k", "n", "summary"] and empty.count() == 0
 
 
+def test_levels_over_keys_that_many_tasks_scan(spark, monkeypatch):
+    monkeypatch.setattr(scans, "HOT", 100)
+    rows = spark.range(900).select((F.col("id") % 5 == 0).cast("int").alias("k"), F.col("id").alias("o"), F.col("id").cast("string").alias("t"))
+    ends = lambda texts: f"{texts[0].split()[0]} {texts[-1].split()[-1]}"
+    got = reduce.reduce_groups(rows, "k", "o", "t", ends, 10).collect()
+    assert sorted(map(tuple, got)) == [(0, 720, "1 899"), (1, 180, "0 895")]
+
+
 def test_digests_stream_in_order_with_null_keys_and_ties(spark):
     data = [(None, 2, "b"), (None, 1, "a"), ("x", 1, None), ("x", 1, "z"), ("x", 1, "z"), ("y", 3, 'q"é')] + [("big", i, "v" * 50) for i in range(30_000)]
     df = spark.createDataFrame(data, "k string, o int, v string").repartition(5)
