@@ -52,40 +52,57 @@ def stub(texts: list[str]) -> str:
     return " ".join(t.strip().split(". ")[0][:80] for t in texts if t and t.strip())
 
 
-def reduce_groups(rows: DataFrame, key: str, order: str, text: str, reducer: Callable[[list[str]], str] = stub, fan_in: int = FAN_IN, check: Callable[[str], str | None] | None = None) -> DataFrame:
+def joined(texts: list[str]) -> str:
+    """What stub() gives for a run of texts, from what it gave for parts of the run."""
+    return " ".join(t for t in texts if t)
+
+
+#: How a reducer's results for the runs of a group become the group's, where that is known; others are given them as texts.
+MERGES: dict[Callable, Callable[[list[str]], str]] = {stub: joined}
+
+
+def reduce_groups(rows: DataFrame, key: str, order: str, text: str, reducer: Callable[[list[str]], str] = stub, fan_in: int = FAN_IN, check: Callable[[str], str | None] | None = None, merge: Callable[[list[str]], str] | None = None) -> DataFrame:
     """(key, n, summary): the reducer over each key's texts in order, at most `fan_in` at a time; with check, also what it finds wrong with the summary, or null.
 
-    Of a key with more texts, each run of fan_in texts gives one; these are reduced in turn, run by run, until they
-    are few enough. Runs of one key lie in many tasks, so no task holds a whole group.
+    Of a key with more texts, each run of fan_in texts gives one; these are merged in turn, run by run, until they
+    are one. merge is the one of MERGES unless given; without any the reducer reads its own results as texts. Runs of
+    one key lie in many tasks, so no task holds a whole group; what a key has other keys' sizes don't change.
     """
+    merge = merge or MERGES.get(reducer, reducer)
 
-    @F.arrow_udf("string")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for arr in batches:
-            yield pa.array([reducer(v) for v in arr.to_pylist()], pa.string())
+    def one(texts: list[str], again: bool) -> str:
+        return reducer(texts) if not again else texts[0] if len(texts) == 1 else merge(texts)
+
+    def run(again: bool) -> Callable[[Column], Column]:
+        @F.arrow_udf("string")
+        def f(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for arr in batches:
+                yield pa.array([one(v, again) for v in arr.to_pylist()], pa.string())
+
+        return f
 
     @F.arrow_udf("string")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in batches:
             yield pa.array([check(v) for v in arr.to_pylist()], pa.string())
 
-    def level(rows: DataFrame, *by: str) -> DataFrame:
+    def level(rows: DataFrame, again: bool, *by: str) -> DataFrame:
         groups = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_o", "_t"))).alias("_g"), F.sum("_n").alias("_n"))
-        return groups.select(*by, "_n", run(F.transform("_g", lambda x: x["_t"])).alias("_t"))
+        return groups.select(*by, "_n", run(again)(F.transform("_g", lambda x: x["_t"])).alias("_t"))
 
-    rows = rows.select(key, F.col(order).alias("_o"), F.col(text).alias("_t"), F.lit(1).alias("_n"))
+    rows, again = rows.select(key, F.col(order).alias("_o"), F.col(text).alias("_t"), F.lit(1).alias("_n")), False
     while (rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0) > fan_in:
         placed = numbered(rows, [key], ["_o", "_t"], "_p").withColumn("_p", F.floor((F.col("_p") - 1) / fan_in))
-        rows = settled(level(placed, key, "_p").select(key, F.col("_p").alias("_o"), "_t", "_n"))
-    out = level(rows, key).select(key, F.col("_n").cast("int").alias("n"), F.col("_t").alias("summary"))
+        rows, again = settled(level(placed, again, key, "_p").select(key, F.col("_p").alias("_o"), "_t", "_n")), True
+    out = level(rows, again, key).select(key, F.col("_n").cast("int").alias("n"), F.col("_t").alias("summary"))
     return out.withColumn("problem", found("summary")) if check else out
 
 
-def three_levels(chunk_rows: DataFrame, documents: DataFrame, announcements: DataFrame, reducer: Callable[[list[str]], str] = stub, fan_in: int = FAN_IN) -> DataFrame:
+def three_levels(chunk_rows: DataFrame, documents: DataFrame, announcements: DataFrame, reducer: Callable[[list[str]], str] = stub, fan_in: int = FAN_IN, merge: Callable[[list[str]], str] | None = None) -> DataFrame:
     """(ticker, n, summary) from chunks (url, chunk_index, chunk), documents (url, announcement_id) and announcements (announcement_id, ticker, announced_at); each level is a table before the next reads it."""
-    docs = settled(reduce_groups(chunk_rows, "url", "chunk_index", "chunk", reducer, fan_in).drop("n").join(documents, "url"))
-    anns = settled(reduce_groups(docs.withColumn("o", F.col("url")), "announcement_id", "o", "summary", reducer, fan_in).drop("n").join(announcements, "announcement_id"))
-    return reduce_groups(anns.withColumn("o", F.struct("announced_at", "announcement_id")), "ticker", "o", "summary", reducer, fan_in)
+    docs = settled(reduce_groups(chunk_rows, "url", "chunk_index", "chunk", reducer, fan_in, merge=merge).drop("n").join(documents, "url"))
+    anns = settled(reduce_groups(docs.withColumn("o", F.col("url")), "announcement_id", "o", "summary", reducer, fan_in, merge=merge).drop("n").join(announcements, "announcement_id"))
+    return reduce_groups(anns.withColumn("o", F.struct("announced_at", "announcement_id")), "ticker", "o", "summary", reducer, fan_in, merge=merge)
 
 
 def fingerprint(rows: DataFrame, key: list[str], order: list[str], fields: list[str]) -> DataFrame:

@@ -31,6 +31,17 @@ def test_levels_over_keys_that_many_tasks_scan(spark, monkeypatch):
     assert sorted(map(tuple, got)) == [(0, 720, "1 899"), (1, 180, "0 895")]
 
 
+def test_levels_give_what_one_level_gives(spark):
+    """Sentences and blanks in every place; a small key beside a large one is reduced once."""
+    text = F.when(F.col("id") % 4 == 0, " \n").otherwise(F.concat(F.lit(" part "), F.col("id").cast("string"), F.lit(". "), F.repeat(F.lit("x"), 90)))
+    rows = spark.range(1000).select((F.col("id") < 995).cast("int").alias("k"), F.col("id").alias("o"), text.alias("t"))
+    whole, parts = (sorted(map(tuple, reduce.reduce_groups(rows, "k", "o", "t", fan_in=n).collect())) for n in (2000, 7))
+    assert whole == parts and len(whole[1][2]) > 5000
+    brackets = lambda texts: f"({' '.join(texts)})"
+    got = {r.k: r.summary for r in reduce.reduce_groups(rows.select("k", "o", F.col("o").cast("string").alias("t")), "k", "o", "t", brackets, 10, merge=" ".join).collect()}
+    assert got[0] == "(995 996 997 998 999)" and got[1].startswith("(0 1 2 3 4 5 6 7 8 9) (10 ")
+
+
 def test_digests_stream_in_order_with_null_keys_and_ties(spark):
     data = [(None, 2, "b"), (None, 1, "a"), ("x", 1, None), ("x", 1, "z"), ("x", 1, "z"), ("y", 3, 'q"é')] + [("big", i, "v" * 50) for i in range(30_000)]
     df = spark.createDataFrame(data, "k string, o int, v string").repartition(5)
