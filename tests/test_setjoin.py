@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from filingspark.operators import dedup, setjoin
+from filingspark.operators import dedup, setjoin, tables
 
 
 def _jaccard(a, b):
@@ -64,3 +64,24 @@ def test_alike_texts_of_a_group_meet_little(spark):
     schema = "announcement_id string, url string, filename string, text string, sha256 string, is_attachment boolean, ordinal int"
     rows = dedup.settled(dedup.features(spark.createDataFrame(_rows(texts), schema)))
     assert setjoin.alike(rows, ["announcement_id", "suffix"], "rank", "shingles", 0.985).count() == 0
+
+
+def test_texts_of_one_group_stay_in_many_tasks_and_copies_stand_for_each_other(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(1 << 30)}" for _ in range(200)] for _ in range(8)]
+    texts = [" ".join(b) for b in base for _ in range(5)] + [" ".join([*b[:-1], "end"]) for b in base]
+    items = [("x", f"u{i}", f"d{i}.pdf", t, f"sha{t[:9]}{i % 2}", False, i) for i, t in enumerate(texts)]
+    schema = "announcement_id string, url string, filename string, text string, sha256 string, is_attachment boolean, ordinal int"
+    for most in (1_000_000, 3):
+        monkeypatch.setattr(tables, "SMALL", most)
+        rows = dedup.settled(dedup.features(spark.createDataFrame(items, schema).repartition(8)))
+        if most > 3:
+            assert max(r.n for r in rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()) < len(texts) / 2
+        seen = []
+        monkeypatch.setattr(setjoin, "alike", lambda *a, f=setjoin.alike: seen.append(a[0].count()) or f(*a))
+        got = {(r.later, r.earlier) for r in dedup.near_pairs(rows, 0.7).collect()}
+        at = {r.ordinal: (r.rank, r.sha256, r.ordinal) for r in rows.collect()}
+        same = lambda i: i % 40 // 5 if i < 40 else i - 40
+        want = {(max(at[i], at[j])[0], min(at[i], at[j])[0]) for i in at for j in at if i < j and same(i) == same(j) and at[i][1] != at[j][1]}
+        assert got == want and seen == [16]
+        monkeypatch.undo()
