@@ -137,17 +137,21 @@ def accept(batch: list[dict]) -> list[dict]:
     return [{"external_id": r["external_id"], "internal_id": hashlib.sha256(r["external_id"].encode()).hexdigest()[:16], "status": READY} for r in batch]
 
 
+#: Answers that a task keeps before it writes them to a file.
+ANSWERS = 20_000
+
+
 class Sent(WriterCommitMessage):
-    def __init__(self, file: str | None, counts: dict[str, int]):
-        self.file, self.counts = file, counts
+    def __init__(self, files: list[str], counts: dict[str, int]):
+        self.files, self.counts = files, counts
 
 
 class PublishSink(DataSource):
     """df.write.format("publish"): rows (batch, external_id, payload), sorted by batch, sent batch by batch.
 
     Options: path, run, and remote, a pickled function from a batch's rows to their answers (external_id, internal_id,
-    status). A row without an answer is PARTIAL. A task writes its answers to one file named by run and the first batch,
-    so that a task that runs again replaces what it wrote. The run's own file is written last and names the files that
+    status). A row without an answer is PARTIAL. A task writes its answers to files of some ANSWERS rows, each named by run
+    and its first batch, so that a task that runs again replaces what it wrote. The run's own file is written last and names the files that
     count; if any task fails for good it says FAILED and names none.
     """
 
@@ -165,30 +169,39 @@ class PublishWriter(DataSourceWriter):
 
     def write(self, rows: Iterator) -> Sent:
         send: Callable = pickle.loads(base64.b64decode(self.remote)) if self.remote else accept
-        answers, first, counts = [], None, {}
+        names: list[str] = []
+        counts: dict[str, int] = {}
+        lines: list[str] = []
         now: list[dict] = []
 
         def flush() -> None:
             got = {a["external_id"]: a for a in send(now)}
             for r in now:
                 a = got.get(r["external_id"]) or {"external_id": r["external_id"], "internal_id": None, "status": PARTIAL}
-                answers.append({"batch": r["batch"], "external_id": r["external_id"], "internal_id": a["internal_id"], "status": a["status"]})
+                lines.append(json.dumps({"batch": r["batch"], "external_id": r["external_id"], "internal_id": a["internal_id"], "status": a["status"]}) + "\n")
                 counts[a["status"]] = counts.get(a["status"], 0) + 1
-            now.clear()
 
+        def keep(first: str) -> None:
+            name = f"answers/{self.run}/{hashlib.sha256(str(first).encode()).hexdigest()[:24]}.jsonl"
+            self._put(name, "".join(lines))
+            names.append(name)
+            lines.clear()
+
+        first = None
         for row in rows:
             r = row.asDict()
             if now and r["batch"] != now[0]["batch"]:
                 flush()
+                now.clear()
+                if len(lines) >= ANSWERS:
+                    keep(first)
+                    first = None
             first = r["batch"] if first is None else first
             now.append(r)
         if now:
             flush()
-        if first is None:
-            return Sent(None, {})
-        name = f"answers/{self.run}/{hashlib.sha256(str(first).encode()).hexdigest()[:24]}.jsonl"
-        self._put(name, "".join(json.dumps(a) + "\n" for a in answers))
-        return Sent(name, counts)
+            keep(first)
+        return Sent(names, counts)
 
     def _put(self, name: str, text: str) -> None:
         """A file that is there whole or not at all."""
@@ -206,7 +219,7 @@ class PublishWriter(DataSourceWriter):
             for k, n in (m.counts if m else {}).items():
                 counts[k] = counts.get(k, 0) + n
         status = COMPLETE if counts.keys() <= {READY} else PARTIAL
-        self._finish(status, counts, [m.file for m in messages if m and m.file])
+        self._finish(status, counts, [f for m in messages if m for f in m.files])
 
     def abort(self, messages: list[Sent | None]) -> None:
         self._finish(FAILED, {}, [])

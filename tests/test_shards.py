@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import Row
 
 from filingspark.sources import shards
 
@@ -71,6 +72,17 @@ def test_publishing(spark, tmp_path):
     assert shards.publish(rows.limit(0), path, "r4") == "COMPLETE"
 
 
+def test_a_task_keeps_few_answers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shards, "ANSWERS", 6)
+    rows = [Row(batch=f"b{k // 5:02}", external_id=f"x{k}", payload="{}") for k in range(33)]
+    sent = shards.PublishWriter(str(tmp_path), "r", None).write(iter(rows))
+    lines = [(tmp_path / f).read_text().splitlines() for f in sent.files]
+    assert [len(x) for x in lines] == [10, 10, 10, 3] and sent.counts == {"READY": 33}
+    assert [json.loads(a)["external_id"] for x in lines for a in x] == [f"x{k}" for k in range(33)]
+    again = shards.PublishWriter(str(tmp_path), "r", None).write(iter(rows))
+    assert again.files == sent.files and len(list((tmp_path / "answers/r").iterdir())) == 4
+
+
 @pytest.mark.parametrize("status,code", [("COMPLETE", None), ("PARTIAL", "SOURCE_PROCESSING_PARTIAL"), ("FAILED", "SOURCE_RUN_FAILED")])
 def test_codes(status, code):
     assert shards.CODES[status] == code
