@@ -85,29 +85,32 @@ def process(announcements: DataFrame, attachments: DataFrame, companies: DataFra
     """
     empty = announcements.sparkSession.createDataFrame([], EVENT)
 
-    def events(rows: DataFrame, at: str, stage: Column | str, label: Column | str, always: bool, **more: str) -> DataFrame:
-        rows = rows if always else rows.where(F.col(at).isNotNull())
-        stage = F.lit(stage) if isinstance(stage, str) else stage
-        label = F.col(label) if isinstance(label, str) else label
-        cols = {"scope": F.col("scope"), "at": F.col(at), "stage": stage, "label": label} | {n: F.col(c) for n, c in more.items()}
-        return rows.select(*[cols[f.name].cast(f.dataType).alias(f.name) if f.name in cols else F.lit(None).cast(f.dataType).alias(f.name) for f in empty.schema])
+    def event(at: str, stage: Column | str, label: Column | str, always: bool, **more: str) -> Column:
+        cols = {"scope": F.col("scope"), "at": F.col(at), "stage": F.lit(stage) if isinstance(stage, str) else stage, "label": F.col(label) if isinstance(label, str) else label} | {n: F.col(c) for n, c in more.items()}
+        fields = [cols.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in empty.schema]
+        return F.struct(*fields, (F.lit(always) | F.col(at).isNotNull()).alias("_there"))
+
+    def events(rows: DataFrame, *some: Column) -> DataFrame:
+        return rows.select(F.inline(F.array(*some))).where("_there").drop("_there")
 
     one, file = {"announcement_id": "announcement_id"}, {"announcement_id": "announcement_id", "url": "url"}
     companies = companies.withColumn("label", F.concat("ticker", F.lit(" company digest")))
     named = calls.join(companies.select(F.col("scope").alias("_s"), "ticker"), F.col("scope") == F.col("_s"), "left")
+    llm = F.coalesce(F.nullif("filename", F.lit("")), F.nullif("announcement_id", F.lit("")), "ticker")
+    # Each table is read, and what it comes from joined, once for all of its events.
     parts = [
-        events(announcements, "announced_at", "idx-announced", "title", True, **one),
-        events(announcements, "fetched_at", "metadata-saved", "title", True, **one),
-        events(attachments, "downloaded_at", "downloaded", "filename", False, **file),
-        events(attachments, "extracted_at", "extracted", "filename", False, **file),
-        events(attachments, "summary_at", "document-summary", "filename", False, **file),
-        events(announcements, "summary_at", "announcement-summary", "title", False, **one),
-        events(companies, "updated_at", "company-summary", "label", True),
-        events(named, "started_at", F.concat(F.lit("llm-"), "stage"), F.coalesce(F.nullif("filename", F.lit("")), F.nullif("announcement_id", F.lit("")), "ticker"), True, status="status", elapsed="elapsed", prompt_tokens="prompt_tokens", completion_tokens="completion_tokens", audit_id="audit_id", end_at="finished_at"),
+        events(announcements, event("announced_at", "idx-announced", "title", True, **one), event("fetched_at", "metadata-saved", "title", True, **one), event("summary_at", "announcement-summary", "title", False, **one)),
+        events(attachments, event("downloaded_at", "downloaded", "filename", False, **file), event("extracted_at", "extracted", "filename", False, **file), event("summary_at", "document-summary", "filename", False, **file)),
+        events(companies, event("updated_at", "company-summary", "label", True)),
+        events(named, event("started_at", F.concat(F.lit("llm-"), "stage"), llm, True, status="status", elapsed="elapsed", prompt_tokens="prompt_tokens", completion_tokens="completion_tokens", audit_id="audit_id", end_at="finished_at")),
     ]
     for p in parts:
         empty = empty.unionByName(p)
-    return numbered(empty, ["scope"], [F.col("at").asc_nulls_first(), "stage", "label", "announcement_id", "url", "audit_id"], "place")
+    keys = None
+    for rows, times in ((announcements, 3), (attachments, 3), (companies, 1), (named, 1)):
+        own = rows.groupBy("scope").agg((F.count(F.lit(1)) * times).alias("times")).withColumn("scope", F.col("scope").cast("string"))
+        keys = own if keys is None else keys.unionByName(own)
+    return numbered(empty, ["scope"], [F.col("at").asc_nulls_first(), "stage", "label", "announcement_id", "url", "audit_id"], "place", keys)
 
 
 def prompt_status(companies: DataFrame, calls: DataFrame, legacy: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingspark.functions import render as X
-from filingspark.operators import collect, contracts
+from filingspark.operators import audit, collect, contracts, scans
 
 
 def test_violations_and_strict_json(spark):
@@ -92,3 +92,27 @@ def test_registered_queries_have_distinct_columns(spark):
     for name in ("collect_window", "attachment_select", "claim_traces"):
         out = queries[name](spark, sf)
         assert len(set(out.columns)) == len(out.columns) and out.count() > 0
+
+
+def test_process_reads_each_table_once_and_large_companies_in_parts(spark, monkeypatch):
+    calls = spark.sparkContext.accumulator(0)
+
+    def touch(x):
+        calls.add(1)
+        return x
+
+    name = F.udf(touch, "string")(F.concat(F.lit("f"), "id"))
+    at = F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz")
+    files = spark.range(200).select((F.col("id") % 2).alias("scope"), F.col("id").cast("string").alias("announcement_id"), F.col("id").cast("string").alias("url"), name.alias("filename"), at.alias("downloaded_at"), F.when(F.col("id") % 3 > 0, at).alias("extracted_at"), F.lit(None).cast("timestamp_ntz").alias("summary_at"))
+    heads = spark.range(2).select(F.col("id").alias("scope"), F.lit("a").alias("announcement_id"), F.lit("t").alias("title"), F.lit(None).cast("timestamp_ntz").alias("announced_at"), at.alias("fetched_at"), at.alias("summary_at"))
+    companies = spark.range(2).select(F.col("id").alias("scope"), F.lit("T").alias("ticker"), at.alias("updated_at"))
+    none = spark.createDataFrame([], "scope long, audit_id long, stage string, filename string, announcement_id string, status string, started_at timestamp_ntz, finished_at timestamp_ntz, elapsed double, prompt_tokens long, completion_tokens long")
+    seen = []
+    for hot in (1_000_000, 50):
+        monkeypatch.setattr(scans, "HOT", hot)
+        before = calls.value
+        rows = audit.process(heads, files, companies, none).collect()
+        assert hot == 50 or calls.value - before == 200
+        assert sorted(r.place for r in rows if r.scope == "0") == list(range(1, 100 + 66 + 3 + 1 + 1))
+        seen.append(sorted(map(str, rows)))
+    assert seen[0] == seen[1]
