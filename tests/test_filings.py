@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from filingspark.functions import text as T
 from filingspark.operators import audit, dedup, export, filings, recovery, reduce, relational as R, rules, state, telemetry, timewin
+from filingspark.plans import filing_queries  # noqa: F401
+from filingspark.plans.registry import SQL
 
 
 def day(n, hour=0):
@@ -177,6 +179,17 @@ def test_dedup_is_greedy_not_transitive(spark):
     assert out["FinancialStatement.xlsx"][0] and out["near.pdf"][:2] == (False, "near_duplicate")
 
 
+def test_long_texts_are_compared_whole(spark):
+    """A word more in front puts all that a stride would take elsewhere; the other end keeps one text from lying in the other."""
+    words = [f"w{i}" for i in range(13000)]
+    texts = [" ".join(words), " ".join(["new", *words[:-1], "other"])]
+    df = spark.createDataFrame([("x", f"u{i}", f"d{i}.pdf", t, f"sha{i}", False, i) for i, t in enumerate(texts)], "announcement_id string, url string, filename string, text string, sha256 string, is_attachment boolean, ordinal int")
+    out = {r.url: (r.keep, r.category, r.similarity) for r in dedup.deduplicate(df).collect()}
+    assert sorted(v[:2] for v in out.values()) == [(False, "near_duplicate"), (True, "analysis_source")]
+    assert max(v[2] or 0 for v in out.values()) == 12995 / 12998
+    assert "6000" not in SQL["dedup_greedy"]
+
+
 def test_resolution_follows_rank(spark):
     pairs = spark.createDataFrame([("g", 2, 1, "near_duplicate", 0.99), ("g", 3, 2, "near_duplicate", 0.99), ("g", 4, 2, "near_duplicate", 0.99), ("g", 4, 3, "near_duplicate", 0.99)], "announcement_id string, later int, earlier int, category string, similarity double")
     # 2 gives way to 1; 3 is like 2 alone and stays; 4 then gives way to 3.
