@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from filingspark.functions import text as T
 from filingspark.operators import audit, dedup, export, filings, recovery, reduce, relational as R, rules, state, telemetry, timewin
 from filingspark.plans import filing_queries  # noqa: F401
-from filingspark.plans.registry import SQL
+from filingspark.plans.registry import QUERIES, SQL
 
 
 def day(n, hour=0):
@@ -187,7 +187,15 @@ def test_long_texts_are_compared_whole(spark):
     out = {r.url: (r.keep, r.category, r.similarity) for r in dedup.deduplicate(df).collect()}
     assert sorted(v[:2] for v in out.values()) == [(False, "near_duplicate"), (True, "analysis_source")]
     assert max(v[2] or 0 for v in out.values()) == 12995 / 12998
-    assert "6000" not in SQL["dedup_greedy"]
+    assert "6000" not in SQL["dedup_greedy"] + SQL["near_dup_pairs"]
+
+
+def test_pairs_of_long_texts_are_of_all_shingles(spark, tmp_path):
+    words = [f"w{i}" for i in range(13000)]
+    texts = [" ".join(words), " ".join(["new", *words[:-1], "other"])]
+    docs = [(i, t, "en", "web", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [tuple(r) for r in QUERIES["near_dup_pairs"](spark, str(tmp_path)).collect()] == [("doc:1", "doc:0", round(12995 / 12998, 6))]
 
 
 def test_resolution_follows_rank(spark):
