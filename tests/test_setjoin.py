@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from filingspark.operators import dedup, setjoin, tables
+from filingspark.operators import dedup, setjoin, tables, wordruns
 
 
 def _jaccard(a, b):
@@ -85,3 +85,55 @@ def test_texts_of_one_group_stay_in_many_tasks_and_copies_stand_for_each_other(s
         want = {(max(at[i], at[j])[0], min(at[i], at[j])[0]) for i in at for j in at if i < j and same(i) == same(j) and at[i][1] != at[j][1]}
         assert got == want and seen == [16]
         monkeypatch.undo()
+
+
+def test_what_needs_no_texts_reads_none(spark):
+    """Ranks, digests and numbers of stored features are read by columns; no window counts the elements of sets."""
+    schema = "announcement_id string, url string, filename string, text string, sha256 string, is_attachment boolean, ordinal int"
+    rows = dedup.features(spark.createDataFrame(_rows(["a b c " * 60, "d e f " * 60]), schema))
+    plan = rows.select("announcement_id", "rank", "digest")._jdf.queryExecution().executedPlan().toString()
+    assert "digest" in plan and "normalized" not in plan and "shingles" not in plan
+    p = setjoin.prefixes(rows, ["announcement_id"], "rank", "shingles", 0.7)
+    assert "Window" not in p._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_prefixes_are_those_of_counted_elements(spark, batch):
+    rng = random.Random(batch)
+    sets = {i: {rng.randrange(40) for _ in range(rng.randrange(1, 25))} | {1000 + i} for i in range(40)}
+    df = spark.createDataFrame([(i % 3, i, list(v)) for i, v in sets.items()], "g int, k int, s array<bigint>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = {}
+        for r in setjoin.prefixes(df, ["g"], "k", "s", 0.7).collect():
+            got.setdefault(r.k, {})[r.place] = r.e
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pairs = [(i % 3, e) for i, v in sets.items() for e in v]
+    codes = {(r.g, r.x): r.e for r in spark.createDataFrame(pairs, "g int, x bigint").distinct().select("g", "x", F.xxhash64("x", "g").alias("e")).collect()}
+    n = {(codes[x]): pairs.count(x) for x in pairs}
+    for i, v in sets.items():
+        order = sorted((n[codes[i % 3, e]], codes[i % 3, e]) for e in v)
+        first = order[: len(order) - -(-7 * len(order) // 10) + 1]
+        assert got.get(i, {}) == {k: e for k, (m, e) in enumerate(first) if m > 1}
+
+
+def test_words_and_runs_are_those_of_the_tokens(spark):
+    rng = random.Random(2)
+    odd = [None, "", " . ", "Ａb ﬁx² İ K ß é1é", "A" * 70 + "b " + "A" * 70 + "c " + "A" * 69 + "bc", "one-two"]
+    long = [" ".join(rng.choice(["Ab", "é", "x1.", "--", "ﬁn", "z" * 66, "q" * 65]) + str(rng.randrange(9)) for _ in range(n)) for n in (5, 12, 70, 75, 200)]
+    texts = [*odd, *long, *odd, *long]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    rows = df.select("i", dedup.tokens(F.col("t")).alias("toks"), wordruns.read(F.col("t"), 5, 10).alias("r"), wordruns.read(F.col("t"), 5, 10, 20).alias("c")).collect()
+    seen = {}
+    for x in rows:
+        assert (x.r.n_tokens, x.r.normalized) == (len(x.toks), " ".join(x.toks))
+        if len(x.toks) < 10:
+            assert x.r.shingles is None and x.r.whole is None and x.r.inner is None
+            continue
+        runs = [tuple(x.toks[k : k + 5]) for k in range(len(x.toks) - 4)]
+        assert len(x.r.shingles) == len(set(runs)) and set(x.r.whole) | set(x.r.inner) <= set(x.r.shingles)
+        assert len(x.c.shingles) == len(set(runs[:: -(-len(runs) // 20)])) and set(x.c.shingles) <= set(x.r.shingles)
+        assert seen.setdefault(x.i - len(odd) - len(long) if x.i >= len(odd) + len(long) else x.i, x.r) == x.r
+        if len(runs) <= 64:
+            assert x.r.whole == [min(x.r.shingles)]
